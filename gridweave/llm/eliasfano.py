@@ -2,7 +2,7 @@
 
 n values below a universe u: the low l = log2(u / n) bits of each, rounded up to bytes, stand in planes; the high parts stand
 in unary, a one for each value and a zero for each step of the high part. Reading needs no copy of the buffer; successor()
-finds, for many values at once, the first element that is not less, by the few elements that share a value's high part.
+finds, for many values at once, the first element that is not less, by halving the elements that share a value's high part.
 """
 
 from __future__ import annotations
@@ -72,9 +72,10 @@ class EliasFano:
         at, end = starts[part], starts[part + 1]
         at = np.where(under, 0, at)
         open_ = np.flatnonzero(~under & (at < end))
-        while len(open_):  # rounds: as many as elements share a high part
-            less = self.get(at[open_]) < x[open_]
-            open_ = open_[less]
-            at[open_] += 1
+        while len(open_):  # halving what is left of the elements that share the high part
+            middle = (at[open_] + end[open_]) // 2
+            less = self.get(middle) < x[open_]
+            at[open_[less]] = middle[less] + 1
+            end[open_[~less]] = middle[~less]
             open_ = open_[at[open_] < end[open_]]
         return at
