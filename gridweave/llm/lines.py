@@ -115,8 +115,8 @@ def _occurrences(batches):
 
 def _bitmap(nodes: DataFrame) -> np.ndarray:
     """Bits of the nodes' hashes; a few megabytes, whatever the number of nodes."""
-    bit = F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS))
-    words = nodes.select((bit / 64).cast("int").alias("w"), F.shiftleft(F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int")).alias("m")).groupBy("w").agg(F.bit_or("m").alias("m"))
+    bits = nodes.select(F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS)).alias("b"))
+    words = bits.selectExpr("cast(b div 64 as int) as w", "shiftleft(1L, cast(b % 64 as int)) as m").groupBy("w").agg(F.bit_or("m").alias("m"))
     out = np.zeros(BITMAP_BITS // 64, np.uint64)
     t = words.toArrow()  # at most BITMAP_BITS / 64 rows
     out[t.column("w").to_numpy()] = t.column("m").to_numpy().view(np.uint64)
