@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave.llm import decontaminate, lines, minhash, packing, toxicity
-from gridweave.llm.base import table
+from gridweave.llm.base import table, unused
 
 #: Words of a shingle in the near-duplicate stage, and the similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -27,17 +27,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's text without lines that are alike one before; a document of which no word is left goes. n_chars follows the text."""
-    out = lines.drop_lines(docs, lost_col="_lost")
+    out = lines.drop_lines(docs)
+    lost = F.col(out.columns[-1])
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_lost").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    gone = F.col("_lost").isNotNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        out = out.withColumn("n_chars", F.when(lost.isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    gone = lost.isNotNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     return out.where(~gone).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
-    lost = minhash.near_duplicates(docs, SHINGLE, PERCENT).where("not kept").select(F.col("doc_id").alias("_lost_id")).distinct()
-    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col("_lost_id")), "left_anti").dropDuplicates(["doc_id", "text"])
+    key = unused(docs, "lost_id")
+    lost = minhash.near_duplicates(docs, SHINGLE, PERCENT).where("not kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col(key)), "left_anti").dropDuplicates(["doc_id", "text"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,7 +105,7 @@ def spanning(rows: DataFrame, sizes: DataFrame, linker: Linker, limit: int) -> D
 
     compared = cut(pairs.mapInArrow(compare, f"key {_kind(rows, 'key')}, node binary, payload binary, l binary, hit boolean, same boolean"))
     stars = compared.where("hit and not same").select(F.col("node").alias("a"), F.col("l").alias("b"))
-    rest = compared.groupBy("key").agg(F.count_if("not hit and not same").alias("missed"), F.count("*").alias("n")).where("missed > 0").select("key", F.ceil(F.col("missed") / limit).cast("int").alias("across"), F.ceil(F.col("n") / limit).cast("int").alias("down"))
+    rest = compared.groupBy("key").agg(F.count_if(F.expr("not hit and not same")).alias("missed"), F.count("*").alias("n")).where("missed > 0").select("key", F.ceil(F.col("missed") / limit).cast("int").alias("across"), F.ceil(F.col("n") / limit).cast("int").alias("down"))
     blocks = compared.join(rest, "key").withColumn("h", F.xxhash64("node"))
     missed = blocks.where("not hit and not same").select("key", "node", "payload", F.expr("cast(pmod(h, across) as int)").alias("i"), F.explode(F.expr("sequence(0, down - 1)")).alias("j"))
     others = blocks.select("key", "node", "payload", F.expr("cast(pmod(h, down) as int)").alias("j"), F.explode(F.expr("sequence(0, across - 1)")).alias("i"))

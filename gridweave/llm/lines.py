@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import LAST_ID, cut, picked, ship
+from .base import LAST_ID, cut, picked, ship, unused
 from .components import connected, spanning
 from .minhash import by_sets, by_signature, sizes_of, signatures
 from .words import mix, pieces, span_hashes
@@ -172,13 +172,12 @@ def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: in
     return lost.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))  # at most a document's lines
 
 
-def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lost_col: str = "_removed_lines", **limits: int) -> DataFrame:
-    """The documents with all columns, their text without the lines to remove, and lost_col: those lines' numbers (null: none)."""
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lost_col: str = "removed_lines", **limits: int) -> DataFrame:
+    """The documents with all columns, their text without the lines to remove, and lost_col, or that name with underscores behind it if it is taken: those lines' numbers (null: none)."""
     ship(docs.sparkSession)
-    lost = removed_lines(picked(docs, id_col, text_col), **limits).select(F.col("doc_id").alias("_lost_id"), F.col("lines").alias(lost_col))
-    joined = docs.join(lost, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)) == F.col("_lost_id"), "left")
+    key, lost_col = unused(docs, "lost_id"), unused(docs, lost_col)
+    lost = removed_lines(picked(docs, id_col, text_col), **limits).select(F.col("doc_id").alias(key), F.col("lines").alias(lost_col))
+    joined = docs.join(lost, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)) == F.col(key), "left")
     kept = F.array_join(F.filter(F.split(F.col(f"`{text_col}`"), "\n", -1), lambda x, i: ~F.array_contains(F.col(lost_col), i)), "\n")
     names = [F.when(F.col(lost_col).isNull(), F.col(f"`{text_col}`")).otherwise(kept).alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*names, lost_col)
-
-

@@ -1,8 +1,9 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
 Documents that are linked should share a shard, and shards should be even. Each document starts in the shard of the smallest document among
-itself and its neighbours. In each round every document counts its neighbours' shards by a join; one that has more neighbours elsewhere
-asks to move there, and each shard admits as many as its quota has room for, the largest gains first; the last places of a gain go by a hash. A round's
+itself and its neighbours (or, with more links than a shard has room for, in one of the shards behind that one). In each round every document counts its neighbours' shards by a join; one that has more neighbours elsewhere
+asks to move there. Between two shards as many may move as ask for the opposite way, and each shard admits others while its quota has room, the largest gains first; the last
+places of a gain go by a hash. A round's
 half of the documents, drawn by a hash, may move, so that neighbours don't swap places for ever. At last every shard gets exactly its quota:
 surplus documents leave full shards, those first whose move cuts no or few links, and fill the others' room in runs, so that documents of a split
 group stay together.
@@ -27,6 +28,8 @@ from .base import cut, partitions
 SHARDS, ROUNDS = 8, 3
 #: Slices of an order in which rows are ranked; their counts are a table of at most shards * SLICES rows.
 SLICES = 4096
+#: Links from which on a group's documents are ranked in several slices, not as one run.
+SPLIT = 1000
 
 
 def rank(df: DataFrame, group: str, slice_of: Column, order: list[Column], name: str) -> DataFrame:
@@ -62,18 +65,29 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
     quota = quotas(n, shards)
     first = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
     start = F.least(F.col("node"), F.coalesce("b", "node"))
-    state = cut(nodes.join(first, "node", "left").select("node", "weight", start.alias("hub"), F.pmod(F.xxhash64(start, F.lit(3)), F.lit(shards)).cast("int").alias("shard")))
+    # A group that no shard has room for starts in as many neighbouring shards as it needs.
+    piece = F.pmod(F.xxhash64("node", F.lit(4)), F.ceil((F.col("weight") + 1) / max(1, quota[-1])))
+    state = cut(nodes.join(first, "node", "left").select("node", "weight", start.alias("hub"), F.pmod(F.xxhash64(start, F.lit(3)) + piece, F.lit(shards)).cast("int").alias("shard")))
     for turn in range(rounds):
         counts = _counts(state, shards)
         votes = links.join(state.select(F.col("node").alias("b"), "shard"), "b").groupBy(F.col("a").alias("node"), "shard").agg(F.count("*").alias("votes"))
         best = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("shard")).alias("s"))).alias("best"), F.collect_list(F.struct("shard", "votes")).alias("all"))  # at most `shards` entries
-        asks = state.join(best, "node").select("node", "shard", (-F.col("best.s")).alias("to"), (F.col("best.votes") - F.coalesce(F.expr("filter(all, x -> x.shard = shard)[0].votes"), F.lit(0))).alias("gain"))
+        asks = state.join(best, "node").select("node", "shard", (-F.col("best.s")).alias("to"), (F.col("best.votes") - F.coalesce(F.expr("get(filter(all, x -> x.shard = shard), 0).votes"), F.lit(0))).alias("gain"))
         asks = asks.where(F.col("gain") > 0).where(F.pmod(F.xxhash64("node", F.lit(100 + turn)), F.lit(2)) == 0)
-        # Room: the quota, and what leaves is counted in the next round only. Gains in logarithmic classes, the largest first.
-        room = _array([max(0, q - c) for q, c in zip(quota, counts, strict=True)])
+        # As many as ask for the way back may go from one shard to another; what room a shard has beyond is given out in order.
+        asked = {(r.shard, r.to): r["count"] for r in asks.groupBy("shard", "to").count().collect()}  # a row for each two shards
+        room = [max(0, q - c) for q, c in zip(quota, counts, strict=True)]
+        allowed = []
+        for a in range(shards):
+            for b in range(shards):
+                swaps = min(asked.get((a, b), 0), asked.get((b, a), 0))
+                more = min(room[b], asked.get((a, b), 0) - swaps)
+                room[b] -= more
+                allowed.append(swaps + more)
         gain_class = F.least(F.lit(62), F.floor(F.log2(F.col("gain").cast("double")))).cast("int")
-        ranked = rank(asks, "to", (F.lit(62) - gain_class) * 64 + F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(64)).cast("int"), [F.col("node")], "place")
-        moves = ranked.where(F.col("place") < F.element_at(room, F.col("to") + 1)).select("node", "to")
+        asks = asks.withColumn("way", F.col("shard") * shards + F.col("to"))
+        ranked = rank(asks, "way", (F.lit(62) - gain_class) * 64 + F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(64)).cast("int"), [F.col("node")], "place")
+        moves = ranked.where(F.col("place") < F.element_at(_array(allowed), F.col("way") + 1)).select("node", "to")
         state = cut(state.join(moves, "node", "left").select("node", "weight", "hub", F.coalesce("to", "shard").alias("shard")))
     return _settled(state, quota, shards)
 
@@ -87,7 +101,8 @@ def _settled(state: DataFrame, quota: list[int], shards: int) -> DataFrame:
     room = [max(0, q - c) for q, c in zip(quota, counts, strict=True)]
     # Rank by the number of links (logarithmic classes), so that whoever leaves cuts few; within a class by hub, in slices that split a hot one.
     link_class = F.when(F.col("weight") <= 0, 0).otherwise(F.least(F.lit(62), F.floor(F.log2(F.col("weight").cast("double"))) + 1)).cast("int")
-    piece = F.pmod(F.xxhash64("hub", F.lit(5)), F.lit(4)) * 64 + F.pmod(F.xxhash64("node", F.lit(6)), F.lit(64))
+    of_hub = F.pmod(F.xxhash64("hub", F.lit(5)), F.lit(256))
+    piece = F.when(F.col("weight") < SPLIT, of_hub).otherwise(F.floor(of_hub / 64) * 64 + F.pmod(F.xxhash64("node", F.lit(6)), F.lit(64)))
     ranked = rank(state, "shard", link_class * 256 + piece.cast("int"), [F.col("hub"), F.col("node")], "place")
     before = [sum(over[:k]) for k in range(shards)]
     at = F.col("place") + F.element_at(_array(before), F.col("shard") + 1)  # a running number over all that leave
