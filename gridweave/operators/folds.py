@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.base import TABLE
 from ..functions.predicates import COLUMN_CODE, GARBLE_HINT, GENERIC_HEADER, MONEY_LIKE, NUMBER_LIKE, OUTLINE_CODE
 from ..functions.similarity import LEAST_SCORE, SAMPLE_ROWS
+from ..shipping import ship
 
 Table = tuple[list[str], list[list[str]]]
 
@@ -302,6 +303,7 @@ def _packed(t: Table | None) -> dict | None:
 
 def fold_tables(tables: Column, fold: Callable[[list[Table]], list[Table]]) -> Column:
     """fold over an array of tables."""
+    ship()
 
     @F.arrow_udf(f"array<{TABLE}>")
     def folded(column: pa.Array) -> pa.Array:
@@ -312,6 +314,7 @@ def fold_tables(tables: Column, fold: Callable[[list[Table]], list[Table]]) -> C
 
 def fold_document(blocks: Column, extracted: Column, pairs: list[tuple[str, str]]) -> Column:
     """assemble() over an array of blocks (texts are plain already) and an array of tables."""
+    ship()
 
     def fix(x: str) -> str:
         for wrong, right in pairs:

@@ -11,12 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Image resolution, grey below which a pixel is dark, share of dark pixels of a line, bands of a table, pixels that a band may miss.
 DPI, DARK, LINE_SHARE, LEAST_BANDS, GAP, PADDING = 150, 180, 0.2, 5, 3, 0.02
 
 
 def ink(pages: DataFrame, dark: int = DARK) -> DataFrame:
     """ink from grey rasters (doc_id, page_no, width, height, pixels binary of width * height bytes)."""
+    ship(pages.sparkSession)
 
     def profile(batches):
         for b in batches:

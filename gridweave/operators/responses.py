@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.base import TABLE
+from ..shipping import ship
 
 FRAGMENT = re.compile(r"<table\b.*?</table>", re.DOTALL | re.IGNORECASE)
 FENCE = re.compile(r"```(?:json)?\s*(.*?)\s*```", re.DOTALL)
@@ -189,6 +190,8 @@ def as_arrow(tables: list[list[Table]]) -> pa.Array:
 
 
 def _parsed(read, name: str):
+    ship()
+
     @F.arrow_udf(f"array<{TABLE}>")
     def parse(text: pa.Array) -> pa.Array:
         return as_arrow([read(x) for x in text.to_pylist()])

@@ -20,6 +20,7 @@ from ..functions.base import TABLE
 from ..functions.predicates import is_empty
 from ..operators.grids import grid_tables
 from ..operators.responses import as_arrow, page_htmls, response_tables, tables_of_html
+from ..shipping import ship
 
 #: What a model is asked, in short; a deployment passes its own prompt.
 PROMPT = "Return every table of the page image, in reading order, as one HTML table element each: one tr for each printed row, one td for each cell (blank ones too), colspan and rowspan as printed, codes and numbers verbatim. Nothing else. If HTML is impossible, return JSON: {\"headers\": [...], \"rows\": [[...]]}."
@@ -79,6 +80,8 @@ def model_backend(infer: Callable[[list[dict]], list[str]], name: str = "vlm", c
     """A model that answers each page with text; infer gets the pages of a batch as records."""
 
     def extract(pages: DataFrame) -> DataFrame:
+        ship(pages.sparkSession)
+
         def work(batches):
             for b in batches:
                 answers = infer(b.select(list(columns)).to_pylist())

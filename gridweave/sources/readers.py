@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.base import TABLE
 from ..functions.predicates import is_empty, is_placeholder
 from ..operators.responses import _ARROW
+from ..shipping import ship
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 
@@ -68,6 +69,7 @@ def sheets(content: bytes) -> Iterator[tuple[str, list[list[str]]]]:
 
 def workbook_tables(files: DataFrame) -> DataFrame:
     """(doc_id, tables) of workbooks (doc_id, content): each sheet's first row is the header; placeholder sheets and empty ones are left out."""
+    ship(files.sparkSession)
 
     def read(batches):
         for b in batches:

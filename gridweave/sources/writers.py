@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import GENERIC_HEADER
 from ..functions.rendering import preview, with_final_newline
 from ..operators.markdown import cells
+from ..shipping import ship
 
 EMPTY = "No tables found in document."
 _BOM = b"\xef\xbb\xbf"
@@ -101,6 +102,8 @@ def csv_bytes(header: list[str], rows: list[list[str]]) -> bytes:
 
 
 def _made(df: DataFrame, column: str, make, name: Column) -> DataFrame:
+    ship(df.sparkSession)
+
     def work(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("name"), pa.array([make(x or []) for x in b.column(column).to_pylist()], pa.binary())], ["doc_id", "name", "content"])
