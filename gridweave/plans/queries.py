@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions import text as T
 from ..functions.base import table
-from ..functions.cleanup import corrected
+from ..functions.cleanup import corrected, corrected_table, fixes
 from ..functions.layout import absorb_header_rows, compact_header, demote_false_header, realign_rows, split_multi_value
 from ..functions.names import grid_names, parser_names, response_names
 from ..functions.rendering import markdown_table, plain_grid
 from ..functions.similarity import jaccard, similarity
 from ..operators import assembly, geometry, grids, markdown, prose, responses
 from ..operators.folds import fold_tables, stitch_outline, stitch_responses
+from ..sources import readers, writers
 from ..sources.backends import grid_backend, html_backend
-from .jobs import cascade, classify, unified
+from .jobs import cascade, classic, classify, flagged_pages, unified
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -375,3 +376,50 @@ def unified_results(spark, sf_dir):
     flagged = docs.select("doc_id", F.lit(0).alias("page_no"))
     rows = unified(docs, flagged, found.withColumn("backend", F.lit("grid")), [])
     return rows.select("doc_id", F.col("table_count").cast("long"), "backend", "used_marker_fallback", (F.length("text") > 0).alias("has_text"))
+
+
+def _nations(spark, sf_dir) -> DataFrame:
+    """(doc_id, tables): one table of nations for each region."""
+    rows = ordered(read(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", row="array(concat(n_nationkey, '.000'), n_name)")
+    return rows.select(F.col("n_regionkey").alias("doc_id"), F.array(table(strings("Key", "Name, long"), F.col("row"))).alias("tables"))
+
+
+@query("select n_regionkey::bigint as doc_id, (row_number() over (partition by n_regionkey order by n_nationkey) - 1)::bigint as k, n_nationkey || '.000' as code, n_name as name from nation")
+def workbook_round_trip(spark, sf_dir):
+    back = readers.workbook_tables(writers.workbooks(_nations(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))))
+    return back.select("doc_id", F.posexplode(F.get("tables", F.lit(0))["rows"]).alias("k", "c")).select("doc_id", F.col("k").cast("long"), F.col("c")[0].alias("code"), F.col("c")[1].alias("name"))
+
+
+@query("""select n_regionkey::bigint as doc_id, md5(chr(65279) || 'Key,"Name, long"' || chr(10) || string_agg(n_nationkey || '.000,' || n_name || chr(10), '' order by n_nationkey)) as digest from nation group by 1""")
+def csv_export(spark, sf_dir):
+    return writers.csv_files(_nations(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))).select("doc_id", F.md5("content").alias("digest"))
+
+
+@query("""select n_regionkey as doc_id, '# Tables preview' || chr(10) || chr(10) || '## Table 1' || chr(10) || chr(10) || '| Key | Name, long |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_nationkey || '.000 | ' || n_name || ' |', chr(10) order by n_nationkey) || chr(10) as preview from nation group by 1""")
+def markdown_preview(spark, sf_dir):
+    return writers.previews(_nations(spark, sf_dir)).select("doc_id", F.decode("content", "UTF-8").alias("preview"))
+
+
+@query("select n_regionkey as doc_id, cast(sum(case when contains(n_name, 'A') or contains(n_name, '1') then 1 else 0 end + case when contains(n_nationkey || '.000', '1') then 1 else 0 end) as bigint) as n_fixed from nation group by 1")
+def correction_counts(spark, sf_dir):
+    t = F.get("tables", F.lit(0))
+    return _nations(spark, sf_dir).select("doc_id", fixes(t, corrected_table(t, [("A", "E"), ("1", "one")])).alias("n_fixed"))
+
+
+@query("select distinct o_custkey as doc_id, o_orderkey as page_no from orders where o_orderstatus = 'F' union select distinct o_custkey, o_orderkey from orders o where o_orderstatus = 'O' and not exists (select 1 from orders f where f.o_custkey = o.o_custkey and f.o_orderstatus = 'F')")
+def table_page_detection(spark, sf_dir):
+    pages = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("page_no"), "o_orderstatus")
+    return geometry.table_pages(pages.where("o_orderstatus = 'F'"), pages.where("o_orderstatus = 'O'"))
+
+
+@query("select l_orderkey as doc_id, l_linenumber as page_no, l_quantity from lineitem where exists (select 1 from orders where o_orderkey = l_orderkey and o_orderstatus = 'P')")
+def page_pruning(spark, sf_dir):
+    pages = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page_no"), "l_quantity")
+    open_orders = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_orderkey")
+    flagged = pages.join(open_orders, F.col("doc_id") == F.col("o_orderkey"), "left_semi")
+    return flagged_pages(pages, flagged)
+
+
+@query("select o_custkey as doc_id, 1::bigint as table_count, '# Customer ' || o_custkey || chr(10) || 'A lone | stays prose.' || chr(10) || chr(10) || chr(10) || 'The end.' || chr(10) as text from orders group by 1")
+def classic_parse(spark, sf_dir):
+    return classic(order_markdown(spark, sf_dir)).select("doc_id", F.col("table_count").cast("long"), "text")
