@@ -64,27 +64,26 @@ def laid_out(sizes: np.ndarray, index: Index, window: int = WINDOW) -> list[tupl
     free = np.ones(len(sizes), bool)
     out: list[tuple[int, int, int, int, int]] = []
     sequence, used, cursor = 0, 0, 0
-    seed, ranking, place = -1, np.zeros(0, np.int64), 0
+    seed, scores = -1, None
     for _ in range(len(sizes)):
         doc = -1
         if used and seed >= 0:
-            if not len(ranking):
-                s = np.where(free, index.scores(seed), 0)
-                ranking, place = np.argsort(-s, kind="stable")[: int((s > 0).sum())], 0
-                ranking = ranking if len(ranking) else np.array([-1])
-            while place < len(ranking) and ranking[place] >= 0 and not free[ranking[place]]:
-                place += 1
-            if place < len(ranking):
-                doc = int(ranking[place])
+            if scores is None:
+                scores = np.where(free, index.scores(seed), 0)
+            best = int(scores.argmax())  # the first of equals
+            if scores[best] > 0:
+                doc, scores[best] = best, 0
         if doc < 0:
             while not free[cursor]:
                 cursor += 1
             doc = cursor
         free[doc] = False
+        if scores is not None:
+            scores[doc] = 0
         start = 0
         while start < sizes[doc]:
             if not used:
-                seed, ranking, place = doc, ranking[:0], 0
+                seed, scores = doc, None
             n = int(min(window - used, sizes[doc] - start))
             out.append((doc, start, n, sequence, used))
             start += n

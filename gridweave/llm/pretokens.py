@@ -3,14 +3,18 @@
 The pre-tokens are those of the pattern
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 found from the runs of letters, numbers, white space and others in the text's code points. A pre-token's ids don't depend on its
-neighbours, so the tokenizer itself encodes only the distinct ones, and a bounded cache keeps what it has seen. Texts with characters from
+neighbours, so only the distinct ones are encoded, and a bounded cache keeps what has been seen. Where the file's merges are in the order of their ids, as in byte-level
+vocabularies of this kind, single pre-tokens are encoded by rank, which gives the tokenizer's own ids; otherwise by the tokenizer. Texts with characters from
 U+0530 on (whose class may differ between Unicode versions) or with a special token's string go to the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
 
@@ -22,6 +26,7 @@ SPECIAL = "<|endoftext|>"
 CACHE = 400_000
 
 _CLASS = np.array([SPACE if chr(c) in "\t\n\v\f\r \x85\xa0" else LETTER if unicodedata.category(chr(c))[0] == "L" else NUMBER if unicodedata.category(chr(c))[0] == "N" else OTHER for c in range(FAST_BELOW)], np.uint8)
+_BEYOND = re.compile(f"[{chr(FAST_BELOW)}-{chr(0x10FFFF)}]")
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the pattern
 
 
@@ -68,8 +73,33 @@ def starts_of(code: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(mark)
 
 
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, the others from U+0100 on."""
+    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def _ranked(path: str):
+    """A fast encoder of single pre-tokens, if the file's merges are in the order of their ids (then ids are ranks); else None."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    byte = _byte_of()
+    vocabulary = model["vocab"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    if any(vocabulary.get(a + b) != 256 + k for k, (a, b) in enumerate(merges)):
+        return None
+    ranks = {bytes(byte[c] for c in t): i for t, i in vocabulary.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("file", pat_str=r"(?s:.)+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
 class Encoder:
-    """Encodes texts with a tokenizer file; one for each worker."""
+    """Encodes texts with a tokenizer file; one for each worker.
+
+    What it has seen is kept as sorted hashes with the ids' places, CACHE pre-tokens at most.
+    """
 
     _own: dict[str, Encoder] = {}
 
@@ -78,7 +108,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, np.ndarray] = {}
+        self.piece = _ranked(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.head, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -89,20 +123,32 @@ class Encoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def distinct(self, tokens: list[bytes]) -> list[np.ndarray]:
-        new = [t for t in tokens if t not in self.cache]
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
-            new = tokens
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            for t, e in zip(part, self.tokenizer.encode_batch_fast([t.decode() for t in part], add_special_tokens=False), strict=True):
-                self.cache[t] = np.array(e.ids, np.uint32)
-        return [self.cache[t] for t in tokens]
+    def pieces(self, tokens: list[bytes]) -> list[list[int]]:
+        if self.piece:
+            return [self.piece(t) for t in tokens]
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in tokens], add_special_tokens=False)]
+
+    def known(self, hashes: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in self.flat the ids of these pre-tokens (ascending hashes) begin, and how many they are."""
+        if len(self.hashes) + len(hashes) > CACHE:
+            self.forget()
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inner = at < len(self.hashes)
+        new[inner] = self.hashes[at[inner]] != hashes[inner]
+        if new.any():
+            found = self.pieces([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            size = np.array([len(x) for x in found], np.int64)
+            head = len(self.flat) + np.cumsum(size) - size
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))))
+            order = np.argsort(every := np.concatenate((self.hashes, hashes[new])), kind="stable")
+            self.hashes, self.head, self.size = every[order], np.concatenate((self.head, head))[order], np.concatenate((self.size, size))[order]
+            at = np.searchsorted(self.hashes, hashes)
+        return self.head[at], self.size[at]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """ids of all texts, where each text's begin; the terms (numbers of distinct pre-tokens) of all texts, where each text's begin."""
-        slow = {i: self.whole(t) for i, t in enumerate(texts) if not t.isascii() and max(t) >= chr(FAST_BELOW) or SPECIAL in t}
+        slow = {i: self.whole(t) for i, t in enumerate(texts) if not t.isascii() and _BEYOND.search(t) or SPECIAL in t}
         fast = "".join("" if i in slow else t for i, t in enumerate(texts))
         length = np.array([0 if i in slow else len(t) for i, t in enumerate(texts)], np.int64)
         offsets = np.concatenate(([0], np.cumsum(length)))
@@ -111,21 +157,17 @@ class Encoder:
         raw = np.frombuffer(fast.encode(), np.uint8)
         lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
         s, e = lead[begin], lead[np.append(begin[1:], len(code))] if len(begin) else begin
-        _, index, term = np.unique(span_hashes(raw, s, e), return_index=True, return_inverse=True)
-        data = raw.tobytes()
-        parts = self.distinct([data[a:b] for a, b in zip(s[index].tolist(), e[index].tolist(), strict=True)])
-        size = np.array([len(p) for p in parts], np.int64)
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        head = np.cumsum(size) - size
+        distinct, index, term = np.unique(span_hashes(raw, s, e), return_index=True, return_inverse=True)
+        head, size = self.known(distinct, raw.tobytes(), s[index], e[index])
         n = size[term]
-        ids = flat[np.repeat(head[term] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        ids = self.flat[np.repeat(head[term] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         term_at = np.searchsorted(begin, offsets)
         id_at = np.concatenate(([0], np.cumsum(n)))[term_at]
         if slow:  # put the other texts' ids in their places; their terms are their ids, behind the fast ones' numbers
             pieces, terms, count, tcount = [], [], [], []
             for i in range(len(texts)):
                 pieces.append(slow.get(i, ids[id_at[i] : id_at[i + 1]]))
-                terms.append(slow[i].astype(np.int64) + len(parts) if i in slow else term[term_at[i] : term_at[i + 1]])
+                terms.append(slow[i].astype(np.int64) + len(distinct) if i in slow else term[term_at[i] : term_at[i + 1]])
                 count.append(len(pieces[-1]))
                 tcount.append(len(terms[-1]))
             ids, id_at = np.concatenate(pieces), np.concatenate(([0], np.cumsum(count)))
