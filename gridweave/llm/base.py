@@ -1,35 +1,17 @@
-"""What every operator of this subpackage shares: shipping code, cutting lineage, picking columns."""
+"""What every operator of this subpackage shares: cutting lineage, picking columns."""
 
 from __future__ import annotations
 
-import os
 import tempfile
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Null document ids sort behind all others.
 LAST_ID = (1 << 63) - 1
 
-_SHIPPED: dict[str, str] = {}
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once for each application (they may not have it installed)."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="gridweave-"), "gridweave_pkg.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, names in os.walk(top):
-            for name in sorted(n for n in names if n.endswith(".py")):
-                full = os.path.join(folder, name)
-                z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    spark.sparkContext.addPyFile(path)  # Spark's own file server hands it out
-    _SHIPPED[app] = path
-
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df in the cluster's shared checkpoint folder and forget its lineage.

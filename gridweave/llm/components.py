@@ -124,8 +124,9 @@ def connected(edges: DataFrame) -> DataFrame:
     while state != (now := star.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()):
         state = now
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # Cut, so that the join below is one of two plain shuffles, which Spark can split where a hub has very many edges.
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m")))
+        large = star.join(least, "v").select("u", F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         star = cut(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", "m")).distinct())
     return star.select(F.col("u").alias("node"), F.col("v").alias("component")).union(star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -166,8 +166,8 @@ def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: in
     groups = connected(spanning(postings.join(texts.select("node", F.col("signature").alias("payload")), "node").select("key", "node", "payload"), sizes_of(postings), lambda p: by_signature(p, MATCHES), list_limit))
     members = cut(groups.join(texts, "node").select(F.col("component").alias("key"), "node", F.col("text").alias("payload")))
     components = connected(spanning(members, sizes_of(members), by_text, group_limit))
-    at = seen.select("node", "doc_id", "line").join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "doc_id", "line")
-    first = at.groupBy("label").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("label", "first")
+    at = cut(seen.select("node", "doc_id", "line").join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "doc_id", "line"))
+    first = cut(at.groupBy("label").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("label", "first"))
     lost = at.join(first, "label").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("line") != F.col("first.line")))
     return lost.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))  # at most a document's lines
 

@@ -134,8 +134,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col
     members = cut(groups.join(classes.select("node", "rep"), "node"))
     links = spanning(_with_sets(docs, members, shingle), members.groupBy(F.col("component").alias("key")).agg(F.count("*").alias("n")), lambda p: by_sets(p, percent), group_limit)
     components = connected(links)
-    labelled = described.select("doc_id", "n_shingles", "node").join(components, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    least = labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    labelled = cut(described.select("doc_id", "n_shingles", "node").join(components, "node", "left").withColumn("label", F.coalesce("component", "node")))
+    least = cut(labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")))
     joined = labelled.join(least, "label", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

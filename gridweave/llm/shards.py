@@ -123,7 +123,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"), F.md5(text.cast("binary")).alias("same"))
     # A number for each row: ids may repeat or be null. It is fixed by the checkpoint.
     rows = cut(rows.withColumn("node", F.monotonically_increasing_id()))
-    groups = rows.groupBy("same").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
+    groups = cut(rows.groupBy("same").agg(F.min("node").alias("hub"), F.count("*").alias("n")))  # then Spark can split the join on a hot text
     nodes = cut(rows.join(groups, "same").select("node", "hub", (F.col("n") - 1).alias("weight")))
     links = nodes.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     links = cut(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
