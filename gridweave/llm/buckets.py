@@ -6,7 +6,7 @@ answers each message in the message's order. A hot word or passage is thus sent
 document, and no group is larger than a bucket or a shard. Buckets and shards keep their size when the corpus grows; a
 message gets smaller then, at worst down to a single entry, which is what a plain shuffle would send.
 
-Bucket bounds are quantiles of the ids, so any task that sees a document puts it in the same bucket, and each step can be
+A bucket follows from the id alone, so any task that sees a document puts it in the same bucket, and each step can be
 recomputed after a lost executor. Null ids come last; rows with equal ids are ordered by their text.
 """
 
@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import LAST_ID, partitions
-from .words import utf8
+from .words import mix, utf8
 
 #: Bytes of text in a bucket, about.
 BUCKET_BYTES = 6 << 20
 #: Shards for each bucket: a shard holds about this many buckets' worth of distinct hashes.
 BUCKETS_A_SHARD = 3
+#: Ranges of ids, and tasks of a shuffle beyond what the session asks for; more buckets share a task.
+RANGES, MOST_TASKS = 4096, 50_000
 #: Bytes that a packing task holds before it hands out its messages.
 HELD_BYTES = 24 << 20
 
@@ -49,21 +51,26 @@ def expand(blob: bytes, *kinds: type) -> list[np.ndarray]:
 
 
 class Plan:
-    """How many buckets and shards, and the buckets' bounds."""
+    """How many buckets and shards there are, and which bucket an id belongs to: ranges between quantiles of the ids, of which there are RANGES at most, each dealt out
+    by a hash to as many buckets as it needs. So what the executors are told doesn't grow with the corpus."""
 
     def __init__(self, docs: DataFrame, bucket_bytes: int | None = None):
         bucket_bytes = bucket_bytes or BUCKET_BYTES
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        n = max(1, -(-int(total) // bucket_bytes))
+        wanted = max(1, -(-int(total) // bucket_bytes))
+        n = min(wanted, RANGES)
+        self.each = -(-wanted // n)
         ids = F.coalesce("doc_id", F.lit(LAST_ID))
         cuts = docs.agg(F.percentile_approx(ids, [k / n for k in range(1, n)], 20 * max(n, 500))).first()[0] if n > 1 else []
         self.bounds = np.unique(np.array(cuts or [], np.int64))
-        self.buckets = len(self.bounds) + 1
+        self.buckets = (len(self.bounds) + 1) * self.each
         self.shards = max(1, self.buckets // BUCKETS_A_SHARD)
-        self.tasks = max(1, min(self.buckets, max(partitions(docs.sparkSession), self.buckets // 8)))
+        most = max(partitions(docs.sparkSession), min(self.buckets // 8, MOST_TASKS))
+        self.tasks, self.shard_tasks = min(self.buckets, most), min(self.shards, max(most, MOST_TASKS))
 
     def bucket(self, ids: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.bounds, ids, "right")
+        within = mix(ids.astype(np.uint64) + np.uint64(1)) % np.uint64(self.each)
+        return np.searchsorted(self.bounds, ids, "right") * self.each + within.astype(np.int64)
 
     def shard_ends(self, hashes: np.ndarray) -> np.ndarray:
         """hashes is sorted; shard s has hashes[ends[s]:ends[s + 1]]."""

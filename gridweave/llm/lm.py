@@ -223,7 +223,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     plan = Plan(docs, bucket_bytes)
     by_bucket = bucketed(docs, plan)
     asked = by_bucket.groupBy("bucket").applyInArrow(_ask(plan), _MESSAGE)
-    answers = cut(asked.repartition(plan.shards, "shard").groupBy("shard").applyInArrow(_answer, f"{_MESSAGE}, n long, v long"))
+    answers = cut(asked.repartition(plan.shard_tasks, "shard").groupBy("shard").applyInArrow(_answer, f"{_MESSAGE}, n long, v long"))
     total, vocabulary = (int(x or 0) for x in answers.agg(F.sum("n"), F.sum("v")).first())
     answers = answers.drop("n", "v").repartition(plan.tasks, "bucket")
     scored = by_bucket.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_score(total, vocabulary), OUTPUT)

@@ -38,7 +38,7 @@ select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, s
 
 OP6 = rf"""
 with recursive w as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
-s as (select distinct doc_id, k from (select doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]] else list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) end) as k from w)),
+s as (select distinct doc_id, k from (select doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]] else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as k from w)),
 sizes as (select doc_id, count(*) as n from s group by doc_id),
 links as (select a.doc_id as x, b.doc_id as y from s a join s b on a.k = b.k and a.doc_id < b.doc_id join sizes m on m.doc_id = a.doc_id join sizes o on o.doc_id = b.doc_id group by a.doc_id, b.doc_id, m.n, o.n having 100 * count(*) >= 80 * (m.n + o.n - count(*))),
 edges as (select x, y from links union select y, x from links),

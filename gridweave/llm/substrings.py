@@ -206,7 +206,7 @@ def dedup_substrings(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_
     plan = Plan(docs, bucket_bytes)
     by_bucket = bucketed(docs, plan)
     asked = by_bucket.groupBy("bucket").applyInArrow(_ask(plan, k), _ASKED)
-    answers = cut(asked.repartition(plan.shards, "shard").groupBy("shard").applyInArrow(_answer, _ASKED))
+    answers = cut(asked.repartition(plan.shard_tasks, "shard").groupBy("shard").applyInArrow(_answer, _ASKED))
     together = lambda rows: by_bucket.groupBy("bucket").cogroup(rows.repartition(plan.tasks, "bucket").groupBy("bucket"))
     requests = together(answers).applyInArrow(_request(plan, k), _ASKED)
     sources = together(requests).applyInArrow(_send, _ASKED)
