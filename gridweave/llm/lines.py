@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import LAST_ID, cut, picked, ship, unused
+from .base import LAST_ID, cut, partitions, picked, ship, unused
 from .components import connected, spanning
 from .minhash import by_sets, by_signature, sizes_of, signatures
 from .words import mix, pieces, span_hashes
@@ -94,28 +94,59 @@ def _texts(column) -> list[bytes]:
     return [(t or "").encode() for t in column.to_pylist()]
 
 
-_OCCURRENCE = "node binary, doc_id long, line int, bands array<long>"
+def short_of(nodes: list[bytes]) -> np.ndarray:
+    """64 bits of each id; they find candidates, the whole ids tell lines apart."""
+    return np.frombuffer(b"".join(nodes), np.int64)[::2] if nodes else np.zeros(0, np.int64)
 
 
 def _occurrences(batches):
+    """(node, doc_id, line) of every line that is long enough."""
     for b in batches:
-        nodes, ids, numbers, new = [], [], [], {}
+        nodes, ids, numbers = [], [], []
         for i, text in zip(b.column("doc_id").to_pylist(), _texts(b.column("text")), strict=True):
             for k, own in eligible(text):
-                nodes.append(node := node_of(own))
-                new.setdefault(node, (len(nodes) - 1, own))
+                nodes.append(node_of(own))
                 ids.append(LAST_ID if i is None else i)
                 numbers.append(k)
-        bands = [None] * len(nodes)
-        if new:
-            for (at, _), keys in zip(new.values(), band_keys(signed([own for _, own in new.values()])), strict=True):
-                bands[at] = keys
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(bands, pa.list_(pa.int64()))], ["node", "doc_id", "line", "bands"])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(ids, pa.int64()), pa.array(numbers, pa.int32())], ["node", "doc_id", "line"])
 
 
-def _bitmap(nodes: DataFrame) -> np.ndarray:
-    """Bits of the nodes' hashes; a few megabytes, whatever the number of nodes."""
-    bits = nodes.select(F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS)).alias("b"))
+def _distinct(column) -> list[bytes]:
+    return list(dict.fromkeys(own for text in _texts(column) for _, own in eligible(text)))
+
+
+def _band_rows(batches):
+    """(key, short): each line's band keys, once for each batch."""
+    for b in batches:
+        own = _distinct(b.column("text"))
+        for lo in range(0, len(own), 4096):
+            part = own[lo : lo + 4096]
+            yield pa.RecordBatch.from_arrays([pa.array(band_keys(signed(part)).ravel()), pa.array(np.repeat(short_of([node_of(x) for x in part]), BANDS))], ["key", "short"])
+
+
+def _shared(batches):
+    """Of rows (key, short) in their order, each different one of the keys that have two or more."""
+    last, handed = np.zeros((0, 2), np.int64), False  # the last row, and whether it has been handed out
+    for b in batches:
+        rows = np.concatenate((last, np.stack([b.column("key").to_numpy(), b.column("short").to_numpy()], 1)))
+        if not len(rows):
+            continue
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(1)
+        rows = rows[new]
+        alike = np.zeros(len(rows) + 1, bool)
+        alike[1:-1] = rows[1:, 0] == rows[:-1, 0]
+        some = alike[1:] | alike[:-1]
+        out = some.copy()
+        out[0] &= not handed
+        handed = bool(some[-1]) or handed and len(rows) == 1
+        last = rows[-1:]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[out, 0]), pa.array(rows[out, 1])], ["key", "short"])
+
+
+def _bitmap(shorts: DataFrame) -> np.ndarray:
+    """Bits of hashes of the column short; a few megabytes, whatever the number of rows."""
+    bits = shorts.select(F.pmod(F.col("short"), F.lit(BITMAP_BITS)).alias("b"))
     words = bits.selectExpr("cast(b div 64 as int) as w", "shiftleft(1L, cast(b % 64 as int)) as m").groupBy("w").agg(F.bit_or("m").alias("m"))
     out = np.zeros(BITMAP_BITS // 64, np.uint64)
     t = words.toArrow()  # at most BITMAP_BITS / 64 rows
@@ -124,30 +155,26 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
 
 
 def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text, signature) of the wanted nodes."""
-    # The hash is Spark's, so each scan hands out ids with it and Spark filters them by the broadcast bitmap in a second, small step.
+    """(short, node, text, signature) of the lines with a wanted short id."""
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
-    def lines_of(batches):
-        for b in batches:
-            own = list({x for t in _texts(b.column("text")) for _, x in eligible(t)})
-            yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in own], pa.binary()), pa.array(own, pa.binary())], ["node", "text"])
-
     def few(batches):
         for b in batches:
-            bit = np.array(b.column("bit"), np.int64)
-            hit = shared.value[bit // 64] >> (bit % 64).astype(np.uint64) & np.uint64(1) > 0
-            yield b.filter(pa.array(hit)).select(["node", "text"])
+            own = _distinct(b.column("text"))
+            nodes = [node_of(x) for x in own]
+            short = short_of(nodes)
+            bit = short % BITMAP_BITS
+            hit = (shared.value[bit // 64] >> (bit % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(nodes, pa.binary()), pa.array(own, pa.binary())], ["short", "node", "text"]).filter(pa.array(hit))
 
-    lines = docs.select("text").mapInArrow(lines_of, "node binary, text binary").withColumn("bit", F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS)))
-    found = lines.mapInArrow(few, "node binary, text binary").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    found = docs.select("text").mapInArrow(few, "short long, node binary, text binary").join(wanted, "short", "left_semi").dropDuplicates(["node"])
 
     def sign(batches):
         for b in batches:
             text = b.column("text").to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("text"), pa.array([s.tobytes() for s in signed(text)] if text else [], pa.binary())], ["node", "text", "signature"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("short", "node", "text")), pa.array([s.tobytes() for s in signed(text)] if text else [], pa.binary())], ["short", "node", "text", "signature"])
 
-    return found.mapInArrow(sign, "node binary, text binary, signature binary")
+    return found.mapInArrow(sign, "short long, node binary, text binary, signature binary")
 
 
 def by_text(payloads: list[bytes]):
@@ -157,16 +184,16 @@ def by_text(payloads: list[bytes]):
 
 def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """(doc_id, lines): the numbers of the lines to remove, for documents (doc_id, text) that lose any; null ids as LAST_ID."""
-    seen = cut(docs.mapInArrow(_occurrences, _OCCURRENCE))
-    h = F.xxhash64("node")
-    keys = seen.where("bands is not null").select("node", F.explode("bands").alias("key")).repartition("key")
-    shared = keys.groupBy("key").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a <> b").select("key")
-    postings = cut(keys.join(shared, "key", "left_semi").distinct())
-    texts = cut(_candidate_texts(docs, postings.select("node").distinct()))
-    groups = connected(spanning(postings.join(texts.select("node", F.col("signature").alias("payload")), "node").select("key", "node", "payload"), sizes_of(postings), lambda p: by_signature(p, MATCHES), list_limit))
+    keys = docs.select("text").mapInArrow(_band_rows, "key long, short long")
+    # Sorted, a key's rows only stream by: no task holds them.
+    postings = cut(keys.repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "short").mapInArrow(_shared, "key long, short long"))
+    texts = cut(_candidate_texts(docs, postings.select("short").distinct()))
+    lists = postings.join(texts.select("short", "node", F.col("signature").alias("payload")), "short").select("key", "node", "payload")
+    groups = connected(spanning(lists, sizes_of(postings), lambda p: by_signature(p, MATCHES), list_limit))
     members = cut(groups.join(texts, "node").select(F.col("component").alias("key"), "node", F.col("text").alias("payload")))
     components = connected(spanning(members, sizes_of(members), by_text, group_limit))
-    at = cut(seen.select("node", "doc_id", "line").join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "doc_id", "line"))
+    seen = docs.mapInArrow(_occurrences, "node binary, doc_id long, line int")
+    at = cut(seen.join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "doc_id", "line"))
     first = cut(at.groupBy("label").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("label", "first"))
     lost = at.join(first, "label").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("line") != F.col("first.line")))
     return lost.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))  # at most a document's lines
