@@ -73,7 +73,7 @@ def signed(lines: list[bytes]) -> np.ndarray:
     for s in shingle_sets(lines):
         held.append(s)
         size += len(s)
-        if size > 1 << 16:
+        if size > 1 << 15:
             out.append(signatures(held, BANDS * ROWS))
             held, size = [], 0
     out.append(signatures(held, BANDS * ROWS))
@@ -99,18 +99,6 @@ def short_of(nodes: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(nodes), np.int64)[::2] if nodes else np.zeros(0, np.int64)
 
 
-def _occurrences(batches):
-    """(node, doc_id, line) of every line that is long enough."""
-    for b in batches:
-        nodes, ids, numbers = [], [], []
-        for i, text in zip(b.column("doc_id").to_pylist(), _texts(b.column("text")), strict=True):
-            for k, own in eligible(text):
-                nodes.append(node_of(own))
-                ids.append(LAST_ID if i is None else i)
-                numbers.append(k)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(ids, pa.int64()), pa.array(numbers, pa.int32())], ["node", "doc_id", "line"])
-
-
 def _distinct(column) -> list[bytes]:
     return list(dict.fromkeys(own for text in _texts(column) for _, own in eligible(text)))
 
@@ -154,26 +142,40 @@ def _bitmap(shorts: DataFrame) -> np.ndarray:
     return out
 
 
-def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(short, node, text, signature) of the lines with a wanted short id."""
+def _occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(short, node, doc_id, line, text) of every line that is long enough; text only where the short id may be wanted, once for each batch."""
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
-    def few(batches):
+    def find(batches):
         for b in batches:
-            own = _distinct(b.column("text"))
-            nodes = [node_of(x) for x in own]
+            nodes, ids, numbers, texts, seen = [], [], [], [], {}
+            for i, text in zip(b.column("doc_id").to_pylist(), _texts(b.column("text")), strict=True):
+                for k, own in eligible(text):
+                    node = seen.get(own)
+                    texts.append(own if node is None else None)
+                    if node is None:
+                        node = seen[own] = node_of(own)
+                    nodes.append(node)
+                    ids.append(LAST_ID if i is None else i)
+                    numbers.append(k)
             short = short_of(nodes)
             bit = short % BITMAP_BITS
             hit = (shared.value[bit // 64] >> (bit % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
-            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(nodes, pa.binary()), pa.array(own, pa.binary())], ["short", "node", "text"]).filter(pa.array(hit))
+            text = pa.array([t if h else None for t, h in zip(texts, hit.tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(nodes, pa.binary()), pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), text], ["short", "node", "doc_id", "line", "text"])
 
-    found = docs.select("text").mapInArrow(few, "short long, node binary, text binary").join(wanted, "short", "left_semi").dropDuplicates(["node"])
+    return docs.mapInArrow(find, "short long, node binary, doc_id long, line int, text binary")
+
+
+def _signed_texts(seen: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(short, node, text, signature) of the lines with a wanted short id."""
 
     def sign(batches):
         for b in batches:
             text = b.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("short", "node", "text")), pa.array([s.tobytes() for s in signed(text)] if text else [], pa.binary())], ["short", "node", "text", "signature"])
 
+    found = seen.where("text is not null").select("short", "node", "text").join(wanted, "short", "left_semi").dropDuplicates(["node"])
     return found.mapInArrow(sign, "short long, node binary, text binary, signature binary")
 
 
@@ -187,13 +189,14 @@ def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: in
     keys = docs.select("text").mapInArrow(_band_rows, "key long, short long")
     # Sorted, a key's rows only stream by: no task holds them.
     postings = cut(keys.repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "short").mapInArrow(_shared, "key long, short long"))
-    texts = cut(_candidate_texts(docs, postings.select("short").distinct()))
+    wanted = cut(postings.select("short").distinct())
+    seen = cut(_occurrences(docs, wanted))
+    texts = cut(_signed_texts(seen, wanted))
     lists = postings.join(texts.select("short", "node", F.col("signature").alias("payload")), "short").select("key", "node", "payload")
     groups = connected(spanning(lists, sizes_of(postings), lambda p: by_signature(p, MATCHES), list_limit))
     members = cut(groups.join(texts, "node").select(F.col("component").alias("key"), "node", F.col("text").alias("payload")))
     components = connected(spanning(members, sizes_of(members), by_text, group_limit))
-    seen = docs.mapInArrow(_occurrences, "node binary, doc_id long, line int")
-    at = cut(seen.join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "doc_id", "line"))
+    at = cut(seen.select("node", "doc_id", "line").join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "doc_id", "line"))
     first = cut(at.groupBy("label").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("label", "first"))
     lost = at.join(first, "label").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("line") != F.col("first.line")))
     return lost.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))  # at most a document's lines
