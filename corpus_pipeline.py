@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave.llm import decontaminate, lines, minhash, packing, toxicity
-from gridweave.llm.base import table, unused
+from gridweave.llm.base import LAST_ID, table, unused
 
 #: Words of a shingle in the near-duplicate stage, and the similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -36,10 +36,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    key = unused(docs, "lost_id")
-    lost = minhash.near_duplicates(docs, SHINGLE, PERCENT).where("not kept").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col(key)), "left_anti").dropDuplicates(["doc_id", "text"])
+    """Of each group of near duplicates the document with the smallest id stays, and of rows that repeat an id and a text one."""
+    key, text = unused(docs, "row_id"), unused(docs, "row_text")
+    lost = minhash.near_duplicates(docs, SHINGLE, PERCENT).where("not kept").select(F.coalesce("doc_id", F.lit(LAST_ID)).alias(key), F.col("text_hash").alias(text)).distinct()
+    rows = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), text: F.xxhash64(F.col("text").cast("string"))})
+    return rows.join(lost, [key, text], "left_anti").dropDuplicates([key, text]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

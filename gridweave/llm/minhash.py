@@ -46,10 +46,12 @@ def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.nda
         return out
     flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
+    x, y = np.empty_like(flat), np.empty_like(flat)  # in place: this loop is most of the work
     for c in range(coordinates):
-        x = flat * _MULTIPLIERS[2 * c]
-        x ^= x >> np.uint32(15)
-        x *= _MULTIPLIERS[2 * c + 1]
+        np.multiply(flat, _MULTIPLIERS[2 * c], out=x)
+        np.right_shift(x, np.uint32(15), out=y)
+        np.bitwise_xor(x, y, out=x)
+        np.multiply(x, _MULTIPLIERS[2 * c + 1], out=x)
         out[:, c] = np.minimum.reduceat(x, starts)
     return out
 
@@ -103,7 +105,7 @@ def _described(k: int):
             sets = list(sets_of(b.column("text"), k))
             some = [s for s in sets if len(s)]
             rows = iter(signatures(some).tolist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()), pa.array([np.array(next(rows), np.uint32).view(np.int32) if len(s) else None for s in sets], pa.list_(pa.int32()))], ["doc_id", "n_shingles", "node", "signature"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()), pa.array([np.array(next(rows), np.uint32).view(np.int32) if len(s) else None for s in sets], pa.list_(pa.int32()))], ["doc_id", "text_hash", "n_shingles", "node", "signature"])
 
     return describe
 
@@ -122,9 +124,9 @@ def sizes_of(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """One row for each document: n_shingles, component_id (the smallest id that links reach) and kept (is it that id?)."""
+    """One row for each document: n_shingles, component_id (the smallest id that links reach), kept (is it that id?) and text_hash (xxhash64)."""
     docs = picked(docs, id_col, text_col)
-    described = cut(docs.mapInArrow(_described(shingle), "doc_id long, n_shingles long, node binary, signature array<int>"))
+    described = cut(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_described(shingle), "doc_id long, text_hash long, n_shingles long, node binary, signature array<int>"))
     classes = described.where("node is not null").groupBy("node").agg(F.first("signature").alias("signature"), F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("rep"))
     postings = cut(prefix_postings(classes))
     shared = sizes_of(postings)
@@ -134,10 +136,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col
     members = cut(groups.join(classes.select("node", "rep"), "node"))
     links = spanning(_with_sets(docs, members, shingle), members.groupBy(F.col("component").alias("key")).agg(F.count("*").alias("n")), lambda p: by_sets(p, percent), group_limit)
     components = connected(links)
-    labelled = cut(described.select("doc_id", "n_shingles", "node").join(components, "node", "left").withColumn("label", F.coalesce("component", "node")))
+    labelled = cut(described.select("doc_id", "text_hash", "n_shingles", "node").join(components, "node", "left").withColumn("label", F.coalesce("component", "node")))
     least = cut(labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")))
     joined = labelled.join(least, "label", "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return joined.select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "text_hash").select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
 
 
 def _with_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:

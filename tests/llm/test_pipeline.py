@@ -38,6 +38,8 @@ def test_stages_of_odd_rows(spark, sf, odd, frame):
         for name, stage in pipeline.STAGES[:-1]:
             assert stage(spark, own, sf).columns == docs.columns, name
         pipeline.STAGES[-1][1](spark, own, sf).count()
+    left = [(r.doc_id, r.text) for r in pipeline.drop_near_duplicates(spark, docs, sf).collect()]
+    assert len(left) == len(set(left)) == len({(i, t) for i, t in odd}) - 1  # one of the two copies of row 5, and 5 itself as a copy of 4
 
 
 def test_whole_pipeline(spark, sf):
