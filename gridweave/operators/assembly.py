@@ -23,12 +23,16 @@ def composed(parts: Column) -> Column:
 
 
 def documents(blocks: DataFrame, extracted: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(doc_id, parts) from blocks (doc_id, block_no, kind, text, table) and extracted tables (doc_id, table_no, table)."""
+    """(doc_id, parts, marked, found) from blocks (doc_id, block_no, kind, text, table) and extracted tables (doc_id, table_no, table).
+
+    parts: the document put together; marked: how many of its own blocks are tables; found: the extracted tables in order.
+    """
     b = blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("block_no", "kind", markdown_to_plain(F.col("text")).alias("text"), "table"))).alias("b"))
     e = extracted.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("table_no", "table"))).alias("e"))
     both = b.join(e, "doc_id", "full_outer")
     own = F.coalesce(F.transform("b", lambda x: F.struct(x["kind"].alias("kind"), x["text"].alias("text"), x["table"].alias("table"))), F.array().cast(f"array<{BLOCK}>"))
-    return both.select("doc_id", fold_document(own, F.coalesce(F.transform("e", lambda x: x["table"]), no_tables()), pairs).alias("parts"))
+    both = both.select("doc_id", own.alias("b"), F.coalesce(F.transform("e", lambda x: x["table"]), no_tables()).alias("found"))
+    return both.select("doc_id", fold_document(F.col("b"), F.col("found"), pairs).alias("parts"), F.size(F.filter("b", lambda x: x["kind"] == "table")).alias("marked"), "found")
 
 
 def matches(blocks: DataFrame, extracted: DataFrame) -> DataFrame:

@@ -69,18 +69,15 @@ def unified(docs: DataFrame, flagged: DataFrame, tables: DataFrame, pairs: list[
     docs: (doc_id, text); flagged: pages with tables (doc_id, page_no); tables: what the cascade gave (doc_id, backend, table_no, table), which
     counts only for documents with flagged pages.
     """
-    own = blocks(docs)
     pages = flagged.groupBy("doc_id").agg(F.array_sort(F.collect_set("page_no")).alias("pages_with_tables"))
     found = tables.join(pages.select("doc_id"), "doc_id", "left_semi")
     found = found.limit(0) if options.skip_tables else found
-    parts = documents(own, found, pairs)
-    given = found.groupBy("doc_id").agg(F.first("backend").alias("given_by"), F.array_sort(F.collect_list(F.struct("table_no", "table"))).alias("e"))
-    marked = own.groupBy("doc_id").agg(F.count_if(F.col("kind") == "table").alias("marked"))
-    row = docs.select("doc_id").join(parts, "doc_id", "left").join(pages, "doc_id", "left").join(given, "doc_id", "left").join(marked, "doc_id", "left")
-    row = row.withColumns({"parts": F.coalesce("parts", F.array().cast(f"array<{BLOCK}>")), "pages_with_tables": F.coalesce("pages_with_tables", F.array().cast("array<int>"))})
+    by = found.groupBy("doc_id").agg(F.first("backend").alias("given_by"))
+    row = docs.select("doc_id").join(documents(blocks(docs), found, pairs), "doc_id", "left").join(pages, "doc_id", "left").join(by, "doc_id", "left")
+    row = row.withColumns({"parts": F.coalesce("parts", F.array().cast(f"array<{BLOCK}>")), "found": F.coalesce("found", no_tables()), "pages_with_tables": F.coalesce("pages_with_tables", F.array().cast("array<int>"))})
     kept = F.transform(F.filter("parts", lambda b: b["kind"] == "table"), lambda b: b["table"])
     # Tables that assembly has dropped altogether are reported all the same.
-    final = F.when(F.size(kept) > 0, kept).otherwise(F.coalesce(F.transform("e", lambda x: x["table"]), no_tables()))
+    final = F.when(F.size(kept) > 0, kept).otherwise(F.col("found"))
     backend = F.when(F.size("pages_with_tables") == 0, NONE).when(F.lit(options.skip_tables), MARKER).otherwise(F.coalesce("given_by", F.lit(FAILED)))
     row = row.withColumns({"tables": final.cast(f"array<{TABLE}>"), "backend": backend})
     count = F.when(F.size("tables") > 0, F.size("tables")).otherwise(F.coalesce("marked", F.lit(0))).cast("int")
