@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleanup import load_corrections
+from ..functions.corrections import CORRECTIONS
 from ..sources import readers, writers
 from ..sources.backends import grid_backend
 from .jobs import Options, cascade, exit_code, unified
@@ -28,7 +29,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("-i", "--input", required=True, help="folder of Markdown files")
     p.add_argument("-o", "--output", default="output", help="folder for results")
     p.add_argument("--grids", help="JSON lines with raw grids (doc_id, page_no, index_on_page, rows)")
-    p.add_argument("--corrections", help="JSON object of wrong and right texts")
+    p.add_argument("--corrections", help="JSON object of wrong and right texts, instead of the known ones")
     p.add_argument("--docx", action="store_true")
     p.add_argument("--skip-tables", action="store_true")
     p.add_argument("--no-header-row", action="store_true")
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     docs = readers.texts(spark, a.input)
     grids = readers.grids(spark, a.grids) if a.grids else spark.createDataFrame([], "doc_id long, page_no int, index_on_page int, rows array<array<string>>")
     flagged = grids.where(F.size("rows") > 0).select("doc_id", "page_no").distinct()
-    results = unified(docs, flagged, cascade(grids, [grid_backend(not a.no_header_row)]), load_corrections(a.corrections) if a.corrections else [], Options(a.skip_tables)).persist()
+    results = unified(docs, flagged, cascade(grids, [grid_backend(not a.no_header_row)]), load_corrections(a.corrections) if a.corrections else CORRECTIONS, Options(a.skip_tables)).persist()
     for files in [writers.text_files(results), writers.workbooks(results), writers.csv_files(results), *([writers.word_documents(results)] if a.docx else [])]:
         writers.save(files, a.output)
     return exit_code(results)

@@ -2,7 +2,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from gridweave.functions.cleanup import corrected_table, fixes, load_corrections
+from gridweave.functions.cleanup import corrected, corrected_table, fixes, load_corrections
+from gridweave.functions.corrections import CORRECTIONS
 from gridweave.functions.names import grid_names
 from gridweave.operators import geometry, prose
 from gridweave.operators.responses import html_grid, html_table, json_payload, payload_tables, predicted_html, response_tables
@@ -51,6 +52,13 @@ def test_dictionary(spark, tmp_path):
     assert load_corrections(tmp_path / "none.json") == [] and on_table(spark, t, lambda c: corrected_table(c, [])) == t
 
 
+def test_known_corrections_cascade(spark):
+    assert len(CORRECTIONS) == 82
+    assert on_text(spark, "Trong hoyết", lambda c: corrected(c, CORRECTIONS)) == "Trong quyết"  # a later pair for the whole phrase never fires
+    once = on_text(spark, "nước và chỉ tr", lambda c: corrected(c, CORRECTIONS))
+    assert once == "Nhà nước và chỉ tr" and on_text(spark, once, lambda c: corrected(c, CORRECTIONS)) == "Nhà Nhà nước và chỉ tr"
+
+
 def test_names(spark):
     assert spark.createDataFrame([(["A", None, "A", " ", "A"],)], "h array<string>").select(grid_names(F.col("h")).alias("x")).first().x == ["A", "Column_2", "A_2", "Column_4", "A_3"]
 
