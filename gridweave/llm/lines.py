@@ -9,10 +9,10 @@ MIN_CHARS characters (code points) are too short to tell apart and always stay.
 3. only the candidates' texts are fetched: a bitmap of fixed size, filled with hashes of their ids, lets a second scan hand out few others, and a join drops those;
 4. within bands, signatures that agree in 14 of 30 coordinates link nodes into groups; within groups, sets are compared, and lines with
    100 * |A & B| >= 80 * |A | B| are linked (components.spanning(): walks, no lists of pairs);
-5. distributed union-find gives components; the occurrence with the smallest (document id, line number) stays, all others go.
+5. distributed union-find gives components; the occurrence with the smallest (document id, hash of the text, line number) stays, all others go.
 
-Odd input: null texts have no lines and stay null; empty texts stay empty; a null id comes last; rows that repeat an id and a text lose the same lines (none of them holds
-a line before the other); extra columns are kept as they are by drop_lines().
+Odd input: null texts have no lines and stay null; empty texts stay empty; a null id comes last; rows that share an id, or have none, but differ in their texts are documents of
+their own, in the order of the texts' xxhash64; rows that repeat an id and a text lose the same lines (none of them holds a line before the other); extra columns are kept as they are by drop_lines().
 """
 
 from __future__ import annotations
@@ -143,13 +143,13 @@ def _bitmap(shorts: DataFrame) -> np.ndarray:
 
 
 def _occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(short, node, doc_id, line, text) of every line that is long enough; text only where the short id may be wanted, once for each batch."""
+    """(short, node, doc_id, text_hash, line, text) of every line that is long enough; text only where the short id may be wanted, once for each batch."""
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
     def find(batches):
         for b in batches:
-            nodes, ids, numbers, texts, seen = [], [], [], [], {}
-            for i, text in zip(b.column("doc_id").to_pylist(), _texts(b.column("text")), strict=True):
+            nodes, ids, hashes, numbers, texts, seen = [], [], [], [], [], {}
+            for i, h, text in zip(b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist(), _texts(b.column("text")), strict=True):
                 for k, own in eligible(text):
                     node = seen.get(own)
                     texts.append(own if node is None else None)
@@ -157,14 +157,15 @@ def _occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         node = seen[own] = node_of(own)
                     nodes.append(node)
                     ids.append(LAST_ID if i is None else i)
+                    hashes.append(h)
                     numbers.append(k)
             short = short_of(nodes)
             bit = short % BITMAP_BITS
             hit = (shared.value[bit // 64] >> (bit % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
             text = pa.array([t if h else None for t, h in zip(texts, hit.tolist(), strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(nodes, pa.binary()), pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), text], ["short", "node", "doc_id", "line", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(nodes, pa.binary()), pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(numbers, pa.int32()), text], ["short", "node", "doc_id", "text_hash", "line", "text"])
 
-    return docs.mapInArrow(find, "short long, node binary, doc_id long, line int, text binary")
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(find, "short long, node binary, doc_id long, text_hash long, line int, text binary")
 
 
 def _signed_texts(seen: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def by_text(payloads: list[bytes]):
 
 
 def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(doc_id, lines): the numbers of the lines to remove, for documents (doc_id, text) that lose any; null ids as LAST_ID."""
+    """(doc_id, text_hash, lines): the numbers of the lines to remove, for documents (doc_id, text) that lose any; null ids as LAST_ID, texts as their xxhash64."""
     keys = docs.select("text").mapInArrow(_band_rows, "key long, short long")
     # Sorted, a key's rows only stream by: no task holds them.
     postings = cut(keys.repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "short").mapInArrow(_shared, "key long, short long"))
@@ -196,18 +197,19 @@ def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: in
     groups = connected(spanning(lists, sizes_of(postings), lambda p: by_signature(p, MATCHES), list_limit))
     members = cut(groups.join(texts, "node").select(F.col("component").alias("key"), "node", F.col("text").alias("payload")))
     components = connected(spanning(members, sizes_of(members), by_text, group_limit))
-    at = cut(seen.select("node", "doc_id", "line").join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "doc_id", "line"))
-    first = cut(at.groupBy("label").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("label", "first"))
-    lost = at.join(first, "label").where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("line") != F.col("first.line")))
-    return lost.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))  # at most a document's lines
+    at = cut(seen.join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), F.struct("doc_id", "text_hash", "line").alias("at")))
+    first = cut(at.groupBy("label").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").select("label", "first"))
+    lost = at.join(first, "label").where("at <> first").select("at.*")
+    return lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("lines"))  # at most a document's lines
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lost_col: str = "removed_lines", **limits: int) -> DataFrame:
     """The documents with all columns, their text without the lines to remove, and lost_col, or that name with underscores behind it if it is taken: those lines' numbers (null: none)."""
     ship(docs.sparkSession)
-    key, lost_col = unused(docs, "lost_id"), unused(docs, lost_col)
-    lost = removed_lines(picked(docs, id_col, text_col), **limits).select(F.col("doc_id").alias(key), F.col("lines").alias(lost_col))
-    joined = docs.join(lost, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)) == F.col(key), "left")
+    key, text, lost_col = unused(docs, "lost_id"), unused(docs, "lost_text"), unused(docs, lost_col)
+    lost = removed_lines(picked(docs, id_col, text_col), **limits).select(F.col("doc_id").alias(key), F.col("text_hash").alias(text), F.col("lines").alias(lost_col))
+    same = (F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)) == F.col(key)) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col(text))
+    joined = docs.join(lost, same, "left")
     kept = F.array_join(F.filter(F.split(F.col(f"`{text_col}`"), "\n", -1), lambda x, i: ~F.array_contains(F.col(lost_col), i)), "\n")
     names = [F.when(F.col(lost_col).isNull(), F.col(f"`{text_col}`")).otherwise(kept).alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*names, lost_col)

@@ -93,6 +93,15 @@ def test_lines_of_repeated_rows(frame):
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, ""), (1, text), (1, text), (2, "")]
 
 
+def test_lines_of_rows_that_share_an_id(frame):
+    one, two, three, four = (f"Line of its own about {w}, long enough to be compared." for w in ("apples in winter", "seven green rivers", "an old clockmaker", "tall paper ships"))
+    for key in (None, 9):
+        rows = [(1, one), (key, f"{one}\n{two}"), (key, f"{three}\n{four}"), (key, f"{four}\n{three}")]
+        got = [r.text for r in lines.drop_lines(frame(rows)).collect() if r.doc_id == key]
+        # Only line 0 of the first is a copy of another document's; of the other two rows, one keeps both lines and one loses both.
+        assert sorted(got) in (sorted([two, f"{three}\n{four}", ""]), sorted([two, "", f"{four}\n{three}"]))
+
+
 def test_decontamination(spark, frame, documents, odd, monkeypatch):
     items = [(k, " ".join(f"item{k}word{j}" for j in range(14))) for k in range(5)] + [(7, "only three words"), (7, "only three words"), (8, ""), (9, None), (None, "ignored item here")]
     rows = [*documents[:60], *odd, (900, "x " + items[2][1].upper().replace(" ", ", ") + " y"), (901, "and Only? three -- words; it"), (902, " ".join(items[1][1].split()[:10])), (903, " ".join(items[1][1].split()[:9]))]
