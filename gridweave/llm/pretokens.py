@@ -5,7 +5,7 @@ The pre-tokens are those of the pattern
 found from the runs of letters, numbers, white space and others in the text's code points. A pre-token's ids don't depend on its
 neighbours, so only the distinct ones are encoded, and a bounded cache keeps what has been seen. Where the file's merges are in the order of their ids, as in byte-level
 vocabularies of this kind, single pre-tokens are encoded by rank, which gives the tokenizer's own ids; otherwise by the tokenizer. Texts with characters from
-U+0530 on (whose class may differ between Unicode versions) or with a special token's string go to the tokenizer whole.
+U+0530 on (whose class may differ between Unicode versions) or with a special token's string go to the tokenizer whole; their index terms are hashed pre-tokens all the same.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import json
 import os
 import re
 import unicodedata
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -25,7 +26,22 @@ FAST_BELOW = 0x530
 SPECIAL = "<|endoftext|>"
 CACHE = 400_000
 
-_CLASS = np.array([SPACE if chr(c) in "\t\n\v\f\r \x85\xa0" else LETTER if unicodedata.category(chr(c))[0] == "L" else NUMBER if unicodedata.category(chr(c))[0] == "N" else OTHER for c in range(FAST_BELOW)], np.uint8)
+
+def _classes(end: int) -> np.ndarray:
+    kinds = {"L": LETTER, "N": NUMBER, "Z": SPACE}
+    out = np.array([kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(end)], np.uint8)
+    out[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x85]] = SPACE
+    return out
+
+
+_CLASS = _classes(FAST_BELOW)
+
+
+@cache
+def _all_classes() -> np.ndarray:
+    return _classes(0x110000)
+
+
 _BEYOND = re.compile(f"[{chr(FAST_BELOW)}-{chr(0x10FFFF)}]")
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the pattern
 
@@ -35,7 +51,7 @@ def starts_of(code: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(code)
     if not n:
         return np.zeros(0, np.int64)
-    kind = _CLASS[code]
+    kind = (_CLASS if code.max() < FAST_BELOW else _all_classes())[code]
     edge = np.ones(n, bool)  # a run begins
     edge[1:] = kind[1:] != kind[:-1]
     inner = offsets[(offsets > 0) & (offsets < n)]
@@ -147,29 +163,27 @@ class Encoder:
         return self.head[at], self.size[at]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """ids of all texts, where each text's begin; the terms (numbers of distinct pre-tokens) of all texts, where each text's begin."""
+        """ids of all texts, where each text's begin; the terms (hashes of pre-tokens) of all texts, where each text's begin."""
         slow = {i: self.whole(t) for i, t in enumerate(texts) if not t.isascii() and _BEYOND.search(t) or SPECIAL in t}
-        fast = "".join("" if i in slow else t for i, t in enumerate(texts))
-        length = np.array([0 if i in slow else len(t) for i, t in enumerate(texts)], np.int64)
-        offsets = np.concatenate(([0], np.cumsum(length)))
-        code = np.frombuffer(fast.encode("utf-32-le"), np.uint32)
+        every = "".join(texts)
+        offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+        code = np.frombuffer(every.encode("utf-32-le"), np.uint32)
         begin = starts_of(code, offsets)
-        raw = np.frombuffer(fast.encode(), np.uint8)
+        data = every.encode()
+        raw = np.frombuffer(data, np.uint8)
         lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
         s, e = lead[begin], lead[np.append(begin[1:], len(code))] if len(begin) else begin
-        distinct, index, term = np.unique(span_hashes(raw, s, e), return_index=True, return_inverse=True)
-        head, size = self.known(distinct, raw.tobytes(), s[index], e[index])
+        terms = span_hashes(raw, s, e)
+        term_at = np.searchsorted(begin, offsets)
+        fast = np.ones(len(texts), bool)
+        fast[list(slow)] = False
+        own = np.flatnonzero(np.repeat(fast, np.diff(term_at)))  # pre-tokens of the texts that are not encoded whole
+        distinct, index, term = np.unique(terms[own], return_index=True, return_inverse=True)
+        head, size = self.known(distinct, data, s[own[index]], e[own[index]])
         n = size[term]
         ids = self.flat[np.repeat(head[term] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        term_at = np.searchsorted(begin, offsets)
-        id_at = np.concatenate(([0], np.cumsum(n)))[term_at]
-        if slow:  # put the other texts' ids in their places; their terms are their ids, behind the fast ones' numbers
-            pieces, terms, count, tcount = [], [], [], []
-            for i in range(len(texts)):
-                pieces.append(slow.get(i, ids[id_at[i] : id_at[i + 1]]))
-                terms.append(slow[i].astype(np.int64) + len(distinct) if i in slow else term[term_at[i] : term_at[i + 1]])
-                count.append(len(pieces[-1]))
-                tcount.append(len(terms[-1]))
-            ids, id_at = np.concatenate(pieces), np.concatenate(([0], np.cumsum(count)))
-            term, term_at = np.concatenate(terms), np.concatenate(([0], np.cumsum(tcount)))
-        return ids, id_at, term, term_at
+        id_at = np.concatenate(([0], np.cumsum(n)))[np.searchsorted(own, term_at)]
+        if slow:  # put the other texts' ids in their places
+            pieces = [slow.get(i, ids[id_at[i] : id_at[i + 1]]) for i in range(len(texts))]
+            ids, id_at = np.concatenate(pieces), np.concatenate(([0], np.cumsum([len(x) for x in pieces])))
+        return ids, id_at, terms, term_at

@@ -33,6 +33,17 @@ def test_ids_equal_the_tokenizer(tokenizer):
         assert ids[at[i] : at[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_terms_of_all_texts_are_pretokens():
+    plain = "The brown fox doesn't jump over 12 lazy dogs, and nobody minds at all."
+    texts = [plain, plain.replace("minds", "\u201cminds\u201d"), plain + " <|endoftext|>", "\u65e5\u672c\u8a9e and nobody minds\u3000at all"]
+    _, _, terms, at = Encoder.of(PATH).encode(texts)
+    own = [set(terms[at[i] : at[i + 1]].tolist()) for i in range(4)]
+    assert len(own[0] - own[1]) == 1 and own[0] - own[2] == set() and len(own[0] & own[3]) == 4
+    others = ["Something else is written here.", "Nothing of it is of use to them.", "Rain fell on seven hills."]
+    _, _, terms, at = Encoder.of(PATH).encode([plain, *others, texts[1]])
+    assert int(np.argmax(packing.Index(terms, at).scores(0)[1:])) == 3
+
+
 @pytest.mark.parametrize("size", [packing.SHARD_BYTES, 20_000])
 def test_packing_round_trip(frame, documents, odd, tokenizer, size):
     for rows in (documents, odd, []):
