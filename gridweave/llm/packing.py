@@ -1,7 +1,11 @@
 """Packing by lexical retrieval: BM25 neighbours fill each seed document's window.
 
-Documents are dealt by a hash into shards of a few megabytes. A shard tokenises its documents and builds a BM25 inverted index over them (terms are
-pre-tokens; those in more than half of its documents have no weight). The first document without a place is the seed of a window of 1024
+Terms are pre-tokens; their document frequencies and the mean length are those of the whole corpus. The frequencies of the STATISTICS most frequent
+terms go to every task; rarer ones count as frequent as the next below these (with fewer terms than that, all are exact). Documents are dealt into shards of a few
+megabytes by lexical keys: a document's first two keys are consistent samples of its terms, weighted by idf, so two documents agree in a key with a
+chance of their weighted Jaccard similarity, wherever they stand in the corpus. A first key's documents share a shard; if they are too many, those of a second key do, and
+if even these are too many they are dealt by a hash among themselves. A shard tokenises its documents and builds a BM25 inverted index over them (terms in more
+than half of the corpus have no weight). The first document without a place is the seed of a window of 1024
 tokens; the index returns its neighbours that have no place yet, the best first, and they fill the window one after another. Who doesn't fit is cut:
 its rest is the seed of the next window. Without a neighbour the next document in order follows. So only a shard's very last window isn't full;
 it is laid out as sequences of falling powers of two, and nothing needs padding. Each document ends with id 0.
@@ -16,38 +20,67 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import partitions, picked
-from .pretokens import Encoder
+from .base import cut, partitions, picked
+from .pretokens import Encoder, split
+from .words import mix
 
 WINDOW = 1024
 SHARD_BYTES = 4 << 20
 K1, B = 1.5, 0.75
+STATISTICS = 1 << 21
+FIRST_KEYS, SECOND_KEYS = 1 << 20, 1 << 8
+PIECE_CHARS = 1 << 20
 
 OUTPUT = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+@dataclass
+class Statistics:
+    """Of the whole corpus: documents, their mean length, and the document frequencies of terms (ascending hashes); rest: that of terms left out."""
+
+    n: int
+    mean: float
+    terms: np.ndarray
+    df: np.ndarray
+    rest: int = 1
+
+    def df_of(self, terms: np.ndarray, missing: int | None = None) -> np.ndarray:
+        out = np.full(len(terms), self.rest if missing is None else missing, np.int64)
+        at = np.searchsorted(self.terms, terms)
+        inner = np.flatnonzero(at < len(self.terms))
+        hit = inner[self.terms[at[inner]] == terms[inner]]
+        out[hit] = self.df[at[hit]]
+        return out
+
+
+def idf_of(n: int, df: np.ndarray) -> np.ndarray:
+    return np.maximum(0, np.log((n - df + 0.5) / (df + 0.5)))
+
+
 class Index:
-    """An inverted index of the shard: postings by term, with BM25 weights."""
+    """An inverted index of the shard: postings by term, with BM25 weights, by the corpus's statistics (or else the shard's own)."""
 
-    def __init__(self, terms: np.ndarray, at: np.ndarray):
+    def __init__(self, terms: np.ndarray, at: np.ndarray, corpus: Statistics | None = None):
         self.n = len(at) - 1
         size = np.diff(at)
         doc = np.repeat(np.arange(self.n), size)
-        _, terms = np.unique(terms, return_inverse=True)
+        distinct, terms = np.unique(terms, return_inverse=True)
         key, tf = np.unique(terms.astype(np.int64) * self.n + doc, return_counts=True)
         term, doc = np.divmod(key, self.n) if self.n else (key, key)
         df = np.bincount(term)
-        idf = np.maximum(0, np.log((self.n - df + 0.5) / (df + 0.5))) if len(df) else np.zeros(0)
+        idf = idf_of(self.n, df) if corpus is None else idf_of(corpus.n, np.maximum(df, corpus.df_of(distinct)))
+        mean = corpus.mean if corpus else size.mean() if self.n else 1.0
         keep = (idf[term] > 0) & (df[term] > 1) if len(df) else np.zeros(0, bool)
         term, doc, tf = term[keep], doc[keep], tf[keep]
         self.doc = doc
-        self.weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / max(1.0, size.mean() if self.n else 1.0)))).astype(np.float32)
+        self.weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / max(1.0, mean)))).astype(np.float32)
         begin = np.searchsorted(term, np.arange(len(df) + 1))
         order = np.argsort(doc, kind="stable")  # by document: its terms' postings
         self.head, self.count = begin[term[order]], np.diff(begin)[term[order]]
@@ -105,7 +138,128 @@ def laid_out(sizes: np.ndarray, index: Index, window: int = WINDOW) -> list[tupl
     return out
 
 
-def _packed(path: str, window: int):
+def _pieces(batches):
+    """(batch, first row, texts) of about PIECE_CHARS characters; a longer text comes alone."""
+    for b in batches:
+        texts, lo = [t or "" for t in b.column("text").to_pylist()], 0
+        while lo < len(texts):
+            hi, n = lo + 1, len(texts[lo])
+            while hi < len(texts) and n + len(texts[hi]) <= PIECE_CHARS:
+                n += len(texts[hi])
+                hi += 1
+            yield b, lo, texts[lo:hi]
+            lo = hi
+
+
+def _frequencies(batches):
+    """(term, n): in how many documents each term is, in parts; for the term null, how many terms there are."""
+
+    def handed():
+        terms, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([x for _, x in held])).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array([None, *terms.view(np.int64).tolist()], pa.int64()), pa.array([total, *n.tolist()], pa.int64())], ["term", "n"])
+
+    held, rows, total = [], 0, 0
+    for _, _, texts in _pieces(batches):
+        _, _, _, terms, at = split(texts)
+        total += len(terms)
+        order = np.argsort(terms, kind="stable")  # within a term, documents ascend
+        terms, doc = terms[order], np.repeat(np.arange(len(texts)), np.diff(at))[order]
+        new = np.ones(len(terms), bool)
+        new[1:] = terms[1:] != terms[:-1]
+        pair = new.copy()
+        pair[1:] |= doc[1:] != doc[:-1]
+        if len(terms):
+            held.append((terms[new], np.add.reduceat(pair.astype(np.int64), np.flatnonzero(new))))
+            rows += len(held[-1][0])
+        if rows > 1 << 20:
+            yield handed()
+            held, rows, total = [], 0, 0
+    if held:
+        yield handed()
+
+
+def statistics(docs: DataFrame, n: int, most: int = STATISTICS) -> Statistics:
+    counted = cut(docs.select("text").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where("term is null or n > 1"))
+    length = counted.where("term is null").agg(F.sum("n")).first()[0] or 0
+    sizes = sorted(counted.where("term is not null").groupBy("n").agg(F.count("*").alias("terms")).collect(), reverse=True)
+    least, held = 2, 0
+    for k, r in enumerate(sizes):
+        held += r.terms
+        if held > most:
+            least = sizes[k - 1].n if k else r.n + 1
+            break
+    t = counted.where("term is not null").where(F.col("n") >= least).toArrow()  # at most so many rows
+    terms, df = t.column("term").to_numpy().view(np.uint64), t.column("n").to_numpy()
+    order = np.argsort(terms)
+    return Statistics(n, length / max(1, n), terms[order], df[order], least - 1)
+
+
+def _keyed(shared):
+    """Each document with its keys. For a key, each of a document's terms that others share draws an exponential of rate idf, the same wherever it stands; the least wins."""
+
+    def keyed(batches):
+        for b, lo, texts in _pieces(batches):
+            corpus = shared.value
+            _, _, _, terms, at = split(texts)
+            distinct, term = np.unique(terms, return_inverse=True)
+            df = corpus.df_of(distinct, 0)
+            rate = np.where(df > 0, idf_of(corpus.n, df), 0)
+            tie = b.column("tie").to_numpy()[lo : lo + len(texts)]
+            keys, some = [], np.diff(at) > 0
+            for k, size in ((1, FIRST_KEYS), (2, SECOND_KEYS)):
+                key = (mix(tie.view(np.uint64) + np.uint64(k)) % np.uint64(size)).astype(np.int64)  # for texts without such a term
+                if len(distinct):
+                    h = mix(distinct + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
+                    with np.errstate(divide="ignore"):
+                        draw = np.where(rate > 0, -np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / rate, np.inf)
+                    order = np.argsort(draw, kind="stable")
+                    rank = np.empty(len(order), np.int64)
+                    rank[order] = np.arange(len(order))
+                    won = order[np.minimum.reduceat(rank[term], at[:-1][some])]
+                    key[some] = np.where(np.isfinite(draw[won]), (mix(h[won]) % np.uint64(size)).astype(np.int64), key[some])
+                keys.append(pa.array(key))
+            own = b.slice(lo, len(texts))
+            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("doc_id", "text", "tie", "size")), *keys], ["doc_id", "text", "tie", "size", "first", "second"])
+
+    return keyed
+
+
+def shards_of(keyed: DataFrame, shard_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Cells of keys (ascending codes), the shard of each and over how many it goes, the first keys that are told apart by second ones, the number of shards."""
+    t = keyed.groupBy("first").agg(F.sum("size").alias("n")).toArrow()  # at most FIRST_KEYS rows
+    code, n = t.column("first").to_numpy() * (SECOND_KEYS + 1), t.column("n").to_numpy()
+    large = n > shard_bytes
+    hot = np.sort(code[large] // (SECOND_KEYS + 1))
+    if len(hot):
+        some = keyed.sparkSession.createDataFrame([(int(x),) for x in hot], "first long")
+        t = keyed.join(F.broadcast(some), "first").groupBy("first", "second").agg(F.sum("size").alias("n")).toArrow()  # at most SECOND_KEYS rows for each shard's bytes
+        code = np.concatenate((code[~large], t.column("first").to_numpy() * (SECOND_KEYS + 1) + 1 + t.column("second").to_numpy()))
+        n = np.concatenate((n[~large], t.column("n").to_numpy()))
+    order = np.argsort(code)
+    code, parts = code[order], np.maximum(1, -(-n[order] // shard_bytes))
+    shard, at, used = np.zeros(len(code), np.int64), 0, 0
+    for k, (size, p) in enumerate(zip(n[order].tolist(), parts.tolist(), strict=True)):
+        if used and used + size > shard_bytes:
+            at, used = at + 1, 0
+        shard[k] = at
+        at, used = at + p - 1, used + size
+    return code, shard, parts, hot, at + 1
+
+
+def _dealt(shared):
+    def dealt(batches):
+        code, shard, parts, hot, _ = shared.value
+        for b in batches:
+            first, second, tie = (b.column(c).to_numpy() for c in ("first", "second", "tie"))
+            at = np.searchsorted(code, first * (SECOND_KEYS + 1) + np.where(np.isin(first, hot), 1 + second, 0))
+            own = shard[at] + (tie.view(np.uint64) % parts[at].astype(np.uint64)).astype(np.int64) if len(at) else first
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(own, pa.int64())], ["doc_id", "text", "shard"])
+
+    return dealt
+
+
+def _packed(path: str, window: int, shared):
     def packed(key, table):
         ids, texts = table.column("doc_id").to_pylist(), [t or "" for t in table.column("text").to_pylist()]
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
@@ -114,7 +268,7 @@ def _packed(path: str, window: int):
         sizes = np.diff(at) + 1
         flat = np.insert(tokens, at[1:], 0).astype("<u4")
         begin = np.cumsum(sizes) - sizes
-        pieces = laid_out(sizes, Index(terms, term_at), window)
+        pieces = laid_out(sizes, Index(terms, term_at, shared.value), window)
         shard = key[0].as_py() << 32
         columns = [pa.array([ids[p[0]] for p in pieces], pa.int64()), *(pa.array([p[k] for p in pieces], pa.int64()) for k in (1, 2)), pa.array([flat[begin[p[0]] + p[1] : begin[p[0]] + p[1] + p[2]].tobytes() for p in pieces], pa.binary()), pa.array([int(sizes[p[0]]) for p in pieces], pa.int64()), pa.array([shard + p[3] for p in pieces], pa.int64()), pa.array([p[4] for p in pieces], pa.int64())]
         return pa.table(columns, [x.split()[0] for x in OUTPUT.split(", ")])
@@ -125,11 +279,15 @@ def _packed(path: str, window: int):
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids (unsigned 32-bit, little-endian), doc_tokens, sequence_id, offset."""
     docs = picked(docs, id_col, text_col)
-    total = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    shards = max(1, -(-int(total) // shard_bytes))
+    n = docs.count()
+    send = docs.sparkSession.sparkContext.broadcast
+    corpus = send(statistics(docs, n))
+    keyed = cut(docs.withColumns({"tie": F.xxhash64("doc_id", "text"), "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1}).mapInArrow(_keyed(corpus), "doc_id long, text string, tie long, size long, first long, second long"))
+    found = shards_of(keyed, shard_bytes)
+    shards = found[-1]
     tasks = min(shards, max(partitions(docs.sparkSession), shards // 8))
-    dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))).repartition(tasks, "shard")
-    return dealt.groupBy("shard").applyInArrow(_packed(tokenizer_path, window), OUTPUT)
+    dealt = keyed.mapInArrow(_dealt(send(found)), "doc_id long, text string, shard long").repartition(tasks, "shard")
+    return dealt.groupBy("shard").applyInArrow(_packed(tokenizer_path, window, corpus), OUTPUT)
 
 
 def crc32_of(ids: bytes) -> int:

@@ -111,6 +111,19 @@ def _ranked(path: str):
     return tiktoken.Encoding("file", pat_str=r"(?s:.)+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
 
+def split(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' bytes, where pre-tokens begin and end in them, their hashes, and where each text's pre-tokens begin."""
+    every = "".join(texts)
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+    code = np.frombuffer(every.encode("utf-32-le"), np.uint32)
+    begin = starts_of(code, offsets)
+    data = every.encode()
+    raw = np.frombuffer(data, np.uint8)
+    lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+    s, e = lead[begin], lead[np.append(begin[1:], len(code))] if len(begin) else begin
+    return data, s, e, span_hashes(raw, s, e), np.searchsorted(begin, offsets)
+
+
 class Encoder:
     """Encodes texts with a tokenizer file; one for each worker.
 
@@ -165,16 +178,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """ids of all texts, where each text's begin; the terms (hashes of pre-tokens) of all texts, where each text's begin."""
         slow = {i: self.whole(t) for i, t in enumerate(texts) if not t.isascii() and _BEYOND.search(t) or SPECIAL in t}
-        every = "".join(texts)
-        offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
-        code = np.frombuffer(every.encode("utf-32-le"), np.uint32)
-        begin = starts_of(code, offsets)
-        data = every.encode()
-        raw = np.frombuffer(data, np.uint8)
-        lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
-        s, e = lead[begin], lead[np.append(begin[1:], len(code))] if len(begin) else begin
-        terms = span_hashes(raw, s, e)
-        term_at = np.searchsorted(begin, offsets)
+        data, s, e, terms, term_at = split(texts)
         fast = np.ones(len(texts), bool)
         fast[list(slow)] = False
         own = np.flatnonzero(np.repeat(fast, np.diff(term_at)))  # pre-tokens of the texts that are not encoded whole

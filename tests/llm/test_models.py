@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridweave.llm import eliasfano, lm, packing, secretscan, shards, toxicity
-from gridweave.llm.pretokens import Encoder
+from gridweave.llm.pretokens import Encoder, split
 from tests.llm import brute
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,6 +86,33 @@ def test_neighbours_share_windows():
     assert all(len(x) == 1 for x in together.values())
 
 
+def test_near_copies_share_shards(frame):
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(3000)]
+    rows = []
+    for k in range(150):
+        own = [r.choice(words) for _ in range(120)]
+        rows.append((k, " ".join(own)))
+        own[k % 120] = "other"
+        rows.append((1000 + k, " ".join(own)))
+    got = packing.pack(frame(rows), PATH, shard_bytes=8000).collect()
+    shard = {p.doc_id: p.sequence_id >> 32 for p in got}
+    assert len(set(shard.values())) > 20
+    assert sum(shard[k] == shard[1000 + k] for k in range(150)) > 120
+
+
+def test_statistics_cover_the_corpus(frame):
+    rows = [(k, f"common word{k % 5} own{k}") for k in range(40)] + [(90, None), (91, "")]
+    got = packing.statistics(frame(rows), len(rows))
+    _, _, _, terms, _ = split(["common word1 own1"])
+    assert got.df_of(terms).tolist()[0] == 40 and (got.n, got.rest) == (42, 1)
+    assert abs(got.mean - sum(len(split([t or ""])[3]) for _, t in rows) / 42) < 1e-9
+    few = packing.statistics(frame(rows), len(rows), 3)
+    assert len(few.terms) <= 3 and few.df.min() > few.rest >= 1
+    index = packing.Index(np.concatenate([terms, terms]), np.array([0, len(terms), 2 * len(terms)]), got)
+    assert index.scores(0)[1] > 0  # in both documents of the shard, in few of the corpus
+
+
 def test_scores_are_bm25():
     docs = [[1, 1, 2], [1, 3, 4, 4], [5, 6], [2, 2, 7, 8], [9]]
     at = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
