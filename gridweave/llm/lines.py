@@ -1,7 +1,7 @@
 """Fuzzy line dedup by MinHash: of lines that are alike, only the first in the corpus stays.
 
 A line is compared by its normal form: A-Z lower-cased, white space runs as one space, none at the ends. Lines whose normal form has fewer than
-MIN_CHARS characters (code points) are too short to tell apart and always stay. A line's set is the distinct runs of 8 characters of its normal form. Steps:
+MIN_CHARS characters (code points) are not compared by sets: they stay, or, if they have `least` characters or more, are told apart by their whole normal form. A line's set is the distinct runs of 8 characters of its normal form. Steps:
 
 1. every document's lines get a 128-bit id of their normal form and, from a signature of 30 minima over character shingles, ten band keys of three each;
    lines of one form are one node from here on, however many documents hold them;
@@ -39,10 +39,10 @@ def normal(line: bytes) -> bytes:
     return b" ".join(line.lower().split())  # bytes.lower() changes A-Z only
 
 
-def eligible(text: bytes):
+def eligible(text: bytes, least: int = MIN_CHARS):
     """(line number, normal form) of the lines that are long enough."""
     for k, line in enumerate(text.split(b"\n")):
-        if len(line) >= MIN_CHARS and len(own := normal(line)) >= MIN_CHARS and (own.isascii() or len(own.decode()) >= MIN_CHARS):
+        if len(line) >= least and len(own := normal(line)) >= least and (own.isascii() or len(own.decode()) >= least):
             yield k, own
 
 
@@ -142,7 +142,7 @@ def _bitmap(shorts: DataFrame) -> np.ndarray:
     return out
 
 
-def _occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _occurrences(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """(short, node, doc_id, text_hash, line, text) of every line that is long enough; text only where the short id may be wanted, once for each batch."""
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
@@ -150,7 +150,7 @@ def _occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for b in batches:
             nodes, ids, hashes, numbers, texts, seen = [], [], [], [], [], {}
             for i, h, text in zip(b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist(), _texts(b.column("text")), strict=True):
-                for k, own in eligible(text):
+                for k, own in eligible(text, least):
                     node = seen.get(own)
                     texts.append(own if node is None else None)
                     if node is None:
@@ -185,13 +185,13 @@ def by_text(payloads: list[bytes]):
     return by_sets([np.unique(s).tobytes() for s in shingle_sets(payloads)], PERCENT)
 
 
-def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT, least: int = MIN_CHARS) -> DataFrame:
     """(doc_id, text_hash, lines): the numbers of the lines to remove, for documents (doc_id, text) that lose any; null ids as LAST_ID, texts as their xxhash64."""
     keys = docs.select("text").mapInArrow(_band_rows, "key long, short long")
     # Sorted, a key's rows only stream by: no task holds them.
     postings = cut(keys.repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "short").mapInArrow(_shared, "key long, short long"))
     wanted = cut(postings.select("short").distinct())
-    seen = cut(_occurrences(docs, wanted))
+    seen = cut(_occurrences(docs, wanted, min(least, MIN_CHARS)))
     texts = cut(_signed_texts(seen, wanted))
     lists = postings.join(texts.select("short", "node", F.col("signature").alias("payload")), "short").select("key", "node", "payload")
     groups = connected(spanning(lists, sizes_of(postings), lambda p: by_signature(p, MATCHES), list_limit))

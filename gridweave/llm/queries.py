@@ -50,7 +50,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the lines removed (numbers from 0; null: none) and the text's digest without them."""
-    out = lines.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), lost_col="removed")
+    out = lines.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), lost_col="removed", least=1)
     return out.select("doc_id", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 

@@ -1,9 +1,11 @@
 """Operators against brute force: quality, substrings, near-duplicates, lines, decontamination."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from gridweave.llm import decontaminate, lines, minhash, quality, substrings
+from gridweave.llm import decontaminate, lines, minhash, quality, queries, substrings
 from tests.llm import brute
 
 PASSAGE = " ".join(f"shared{k}" for k in range(60))
@@ -93,6 +95,21 @@ def test_lines_of_repeated_rows(frame):
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, ""), (1, text), (1, text), (2, "")]
 
 
+def test_short_lines_by_their_normal_form(frame, documents):
+    rows = [(1, "les.\n\nand ornd.\nquite short"), (2, "Les. \n\nand ornt.\n\nand  ornd."), (3, "}\n}"), (4, "日本語"), (5, "日本語\nles.")]
+    got = {r.doc_id: r.text for r in lines.drop_lines(frame(rows), least=1).collect()}
+    assert got == {1: rows[0][1], 2: "\nand ornt.\n", 3: "}", 4: "日本語", 5: ""}
+
+
+def test_op8_drops_repeated_short_lines(spark, sf, documents):
+    forms = Counter(n for _, t in documents for x in (t or "").split("\n") if 0 < len(n := brute.normal(x)) < lines.MIN_CHARS)
+    want = sum(forms.values()) - len(forms)
+    texts = dict(documents)
+    rows = queries.op8_line_dedup(spark, sf).collect()
+    got = sum(len(brute.normal(texts[r.doc_id].split("\n")[int(k)])) < lines.MIN_CHARS for r in rows for k in (r.removed or "").split(",") if k)
+    assert want > 0 and got == want
+
+
 def test_lines_of_rows_that_share_an_id(frame):
     one, two, three, four = (f"Line of its own about {w}, long enough to be compared." for w in ("apples in winter", "seven green rivers", "an old clockmaker", "tall paper ships"))
     for key in (None, 9):
