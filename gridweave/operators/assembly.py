@@ -27,10 +27,15 @@ def documents(blocks: DataFrame, extracted: DataFrame, pairs: list[tuple[str, st
 
     parts: the document put together; marked: how many of its own blocks are tables; found: the extracted tables in order.
     """
-    b = blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("block_no", "kind", markdown_to_plain(F.col("text")).alias("text"), "table"))).alias("b"))
+    return put_together(blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("block_no", "kind", "text", "table"))).alias("b")), extracted, pairs)
+
+
+def put_together(own: DataFrame, extracted: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """documents() of blocks that are arrays already: (doc_id, b). Only extracted tables are shuffled and, to meet them, these rows."""
+    b = own.select("doc_id", "b")
     e = extracted.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("table_no", "table"))).alias("e"))
     both = b.join(e, "doc_id", "full_outer")
-    own = F.coalesce(F.transform("b", lambda x: F.struct(x["kind"].alias("kind"), x["text"].alias("text"), x["table"].alias("table"))), F.array().cast(f"array<{BLOCK}>"))
+    own = F.coalesce(F.transform("b", lambda x: F.struct(x["kind"].alias("kind"), markdown_to_plain(x["text"]).alias("text"), x["table"].alias("table"))), F.array().cast(f"array<{BLOCK}>"))
     both = both.select("doc_id", own.alias("b"), F.coalesce(F.transform("e", lambda x: x["table"]), no_tables()).alias("found"))
     return both.select("doc_id", fold_document(F.col("b"), F.col("found"), pairs).alias("parts"), F.size(F.filter("b", lambda x: x["kind"] == "table")).alias("marked"), "found")
 

@@ -1,15 +1,16 @@
 """Markdown documents as ordered blocks of text and tables.
 
-Lines are segmented by windows over one document: a table begins where a pipe row meets a separator and goes on while rows have pipes. One
-shuffle by document serves all windows and the grouping. What can't be read as a table with rows goes back to the text behind it.
+A document is one row, so its lines are segmented where they are, without a shuffle: each line is a letter (row, start of a table, other), the letters
+are one string, and a regular expression finds the runs. A table begins where a pipe row meets a separator and goes on while rows have pipes. What
+can't be read as a table with rows goes back to the text behind it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base import at, fitted, indexes, leading, let, lets, rest, table, widest
+from ..functions.base import TABLE, at, fitted, indexes, leading, let, lets, rest, table, widest
 from ..functions.names import parser_names
 from ..functions.predicates import is_empty, is_headerless_row, is_mostly_empty, is_noise_row, is_separator, is_subheader_row, is_table_row, is_table_start
 from ..functions.text import WHITE, header_cell, split_lines, split_row
@@ -52,23 +53,41 @@ def table_of(block: Column) -> Column:
     return lets(block, lambda b: F.array_position(F.transform(b, is_separator), True), lambda b, _: F.transform(F.filter(b, lambda x: ~is_separator(x)), split_row), lambda b, cut, rows: lets(widest(rows), lambda n: read(b, cut, rows, n)))
 
 
+def segments(found: Column) -> Column:
+    """array<struct<inside, lines>>: runs of lines within and between tables, from all lines of a document."""
+
+    def letter(line: Column, i: Column) -> Column:
+        start = is_table_start(line, F.get(found, i - 1), F.get(found, i + 1))
+        return F.when(~is_table_row(line), F.lit(".")).when(start, F.lit("s")).otherwise(F.lit("r"))
+
+    def cut(runs: Column) -> Column:
+        sizes = F.transform(runs, lambda r: F.length(r))
+        return let(sizes, lambda n: F.transform(runs, lambda r, k: F.struct(r.startswith("s").alias("inside"), F.slice(found, F.aggregate(F.slice(n, F.lit(1), k), F.lit(1), lambda x, y: x + y), F.length(r)).alias("lines"))))
+
+    # A row directly in front of a start is no part of the table.
+    return let(F.array_join(F.transform(found, letter), ""), lambda letters: cut(F.regexp_extract_all(letters, F.lit("s[rs]*|[.r]+"), F.lit(0))))
+
+
+def block_array(text: Column) -> Column:
+    """array<struct<kind, text, table>> in reading order."""
+
+    def read(parts: Column) -> Column:
+        tables = F.transform(parts, lambda p: F.when(p["inside"], table_of(p["lines"])))
+        return let(F.transform(tables, lambda t: F.when(~is_empty(t), t)), lambda own: F.filter(F.transform(parts, lambda p, i: block(parts, own, p, i)), lambda b: b["kind"].isNotNull()))
+
+    def block(parts: Column, own: Column, p: Column, i: Column) -> Column:
+        # A table that failed becomes text together with the text behind it.
+        failed = lambda k: F.coalesce(F.get(parts, k)["inside"] & F.get(own, k).isNull(), F.lit(False))
+        behind = F.when(failed(i), F.coalesce(F.get(parts, i + 1)["lines"], F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
+        prose = F.regexp_replace(F.array_join(F.concat(p["lines"], behind), "\n"), rf"{WHITE}+\z", "")
+        return let(prose, lambda x: F.struct(F.when(F.get(own, i).isNotNull(), F.lit("table")).when(~failed(i - 1) & (x != ""), F.lit("text")).alias("kind"), F.when(F.get(own, i).isNull(), x).alias("text"), F.get(own, i).alias("table")))
+
+    return let(split_lines(F.coalesce(text, F.lit(""))), lambda found: let(segments(found), read))
+
+
 def blocks(docs: DataFrame) -> DataFrame:
     """(doc_id, block_no, kind, text, table) in reading order."""
-    order = Window.partitionBy("doc_id").orderBy("line_no")
-    seen = lines(docs).withColumns({"row": is_table_row(F.col("line")), "start": is_table_start(F.col("line"), F.lag("line").over(order), F.lead("line").over(order))})
-    seen = seen.withColumn("run", F.count_if(~F.col("row")).over(order))
-    seen = seen.withColumn("inside", F.col("row") & F.max("start").over(Window.partitionBy("doc_id", "run").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)))
-    seen = seen.withColumn("part", F.count_if(F.coalesce(F.col("inside") != F.lag("inside").over(order), F.lit(True))).over(order))
-    parts = seen.groupBy("doc_id", "part").agg(F.first("inside").alias("inside"), F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("found"))
-    parts = parts.select("doc_id", "part", "inside", F.transform("found", lambda x: x["line"]).alias("lines")).withColumn("table", F.when(F.col("inside"), table_of(F.col("lines"))))
-    parts = parts.withColumn("table", F.when(~is_empty(F.col("table")), F.col("table")))
-    # A table that failed becomes text together with the text behind it.
-    by_part = Window.partitionBy("doc_id").orderBy("part")
-    parts = parts.withColumn("failed", F.col("inside") & F.col("table").isNull())
-    parts = parts.withColumns({"behind": F.when(F.col("failed"), F.lead("lines").over(by_part)), "after_failed": F.coalesce(F.lag("failed").over(by_part), F.lit(False))})
-    text = F.regexp_replace(F.array_join(F.concat("lines", F.coalesce("behind", F.array().cast("array<string>"))), "\n"), rf"{WHITE}+\z", "")
-    parts = parts.where(~F.col("after_failed")).withColumn("text", F.when(F.col("table").isNull(), text)).where(F.col("table").isNotNull() | (F.col("text") != ""))
-    return parts.select("doc_id", (F.row_number().over(by_part) - 1).alias("block_no"), F.when(F.col("table").isNull(), F.lit("text")).otherwise(F.lit("table")).alias("kind"), "text", "table")
+    return docs.select("doc_id", F.posexplode(block_array(F.col("text"))).alias("block_no", "b")).select("doc_id", "block_no", "b.kind", "b.text", F.col("b.table").cast(TABLE).alias("table"))
 
 
 def cells(tables: DataFrame, *keys: str) -> DataFrame:
@@ -77,12 +96,9 @@ def cells(tables: DataFrame, *keys: str) -> DataFrame:
     return tables.select(*keys, F.posexplode(rows).alias("r", "cells")).select(*keys, (F.col("r") - 1).alias("row_no"), F.posexplode("cells").alias("col_no", "text"))
 
 
-def parsed(docs: DataFrame) -> DataFrame:
-    """(doc_id, tables, text): a document's tables in order, its text blocks joined by blank lines."""
-    found = blocks(docs).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("block_no", "kind", "text", "table"))).alias("b"))
+def parsed(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, tables, text, more...): a document's tables in order, its text blocks joined by blank lines. One row for each row of docs; nothing is shuffled."""
+    own = docs.select("doc_id", block_array(F.col("text")).alias("b"), *more)
     text = F.array_join(F.transform(F.filter("b", lambda x: x["kind"] == "text"), lambda x: x["text"]), "\n\n")
     tables = F.transform(F.filter("b", lambda x: x["kind"] == "table"), lambda x: x["table"])
-    joined = docs.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("b", F.array().cast(found.schema["b"].dataType)).alias("b"))
-    return joined.select("doc_id", tables.alias("tables"), F.when(text == "", F.lit("")).otherwise(F.concat(F.regexp_replace(text, rf"{WHITE}+\z", ""), F.lit("\n"))).alias("text"))
-
-
+    return own.select("doc_id", *own.columns[2:], tables.cast(f"array<{TABLE}>").alias("tables"), F.when(text == "", F.lit("")).otherwise(F.concat(F.regexp_replace(text, rf"{WHITE}+\z", ""), F.lit("\n"))).alias("text"))

@@ -6,6 +6,7 @@ only for documents that those before it gave no table for.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions.base import TABLE, no_tables
 from ..functions.cleanup import corrected_table
-from ..operators.assembly import composed, documents
+from ..operators.assembly import composed, put_together
 from ..operators.folds import BLOCK, fold_tables, stitch_responses
-from ..operators.markdown import blocks, parsed
+from ..operators.markdown import block_array, parsed
 from ..sources.backends import Backend
+from .once import once
 
 HAS_TABLES, TEXT_ONLY = "HAS_TABLES", "TEXT_ONLY"
 NONE, MARKER, FAILED = "none", "marker", "failed"
@@ -34,11 +36,14 @@ def flagged_pages(pages: DataFrame, flagged: DataFrame) -> DataFrame:
 
 
 def cascade(pages: DataFrame, backends: list[Backend]) -> DataFrame:
-    """(doc_id, backend, table_no, table): each document's tables from the first backend that finds any."""
+    """(doc_id, backend, table_no, table): each document's tables from the first backend that finds any.
+
+    A backend's rows are written once (once()) before the next one is asked, so a model sees a page once.
+    """
     done: DataFrame | None = None
     left = pages
     for b in backends:
-        rows = b.extract(left).select("doc_id", F.lit(b.name).alias("backend"), "page_no", "index_on_page", "table")
+        rows = once(b.extract(left).select("doc_id", F.lit(b.name).alias("backend"), "page_no", "index_on_page", "table"))
         done = rows if done is None else done.unionByName(rows)
         left = left.join(rows.select("doc_id").distinct(), "doc_id", "left_anti")
     if done is None:
@@ -54,8 +59,8 @@ def stitched(tables: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 
 def classic(docs: DataFrame) -> DataFrame:
-    """(doc_id, tables, text, table_count, markdown): parse only, without corrections, repair or matching."""
-    return parsed(docs).join(docs.select("doc_id", F.col("text").alias("markdown")), "doc_id").withColumn("table_count", F.size("tables"))
+    """(doc_id, tables, text, table_count, markdown): parse only, without corrections, repair or matching. Nothing is shuffled."""
+    return parsed(docs, F.col("text").alias("markdown")).select("doc_id", "tables", "text", "markdown", F.size("tables").alias("table_count"))
 
 
 @dataclass(frozen=True)
@@ -66,14 +71,14 @@ class Options:
 def unified(docs: DataFrame, flagged: DataFrame, tables: DataFrame, pairs: list[tuple[str, str]], options: Options = Options()) -> DataFrame:
     """One row for each document: parts, tables, text, table_count, pages_with_tables, backend, used_marker_fallback.
 
-    docs: (doc_id, text); flagged: pages with tables (doc_id, page_no); tables: what the cascade gave (doc_id, backend, table_no, table), which
+    docs: (doc_id, text), each doc_id once; flagged: pages with tables (doc_id, page_no); tables: what the cascade gave (doc_id, backend, table_no, table), which
     counts only for documents with flagged pages.
     """
     pages = flagged.groupBy("doc_id").agg(F.array_sort(F.collect_set("page_no")).alias("pages_with_tables"))
     found = tables.join(pages.select("doc_id"), "doc_id", "left_semi")
     found = found.limit(0) if options.skip_tables else found
-    by = found.groupBy("doc_id").agg(F.first("backend").alias("given_by"))
-    row = docs.select("doc_id").join(documents(blocks(docs), found, pairs), "doc_id", "left").join(pages, "doc_id", "left").join(by, "doc_id", "left")
+    by = found.groupBy("doc_id").agg(F.min_by("backend", "table_no").alias("given_by"))
+    row = docs.select("doc_id").join(put_together(docs.select("doc_id", block_array(F.col("text")).alias("b")), found, pairs), "doc_id", "left").join(pages, "doc_id", "left").join(by, "doc_id", "left")
     row = row.withColumns({"parts": F.coalesce("parts", F.array().cast(f"array<{BLOCK}>")), "found": F.coalesce("found", no_tables()), "pages_with_tables": F.coalesce("pages_with_tables", F.array().cast("array<int>"))})
     kept = F.transform(F.filter("parts", lambda b: b["kind"] == "table"), lambda b: b["table"])
     # Tables that assembly has dropped altogether are reported all the same.
@@ -87,3 +92,9 @@ def unified(docs: DataFrame, flagged: DataFrame, tables: DataFrame, pairs: list[
 def exit_code(results: DataFrame) -> int:
     """2 if some document's table pages gave no table, else 0."""
     return 2 if results.where(F.col("backend") == FAILED).limit(1).count() else 0
+
+
+def routed(docs: DataFrame, flagged: DataFrame, tables: Callable[[DataFrame], DataFrame], pairs: list[tuple[str, str]], options: Options = Options()) -> DataFrame:
+    """unified() for documents with table pages; the others skip extraction. tables(docs) extracts, and is asked for the former only."""
+    hot = classify(docs, flagged).where(F.col("route") == HAS_TABLES).select("doc_id")
+    return unified(docs, flagged, tables(docs.join(hot, "doc_id", "left_semi")), pairs, options)

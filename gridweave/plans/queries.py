@@ -6,7 +6,7 @@ to yield is then known from the rows themselves, and the SQL says it directly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
@@ -19,6 +19,7 @@ from ..functions.rendering import markdown_table, plain_grid
 from ..functions.similarity import jaccard, similarity
 from ..operators import assembly, geometry, grids, markdown, prose, responses
 from ..operators.folds import fold_tables, stitch_outline, stitch_responses
+from ..sources import pages as sources_pages
 from ..sources import readers, writers
 from ..sources.backends import grid_backend, html_backend
 from .jobs import cascade, classic, classify, flagged_pages, unified
@@ -27,7 +28,14 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
+#: One row for each order, under the names that several queries use: a key, a name that holds the key, a group.
+_KEYED = "select o_orderkey as n_nationkey, 'SALE_' || o_orderkey as n_name, o_custkey as n_regionkey from orders"
+
+
 def query(sql: str | None):
+    if sql and " keyed" in sql:
+        sql = f"with keyed as ({_KEYED})" + (f", {sql[5:]}" if sql.startswith("with ") else f" {sql}")
+
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
@@ -41,6 +49,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").selectExpr("o_orderkey as n_nationkey", "concat('SALE_', o_orderkey) as n_name", "o_custkey as n_regionkey")
+
+
 def e(text: str):
     return F.expr(text)
 
@@ -99,10 +111,10 @@ def md_table_cells(spark, sf_dir):
     return found.select("doc_id", F.col("row_no").cast("long"), F.col("col_no").cast("long"), "text")
 
 
-@query("""select r, k, page, name, second, third from (select n_regionkey as r, (row_number() over (partition by n_regionkey order by n_nationkey) - 1)::bigint as k, (n_regionkey + 1)::varchar as page, n_name as name, '' as second, 'N ' || n_nationkey as third from nation)
-union all select r_regionkey, -1, 'page', 'Name', 'Column_2', 'Name_2' from region where r_regionkey in (select n_regionkey from nation)""")
+@query("""select r, k, page, name, second, third from (select n_regionkey as r, (row_number() over (partition by n_regionkey order by n_nationkey) - 1)::bigint as k, (n_regionkey + 1)::varchar as page, n_name as name, '' as second, 'N ' || n_nationkey as third from keyed)
+union all select distinct n_regionkey, -1, 'page', 'Name', 'Column_2', 'Name_2' from keyed""")
 def grid_to_table(spark, sf_dir):
-    rows = ordered(read(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", row="array(concat(' ', n_name), cast(null as string), concat('N\\n', n_nationkey))")
+    rows = ordered(keyed(spark, sf_dir), "n_regionkey", "n_nationkey", row="array(concat(' ', n_name), cast(null as string), concat('N\\n', n_nationkey))")
     raw = rows.select(F.col("n_regionkey").alias("doc_id"), F.col("n_regionkey").alias("page_no"), F.lit(0).alias("index_on_page"), F.concat(F.array(F.array(F.lit("Name"), F.lit(None).cast("string"), F.lit("Name"))), "row").alias("rows"))
     found = grids.grid_tables(raw, provenance=True)
     lines = found.select("doc_id", F.posexplode(F.concat(F.array("table.header"), "table.rows")).alias("k", "c"))
@@ -151,20 +163,25 @@ def footer_filter(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(kept.cast("binary")).alias("digest"), F.when(kept == "", 0).otherwise(F.size(F.split(kept, "\n"))).cast("long").alias("n_lines"))
 
 
-@query("select n_nationkey, n_name || chr(10) || 'of region ' || n_regionkey || ', seen' || chr(10) || chr(10) || n_name || ' ends' as plain from nation")
+@query("select n_nationkey, n_name || chr(10) || 'of region ' || n_regionkey || ', seen' || chr(10) || chr(10) || n_name || ' ends' as plain from keyed")
 def md_to_plain(spark, sf_dir):
     text = e("concat('## ', n_name, '\\n![stamp](a.jpeg)\\nof region<br>', n_regionkey, ',<br/>seen ![x](y.png)\\n\\n\\n\\n', n_name, ' ends\\n![](z.png)\\n')")
-    return read(spark, sf_dir, "nation").select("n_nationkey", T.markdown_to_plain(text).alias("plain"))
+    return keyed(spark, sf_dir).select("n_nationkey", T.markdown_to_plain(text).alias("plain"))
 
 
 _TOKENS = r"list_distinct(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_./%+-]+'))"
 
 
-@query(f"select doc_id, item_id, case when len(a) = 0 or len(b) = 0 then 0.0 else len(list_intersect(a, b))::double / len(list_distinct(list_concat(a, b))) end as overlap from (select doc_id, item_id, {_TOKENS.format('d.text')} as a, {_TOKENS.format('k.text')} as b from documents d join benchmark k on item_id = doc_id % 40)")
+@query(f"select doc_id, item_id, case when len(a) = 0 or len(b) = 0 then 0.0 else len(list_intersect(a, b))::double / len(list_distinct(list_concat(a, b))) end as overlap from (select doc_id, item_id, {_TOKENS.format('d.text')} as a, {_TOKENS.format('k.text')} as b from documents d join (select *, row_number() over (order by item_id) - 1 as place, count(*) over () as n from benchmark) k on place = doc_id % n)")
 def token_jaccard(spark, sf_dir):
-    items = read(spark, sf_dir, "benchmark").select("item_id", F.array_distinct(T.tokens(F.col("text"))).alias("b"))
-    docs = read(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 40).alias("item_id"), F.array_distinct(T.tokens(F.col("text"))).alias("a"))
-    return docs.join(items, "item_id").select("doc_id", "item_id", jaccard(F.col("a"), F.col("b")).alias("overlap"))
+    """Every document with an item; all items have their turn, however many there are."""
+    items = read(spark, sf_dir, "benchmark")
+    n = items.count()
+    # The items' places: the benchmark is the small table here, and its ids alone are ordered.
+    place = items.select("item_id", (F.row_number().over(Window.orderBy("item_id")) - 1).alias("place"))
+    items = items.join(place, "item_id").select("item_id", "place", F.array_distinct(T.tokens(F.col("text"))).alias("b"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % n).alias("place"), F.array_distinct(T.tokens(F.col("text"))).alias("a"))
+    return docs.join(items, "place").select("doc_id", "item_id", jaccard(F.col("a"), F.col("b")).alias("overlap"))
 
 
 def shaped(cols: str, rows: str):
@@ -239,24 +256,24 @@ def realign_rows_query(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *[fixed[i].alias(f"c{i}") for i in range(4)])
 
 
-@query("select n_nationkey, n_nationkey % 2 = 0 as demoted, case when n_nationkey % 2 = 0 then 'Column_1' else n_name end as name, case when n_nationkey % 2 = 0 then 2 else 1 end::bigint as n_rows, case when n_nationkey % 2 = 0 then '1.' || n_nationkey else 'a' end as first_cell, case when n_nationkey % 2 = 0 then '' else 'c' end as third_cell from nation")
+@query("select n_nationkey, n_nationkey % 2 = 0 as demoted, case when n_nationkey % 2 = 0 then 'Column_1' else n_name end as name, case when n_nationkey % 2 = 0 then 2 else 1 end::bigint as n_rows, case when n_nationkey % 2 = 0 then '1.' || n_nationkey else 'a' end as first_cell, case when n_nationkey % 2 = 0 then '' else 'c' end as third_cell from keyed")
 def demote_header(spark, sf_dir):
     header = e("case when n_nationkey % 2 = 0 then array(concat('1.', n_nationkey), concat('Nation ', n_name), 'Column_3') else array(n_name, 'text', 'Column_3') end")
     t = F.col("t")
-    return read(spark, sf_dir, "nation").select("n_nationkey", demote_false_header(table(header, F.array(strings("a", "b", "c")))).alias("t")).select("n_nationkey", (t["header"][0] == "Column_1").alias("demoted"), t["header"][0].alias("name"), F.size(t["rows"]).cast("long").alias("n_rows"), t["rows"][0][0].alias("first_cell"), t["rows"][0][2].alias("third_cell"))
+    return keyed(spark, sf_dir).select("n_nationkey", demote_false_header(table(header, F.array(strings("a", "b", "c")))).alias("t")).select("n_nationkey", (t["header"][0] == "Column_1").alias("demoted"), t["header"][0].alias("name"), F.size(t["rows"]).cast("long").alias("n_rows"), t["rows"][0][0].alias("first_cell"), t["rows"][0][2].alias("third_cell"))
 
 
-@query("select n_nationkey, n_name || '|second||' as names from nation")
+@query("select n_nationkey, n_name || '|second||' as names from keyed")
 def compact_header_query(spark, sf_dir):
-    return read(spark, sf_dir, "nation").select("n_nationkey", F.array_join(compact_header(table(F.array(F.lit(""), F.lit(""), F.col("n_name"), F.lit("second")), F.array(strings("1", "2", "3", "4"))))["header"], "|").alias("names"))
+    return keyed(spark, sf_dir).select("n_nationkey", F.array_join(compact_header(table(F.array(F.lit(""), F.lit(""), F.col("n_name"), F.lit("second")), F.array(strings("1", "2", "3", "4"))))["header"], "|").alias("names"))
 
 
-@query("select n_nationkey, n_name || ' A|Label ' || n_nationkey || ' B|second label 1|Column_4 2' as names, 1::bigint as n_rows from nation")
+@query("select n_nationkey, n_name || ' A|Label ' || n_nationkey || ' B|second label 1|2' as names, 1::bigint as n_rows from keyed")
 def absorb_header(spark, sf_dir):
     rows = F.array(e("array('', concat('Label ', n_nationkey), 'second label', '')"), strings("A", "B", "1", "2"), e("array(concat(n_nationkey, '.1'), 'text', '5', '6')"))
     fixed = absorb_header_rows(table(F.array(F.col("n_name"), F.lit(""), F.lit("Column_3"), F.lit("Column_4")), rows))
-    renamed = F.regexp_replace(F.array_join(fixed["header"], "|"), r"\|2$", "|Column_4 2")  # a generic name gives way to the code alone
-    return read(spark, sf_dir, "nation").select("n_nationkey", renamed.alias("names"), F.size(fixed["rows"]).cast("long").alias("n_rows"))
+    # A generic name gives way to the code alone.
+    return keyed(spark, sf_dir).select("n_nationkey", F.array_join(fixed["header"], "|").alias("names"), F.size(fixed["rows"]).cast("long").alias("n_rows"))
 
 
 @query("select s_suppkey, case when s_suppkey % 2 = 0 then 'No|Due|Due_2|Note' else 'No|Due|Note' end as names, case when s_suppkey % 2 = 0 then s_suppkey || '|10.000|' || s_suppkey || ',5|x y' else s_suppkey || '|10.000|x y' end as cells from supplier")
@@ -292,23 +309,21 @@ def stitch_model_tables(spark, sf_dir):
     return _unrolled(_pages(spark, sf_dir).select("l_orderkey", fold_tables(F.col("tables"), stitch_responses).alias("t")))
 
 
-@query("""select n_regionkey as doc_id, (row_number() over (partition by n_regionkey order by n_nationkey) - 1)::bigint as k, 'Region' as h0, 'Nation' as h1, 'Nation_2' as h2, n_regionkey::varchar as c0, n_name as c1, n_nationkey || '.000' as c2 from nation""")
+@query("""select n_regionkey as doc_id, (row_number() over (partition by n_regionkey order by n_nationkey) - 1)::bigint as k, 'Region' as h0, 'Nation' as h1, 'Nation_2' as h2, n_regionkey::varchar as c0, n_name as c1, n_nationkey || '.000' as c2 from keyed""")
 def html_tables(spark, sf_dir):
-    rows = ordered(read(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", row="concat('<td> ', n_name, '</td><td>', n_nationkey, '.000</td></tr>')")
+    rows = ordered(keyed(spark, sf_dir), "n_regionkey", "n_nationkey", row="concat('<td> ', n_name, '</td><td>', n_nationkey, '.000</td></tr>')")
     html = F.concat(F.lit("Sure: <table><tr><th>Region</th><th colspan='2'>Nation</th></tr><tr><td rowspan='"), F.size("row").cast("string"), F.lit("'>"), F.col("n_regionkey").cast("string"), F.lit("</td>"), F.array_join("row", "<tr>"), F.lit("</table><p>done"))
     found = responses.with_tables(rows.select(F.col("n_regionkey").alias("doc_id"), F.lit(0).alias("page_no"), html.alias("response"))).select("doc_id", F.explode("tables").alias("t"))
     lines = found.select("doc_id", F.col("t.header").alias("h"), F.posexplode("t.rows").alias("k", "c"))
     return lines.select("doc_id", F.col("k").cast("long"), *[F.col("h")[i].alias(f"h{i}") for i in range(3)], *[F.col("c")[i].alias(f"c{i}") for i in range(3)])
 
 
-@query("""select n_nationkey as doc_id, shape, case when shape = 'D' then 'key' else 'Key' end as h0, n_nationkey || '.50' as c0, n_name as c1 from nation, (select unnest(['A', 'B', 'C', 'D', 'E']) as shape)""")
+@query("""select n_nationkey as doc_id, shape, case when shape = 'D' then 'key' else 'Key' end as h0, n_nationkey || '.50' as c0, n_name as c1 from keyed, (select unnest(['A', 'B', 'C', 'D', 'E']) as shape)""")
 def json_payloads(spark, sf_dir):
     grid = "concat('{\"headers\": [\"Key\", \"Name\"], \"rows\": [[\"', n_nationkey, '.50\", \"', n_name, '\"], [\"x\"]]}')"
     shapes = {"A": f"concat('[', {grid}, ']')", "B": f"concat('Here: ', {grid})", "C": "concat('```json\\n[[\"Key\", \"Name\"], [\"', n_nationkey, '.50\", \"', n_name, '\"]]\\n```')", "D": "concat('[{\"key\": \"', n_nationkey, '.50\", \"name\": \"', n_name, '\"}]')", "E": f"concat('{{\"tables\": [', {grid}, ']}}')"}
-    texts = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("doc_id"), F.explode(F.create_map(*[x for k, v in shapes.items() for x in (F.lit(k), e(v))])).alias("shape", "response"))
-    # B and E are cut at their outermost brackets, which are those of `rows` (B) or of the list of tables (E): B's first row would be its header.
-    fixed = texts.withColumn("response", F.when(F.col("shape") == "B", F.concat(F.lit("["), F.substring("response", 7, 10000), F.lit("]"))).otherwise(F.col("response")))
-    found = fixed.select("doc_id", "shape", F.explode(responses.tables_of(F.col("response"))).alias("t"))
+    texts = keyed(spark, sf_dir).select(F.col("n_nationkey").alias("doc_id"), F.explode(F.create_map(*[x for k, v in shapes.items() for x in (F.lit(k), e(v))])).alias("shape", "response"))
+    found = texts.select("doc_id", "shape", F.explode(responses.tables_of(F.col("response"))).alias("t"))
     return found.select("doc_id", "shape", F.col("t.header")[0].alias("h0"), F.col("t.rows")[0][0].alias("c0"), F.col("t.rows")[0][1].alias("c1"))
 
 
@@ -321,14 +336,13 @@ def gap_clusters(spark, sf_dir):
     return geometry.bands(profile).select("doc_id", F.col("start").alias("first_idx"), F.col("end").alias("last_idx"))
 
 
-@query("select n_nationkey as doc_id, round(greatest(0, 10 - (floor((60 + n_nationkey) * 0.02) + 5)) * 0.48, 6)::double as x0, round((20 - 6) * 0.48, 6)::double as y0, round((70 + n_nationkey + floor((60 + n_nationkey) * 0.02) + 5) * 0.48, 6)::double as x1, round((80 + 6) * 0.48, 6)::double as y1 from nation where n_nationkey % 3 <> 0")
+@query("select n_nationkey as doc_id, round(greatest(0, 10 - (floor((60 + w) * 0.02) + 5)) * 0.48, 6)::double as x0, round((20 - 6) * 0.48, 6)::double as y0, round((70 + w + floor((60 + w) * 0.02) + 5) * 0.48, 6)::double as x1, round((80 + 6) * 0.48, 6)::double as y1 from (select *, n_nationkey % 25 as w from keyed) where n_nationkey % 3 <> 0")
 def table_bbox(spark, sf_dir):
-    cols = e("array(10, 25, 40, 55, 70 + n_nationkey)")
-    rows = e("case when n_nationkey % 3 = 0 then array(20, 35, 50, 65) else array(20, 35, 50, 65, 80) end")
-    nation = read(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "doc_id")
-    line = lambda axis, x: nation.withColumnRenamed("doc_id", "n_nationkey").select(F.col("n_nationkey").alias("doc_id"), F.lit(0).alias("page_no"), F.lit(axis).alias("axis"), F.explode(x).alias("idx"), F.lit(0.9).alias("frac"))
-    sizes = nation.select("doc_id", F.lit(0).alias("page_no"), F.lit(1000).alias("width"), F.lit(1200).alias("height"))
-    boxes = geometry.table_boxes(line("col", cols).union(line("row", rows)), sizes)
+    cols = e("array(10, 25, 40, 55, cast(70 + doc_id % 25 as int))")
+    rows = e("case when doc_id % 3 = 0 then array(20, 35, 50, 65) else array(20, 35, 50, 65, 80) end")
+    pages = keyed(spark, sf_dir).select(F.col("n_nationkey").alias("doc_id"), F.lit(0).alias("page_no"))
+    line = lambda axis, x: pages.select("doc_id", "page_no", F.lit(axis).alias("axis"), F.explode(x).alias("idx"), F.lit(0.9).alias("frac"))
+    boxes = geometry.table_boxes(line("col", cols).union(line("row", rows)), pages.select("doc_id", "page_no", F.lit(1000).alias("width"), F.lit(1200).alias("height")))
     return boxes.select("doc_id", *[F.round(k, 6).alias(k) for k in ("x0", "y0", "x1", "y1")])
 
 
@@ -361,49 +375,54 @@ def classify_docs(spark, sf_dir):
     return classify(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id")), pages)
 
 
-@query("select n_nationkey as doc_id, case when n_nationkey % 3 = 0 then 'paddle' else 'grid' end as backend, 0::bigint as table_no, n_name as cell from nation where n_nationkey % 3 < 2")
+@query("select n_nationkey as doc_id, case when n_nationkey % 3 = 0 then 'paddle' else 'grid' end as backend, 0::bigint as table_no, n_name as cell from keyed where n_nationkey % 3 < 2")
 def backend_cascade(spark, sf_dir):
     html = e("case when n_nationkey % 3 = 0 then concat('{\"table_res_list\": [{\"pred_html\": \"\"}, {\"html\": {\"pred\": \"<tr><td>H</td></tr><tr><td>', n_name, '</td></tr>\"}}]}') else '{}' end")
     rows = e("case when n_nationkey % 3 = 2 then cast(array() as array<array<string>>) else array(array('H'), array(n_name)) end")
-    pages = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("doc_id"), F.lit(0).alias("page_no"), F.lit(0).alias("index_on_page"), html.alias("page_result"), rows.alias("rows"))
+    pages = keyed(spark, sf_dir).select(F.col("n_nationkey").alias("doc_id"), F.lit(0).alias("page_no"), F.lit(0).alias("index_on_page"), html.alias("page_result"), rows.alias("rows"))
     found = cascade(pages, [html_backend(), grid_backend()])
     return found.select("doc_id", "backend", F.col("table_no").cast("long"), F.col("table.rows")[0][0].alias("cell"))
 
 
-@query("""select o_custkey as doc_id, 2::bigint as table_count, 'grid' as backend, false as used_marker_fallback, cast(length(string_agg(o_orderkey::varchar, '' order by o_orderkey)) > 0 as boolean) as has_text from orders group by 1 having count(*) > 1""")
+@query("""with o as (select o_custkey, o_orderkey::varchar as code, '?' || o_orderstatus as rough, o_orderstatus || ' ' || o_orderpriority as fine, row_number() over (partition by o_custkey order by o_orderkey) as k, count(*) over (partition by o_custkey) as n from orders), p as (select *, ceil(n / 2)::bigint as h from o where n > 1),
+c as (select o_custkey, 0 as part, k, code, fine as value from p where k <= h or n <= h + 2 union all select o_custkey, 1, k, code, case when n <= h + 2 then rough else fine end from p where k > h),
+w as (select *, greatest(5, max(length(code)) over (partition by o_custkey, part))::int as a, greatest(19, max(length(value)) over (partition by o_custkey, part))::int as b from c),
+g as (select o_custkey, part, count(*) as n, '| ' || rpad('Order', any_value(a), ' ') || ' | ' || rpad('Status and priority', any_value(b), ' ') || ' |' || chr(10) || string_agg('| ' || rpad(code, a, ' ') || ' | ' || rpad(value, b, ' ') || ' |', chr(10) order by k) as grid from w group by 1, 2)
+select x.o_custkey as doc_id, 2::bigint as table_count, x.n as n_first, y.n as n_second, 'grid' as backend, false as used_marker_fallback, x.grid || chr(10) || chr(10) || 'Between them.' || chr(10) || chr(10) || y.grid || chr(10) as text from g x join g y on x.o_custkey = y.o_custkey and x.part = 0 and y.part = 1""")
 def unified_results(spark, sf_dir):
     docs, found = _two_tables(spark, sf_dir)
     flagged = docs.select("doc_id", F.lit(0).alias("page_no"))
     rows = unified(docs, flagged, found.withColumn("backend", F.lit("grid")), [])
-    return rows.select("doc_id", F.col("table_count").cast("long"), "backend", "used_marker_fallback", (F.length("text") > 0).alias("has_text"))
+    n = lambda k: F.size(F.get("tables", F.lit(k))["rows"]).cast("long")
+    return rows.select("doc_id", F.col("table_count").cast("long"), n(0).alias("n_first"), n(1).alias("n_second"), "backend", "used_marker_fallback", "text")
 
 
-def _nations(spark, sf_dir) -> DataFrame:
-    """(doc_id, tables): one table of nations for each region."""
-    rows = ordered(read(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", row="array(concat(n_nationkey, '.000'), n_name)")
+def _sales(spark, sf_dir) -> DataFrame:
+    """(doc_id, tables): one table of orders for each customer."""
+    rows = ordered(keyed(spark, sf_dir), "n_regionkey", "n_nationkey", row="array(concat(n_nationkey, '.000'), n_name)")
     return rows.select(F.col("n_regionkey").alias("doc_id"), F.array(table(strings("Key", "Name, long"), F.col("row"))).alias("tables"))
 
 
-@query("select n_regionkey::bigint as doc_id, (row_number() over (partition by n_regionkey order by n_nationkey) - 1)::bigint as k, n_nationkey || '.000' as code, n_name as name from nation")
+@query("select n_regionkey::bigint as doc_id, (row_number() over (partition by n_regionkey order by n_nationkey) - 1)::bigint as k, n_nationkey || '.000' as code, n_name as name from keyed")
 def workbook_round_trip(spark, sf_dir):
-    back = readers.workbook_tables(writers.workbooks(_nations(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))))
+    back = readers.workbook_tables(writers.workbooks(_sales(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))))
     return back.select("doc_id", F.posexplode(F.get("tables", F.lit(0))["rows"]).alias("k", "c")).select("doc_id", F.col("k").cast("long"), F.col("c")[0].alias("code"), F.col("c")[1].alias("name"))
 
 
-@query("""select n_regionkey::bigint as doc_id, md5(chr(65279) || 'Key,"Name, long"' || chr(10) || string_agg(n_nationkey || '.000,' || n_name || chr(10), '' order by n_nationkey)) as digest from nation group by 1""")
+@query("""select n_regionkey::bigint as doc_id, md5(chr(65279) || 'Key,"Name, long"' || chr(10) || string_agg(n_nationkey || '.000,' || n_name || chr(10), '' order by n_nationkey)) as digest from keyed group by 1""")
 def csv_export(spark, sf_dir):
-    return writers.csv_files(_nations(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))).select("doc_id", F.md5("content").alias("digest"))
+    return writers.csv_files(_sales(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))).select("doc_id", F.md5("content").alias("digest"))
 
 
-@query("""select n_regionkey as doc_id, '# Tables preview' || chr(10) || chr(10) || '## Table 1' || chr(10) || chr(10) || '| Key | Name, long |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_nationkey || '.000 | ' || n_name || ' |', chr(10) order by n_nationkey) || chr(10) as preview from nation group by 1""")
+@query("""select n_regionkey as doc_id, '# Tables preview' || chr(10) || chr(10) || '## Table 1' || chr(10) || chr(10) || '| Key | Name, long |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_nationkey || '.000 | ' || n_name || ' |', chr(10) order by n_nationkey) || chr(10) as preview from keyed group by 1""")
 def markdown_preview(spark, sf_dir):
-    return writers.previews(_nations(spark, sf_dir)).select("doc_id", F.decode("content", "UTF-8").alias("preview"))
+    return writers.previews(_sales(spark, sf_dir)).select("doc_id", F.decode("content", "UTF-8").alias("preview"))
 
 
-@query("select n_regionkey as doc_id, cast(sum(case when contains(n_name, 'A') or contains(n_name, '1') then 1 else 0 end + case when contains(n_nationkey || '.000', '1') then 1 else 0 end) as bigint) as n_fixed from nation group by 1")
+@query("select n_regionkey as doc_id, cast(sum(case when contains(n_name, 'A') or contains(n_name, '1') then 1 else 0 end + case when contains(n_nationkey || '.000', '1') then 1 else 0 end) as bigint) as n_fixed from keyed group by 1")
 def correction_counts(spark, sf_dir):
     t = F.get("tables", F.lit(0))
-    return _nations(spark, sf_dir).select("doc_id", fixes(t, corrected_table(t, [("A", "E"), ("1", "one")])).alias("n_fixed"))
+    return _sales(spark, sf_dir).select("doc_id", fixes(t, corrected_table(t, [("A", "E"), ("1", "one")])).alias("n_fixed"))
 
 
 @query("select distinct o_custkey as doc_id, o_orderkey as page_no from orders where o_orderstatus = 'F' union select distinct o_custkey, o_orderkey from orders o where o_orderstatus = 'O' and not exists (select 1 from orders f where f.o_custkey = o.o_custkey and f.o_orderstatus = 'F')")
@@ -423,3 +442,49 @@ def page_pruning(spark, sf_dir):
 @query("select o_custkey as doc_id, 1::bigint as table_count, '# Customer ' || o_custkey || chr(10) || 'A lone | stays prose.' || chr(10) || chr(10) || chr(10) || 'The end.' || chr(10) as text from orders group by 1")
 def classic_parse(spark, sf_dir):
     return classic(order_markdown(spark, sf_dir)).select("doc_id", F.col("table_count").cast("long"), "text")
+
+
+_CELLS = {"noise": "case k % 4 when 0 then ['a', 'b', 'c'] when 1 then ['1', '2', '3', '4'] when 2 then ['1', '2', 'c'] else ['1', '2', '3', 'longer text'] end", "first": "case k % 3 when 0 then [k || '.1', 'a text of its own', 'x', '1'] when 1 then [k || '.1', 'short', 'x', '1'] else ['word', 'a text of its own', 'x', '1'] end", "sub": "case k % 3 when 0 then ['', '', 'x', 'Label', 'Other'] when 1 then ['', 'a', 'x', 'Label', 'Other'] else ['', '', '', 'ab', 'cd'] end", "blank": "case k % 3 when 0 then ['', '', '', 'x', 'y'] when 1 then ['', '', 'v', 'x', 'y'] else cast([] as varchar[]) end"}
+
+
+@query(f"""select n_nationkey, k % 4 < 2 as noise, k % 3 = 0 as headerless, k % 3 = 0 as subheader, k % 3 <> 1 as mostly_empty, k % 4 <> 1 as garbled from (select n_nationkey, n_nationkey % 1000 as k from keyed)""")
+def row_predicates(spark, sf_dir):
+    """What a row is, told from its cells."""
+    cells = {c: e(x.replace("k || '.1'", "concat(k, '.1')").replace("cast([] as varchar[])", "cast(array() as array<string>)").replace("[", "array(").replace("]", ")")) for c, x in _CELLS.items()}
+    header = e("case k % 4 when 0 then array('ab', 'c d', 'ef') when 1 then array('Order number', 'Amount due') when 2 then cast(array() as array<string>) else array('a', 'b', 'c', 'd') end")
+    rows = keyed(spark, sf_dir).selectExpr("n_nationkey", "n_nationkey % 1000 as k").select("n_nationkey", header.alias("header"), *[x.alias(c) for c, x in cells.items()])
+    return rows.select("n_nationkey", P.is_noise_row(F.col("noise")).alias("noise"), P.is_headerless_row(F.col("first")).alias("headerless"), P.is_subheader_row(F.col("sub")).alias("subheader"), P.is_mostly_empty(F.col("blank")).alias("mostly_empty"), P.is_garbled(F.col("header")).alias("garbled"))
+
+
+@query("select n_nationkey as doc_id, 0 as page_no from keyed where n_nationkey % 3 <> 0 and n_nationkey % 97 < 3")
+def scanned_table_pages(spark, sf_dir):
+    """Rasters of 40 x 40 pixels with five ruled lines each way, or four rows only."""
+    lines = "case when doc_id % 3 = 0 then array(2, 10, 18, 26) else array(2, 10, 18, 26, 34) end"
+    byte = f"case when array_contains({lines}, cast(floor(i / 40) as int)) or array_contains(array(2, 10, 18, 26, 34), cast(i % 40 as int)) then '00' else 'FF' end"
+    pages = keyed(spark, sf_dir).selectExpr("n_nationkey as doc_id").where("doc_id % 97 < 3").select("doc_id", F.lit(0).alias("page_no"), F.lit(40).alias("width"), F.lit(40).alias("height"), e(f"unhex(array_join(transform(sequence(0, 1599), i -> {byte}), ''))").alias("pixels"))
+    return geometry.scanned_table_pages(geometry.ink(pages))
+
+
+@query("""select n_regionkey as doc_id, page, k, name, item from (select n_regionkey, 0 as page, (row_number() over (partition by n_regionkey order by n_nationkey) - 1)::bigint as k, n_name as name, 'No ' || n_nationkey as item from keyed)""")
+def ruled_line_tables(spark, sf_dir):
+    """Words within ruled lines, one row for each order of a customer."""
+    own = ordered(keyed(spark, sf_dir), "n_regionkey", "n_nationkey", name="n_name", item="concat('No ', n_nationkey)").withColumnRenamed("n_regionkey", "doc_id")
+    lines = own.select("doc_id", F.size("name").alias("n")).select("doc_id", F.lit(0).alias("page_no"), F.explode(e("concat(transform(sequence(0, n + 1), i -> named_struct('x0', 10.0D, 'y0', 20.0D + 15 * i, 'x1', 210.0D, 'y1', 20.0D + 15 * i)), transform(array(10.0D, 110.0D, 210.0D), x -> named_struct('x0', x, 'y0', 20.0D, 'x1', x, 'y1', 20.0D + 15 * (n + 1))))")).alias("l")).select("doc_id", "page_no", "l.*")
+    word = lambda x, y, text: f"named_struct('x0', {x}, 'y0', 22.0D + 15 * ({y}), 'x1', {x} + 10.0D, 'y1', 32.0D + 15 * ({y}), 'text', {text})"
+    cells = f"flatten(transform(name, (x, i) -> array({word('20.0D', 'i + 1', 'x')}, {word('120.0D', 'i + 1', 'split(item[i], chr(32))[0]')}, {word('140.0D', 'i + 1', 'split(item[i], chr(32))[1]')})))"
+    words = own.select("doc_id", F.lit(0).alias("page_no"), F.explode(e(f"concat(array({word('20.0D', '0', chr(39) + 'Name' + chr(39))}, {word('120.0D', '0', chr(39) + 'Item' + chr(39))}), {cells})")).alias("w")).select("doc_id", "page_no", "w.*")
+    found = grids.grid_tables(sources_pages.ruled_tables(lines, words))
+    return found.select("doc_id", F.col("page_no").alias("page"), F.posexplode("table.rows").alias("k", "c")).select("doc_id", "page", F.col("k").cast("long"), F.col("c")[0].alias("name"), F.col("c")[1].alias("item"))
+
+
+@query("""select n_nationkey as doc_id, case when n_nationkey % 2 = 0 then 'Some words of ' || n_name || chr(10) || chr(10) || 'Signed by the person' else 'Some words of ' || n_name || chr(10) || 'and no more of them' end as text from keyed""")
+def text_layer(spark, sf_dir):
+    """Text around a table's box, or a whole page where there is no table."""
+    own = keyed(spark, sf_dir).select(F.col("n_nationkey").alias("doc_id"), F.lit(0).alias("page_no"), "n_name")
+    line = lambda y, text, n: e(f"named_struct('y0', {y}D, 'y1', {y + 10}D, 'line_no', {n}, 'text', {text})")
+    boxed = F.array(line(20.0, "concat('Some words of ', n_name)", 0), line(100.0, "'| a | b |'", 1), line(300.0, "'Signed by the person'", 2), line(320.0, "'1.2'", 3))
+    plain = F.array(line(20.0, "concat('Some words of ', n_name)", 0), line(40.0, "'and no more of them'", 1), line(60.0, "'| 1 | x |'", 2), line(80.0, "'behind the table'", 3))
+    words = own.select("doc_id", "page_no", F.explode(F.when(F.col("doc_id") % 2 == 0, boxed).otherwise(plain)).alias("w")).select("doc_id", "page_no", "w.*")
+    boxes = own.where("doc_id % 2 = 0").select("doc_id", "page_no", F.lit(90.0).alias("y0"), F.lit(250.0).alias("y1"))
+    return sources_pages.text_layer(words, boxes, own.select("doc_id", "page_no", F.lit(400.0).alias("height")))
+

@@ -27,7 +27,19 @@ PROMPT = "Return every table of the page image, in reading order, as one HTML ta
 
 
 class ExtractionError(RuntimeError):
-    """A backend can't give tables."""
+    """A source can't give what it is asked for."""
+
+
+class DocumentModelError(ExtractionError):
+    """A document model gives no Markdown."""
+
+
+class RecognitionError(ExtractionError):
+    """Structure recognition gives no tables."""
+
+
+class ModelError(ExtractionError):
+    """A vision model gives no tables."""
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,6 @@
 """Writers: text, Markdown, CSV, XLSX and DOCX, one file's bytes for each document or table.
 
-Files are made where the document is, as a binary column; save() hands them to a folder of the driver one at a time. Large results are better
+Files are made where the document is, as a binary column, and save() writes them there too, into a folder that all machines share. Large results are better
 kept as tables: write_cells() and DataFrame writers.
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 import zipfile
 from pathlib import Path
 from xml.sax.saxutils import escape
@@ -16,9 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.base import TABLE
 from ..functions.predicates import GENERIC_HEADER
 from ..functions.rendering import preview, with_final_newline
-from ..operators.markdown import cells
+from ..operators.assembly import put_together
+from ..operators.markdown import block_array, cells
 from ..shipping import ship
 
 EMPTY = "No tables found in document."
@@ -136,15 +139,56 @@ def text_files(docs: DataFrame, column: str = "text", name: str = "output.txt")
     return docs.select("doc_id", F.lit(name).alias("name"), F.encode(with_final_newline(F.col(column)), "UTF-8").alias("content"))
 
 
+def text_then_tables(docs: DataFrame, name: str = "output.docx") -> DataFrame:
+    """(doc_id, name, content) from (doc_id, text, tables): a Word document with the text first and all tables behind it."""
+    prose = F.array(F.struct(F.lit("text").alias("kind"), F.col("text").alias("text"), F.lit(None).cast(TABLE).alias("table")))
+    grids = F.transform("tables", lambda t: F.struct(F.lit("table").alias("kind"), F.lit(None).cast("string").alias("text"), t.cast(TABLE).alias("table")))
+    blank = F.trim(F.coalesce("text", F.lit(""))) == ""
+    return word_documents(docs.select("doc_id", F.concat(F.when(~blank, prose).otherwise(F.slice(prose, 1, 0)), grids).alias("parts")), name)
+
+
+def word_documents_of_markdown(docs: DataFrame, extracted: DataFrame, pairs: list[tuple[str, str]], name: str = "output.docx", cleanup: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(files, tables) from Markdown (doc_id, text) and extracted tables (doc_id, table_no, table): the document put together, and the tables it shows (doc_id, tables)."""
+    parts = put_together(docs.select("doc_id", block_array(F.col("text")).alias("b")), extracted, pairs if cleanup else [])
+    return word_documents(parts, name), parts.select("doc_id", F.transform(F.filter("parts", lambda b: b["kind"] == "table"), lambda b: b["table"]).alias("tables"))
+
+
+def markdown_files(docs: DataFrame, column: str = "markdown", name: str = "output_markdown.md") -> DataFrame:
+    """The Markdown itself, unchanged."""
+    return docs.select("doc_id", F.lit(name).alias("name"), F.encode(F.coalesce(column, F.lit("")), "UTF-8").alias("content"))
+
+
+def table_exports(docs: DataFrame, workbook: bool = True, csv_: bool = True, markdown: bool = True) -> DataFrame:
+    """All exports of (doc_id, tables) that are asked for, as one frame of files."""
+    made = [f(docs) for f, wanted in ((workbooks, workbook), (csv_files, csv_), (previews, markdown)) if wanted]
+    out = made[0] if made else workbooks(docs).where("false")
+    for other in made[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+def export_tables(docs: DataFrame, folder: str, **kinds: bool) -> list[Path]:
+    """table_exports(), saved; the paths that were written."""
+    return save(table_exports(docs, **kinds), folder)
+
+
 def save(files: DataFrame, folder: str) -> list[Path]:
-    """Writes files (doc_id, name, content) below folder/<doc_id>/, one after another; for results of a size that a person looks at."""
-    written = []
-    for row in files.toLocalIterator():
-        path = Path(folder) / str(row.doc_id) / row.name
-        path.parent.mkdir(parents=True, exist_ok=True)
-        path.write_bytes(bytes(row.content))
-        written.append(path)
-    return written
+    """Writes files (doc_id, name, content) below folder/<doc_id>/, each by the task that made it; the folder must be one that all machines share. The driver gets the paths only."""
+    ship(files.sparkSession)
+
+    def write(batches):
+        for b in batches:
+            paths = []
+            for doc_id, name, content in zip(*(b.column(k).to_pylist() for k in ("doc_id", "name", "content")), strict=True):
+                path = Path(folder) / str(doc_id) / name
+                path.parent.mkdir(parents=True, exist_ok=True)
+                part = path.with_name(f".{path.name}.{uuid.uuid4().hex}")  # a task that runs twice leaves one whole file
+                part.write_bytes(content or b"")
+                part.replace(path)
+                paths.append(str(path))
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], ["path"])
+
+    return [Path(r.path) for r in files.select("doc_id", "name", "content").mapInArrow(write, "path string").collect()]
 
 
 def write_cells(tables: DataFrame, path: str) -> None:
