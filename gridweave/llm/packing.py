@@ -1,20 +1,20 @@
 """Packing by lexical retrieval: BM25 neighbours fill each seed document's window.
 
-Terms are pre-tokens; their document frequencies and the mean length are those of the whole corpus. The frequencies of the STATISTICS most frequent
-terms go to every task; rarer ones count as frequent as the next below these (with fewer terms than that, all are exact). Documents are dealt into shards of a few
-megabytes by lexical keys: a document's first two keys are consistent samples of its terms, weighted by idf, so two documents agree in a key with a
-chance of their weighted Jaccard similarity, wherever they stand in the corpus. A first key's documents share a shard; if they are too many, those of a second key do, and
-if even these are too many they are dealt by a hash among themselves. A shard tokenises its documents and builds a BM25 inverted index over them (terms in more
-than half of the corpus have no weight). The first document without a place is the seed of a window of 1024
-tokens; the index returns its neighbours that have no place yet, the best first, and they fill the window one after another. Who doesn't fit is cut:
-its rest is the seed of the next window. Without a neighbour the next document in order follows. So only a shard's very last window isn't full;
-it is laid out as sequences of falling powers of two, and nothing needs padding. Each document ends with id 0.
+Every text is tokenised once; from there on only its ids move, two bytes each for vocabularies of up to 65,536. Terms are token ids: document
+frequencies and the mean length are those of the whole corpus, exact, in a table as large as the vocabulary. Documents are dealt into shards of about
+SHARD_TOKENS by two lexical keys, consistent samples of a document's terms weighted by idf: two documents agree in a key with a chance of their weighted
+Jaccard similarity, wherever they stand in the corpus. Small first keys share a shard, a large one is divided by the second key, and what is too
+large even so (copies of one text, say) is dealt by row. A shard builds a BM25 inverted index over its documents (terms in more than half of the corpus have no weight). The first document
+without a place is the seed of a window of 1024 tokens; the index returns its neighbours that have no place yet, the best first, and they fill the
+window one after another. Who doesn't fit is cut: its rest is the seed of the next window. Without a neighbour the next document in order follows.
+So only a shard's very last window isn't full; it is laid out as sequences of falling powers of two, and nothing needs padding. Each
+document ends with id 0.
 
 A shard is one task's work, of bounded size unless a single text is larger; shards don't depend on each other, and a lost one is made
-again from its documents alone.
+again from its documents alone. The driver holds a number for each vocabulary entry, nothing for each document or shard.
 
-Odd input: null and empty texts are the single id 0; a null id is hashed and returned as null; repeated rows are packed each; an empty table gives no
-rows; other columns are ignored.
+Odd input: null and empty texts are the single id 0; a null id comes last in its shard and is returned as null; repeated rows are packed each; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,40 +24,37 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import cut, partitions, picked
-from .pretokens import Encoder, split
+from .pretokens import Encoder
 from .words import mix
 
 WINDOW = 1024
-SHARD_BYTES = 4 << 20
+SHARD_TOKENS = 1 << 20
 K1, B = 1.5, 0.75
-STATISTICS = 1 << 21
-FIRST_KEYS, SECOND_KEYS = 1 << 20, 1 << 8
-PIECE_CHARS = 1 << 20
+#: Characters tokenised at once, and tokens looked at at once.
+PIECE_CHARS, PIECE_TOKENS = 1 << 20, 1 << 20
+#: Rows of three numbers up to which the table of divided shards is broadcast; a larger one is joined by a shuffle.
+MOST_BROADCAST = 100_000
+#: First keys for documents that have no term with a weight.
+SPARE = 64
 
 OUTPUT = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+_TOKENS = "doc_id long, row long, n long, ids binary"
 
 
 @dataclass
 class Statistics:
-    """Of the whole corpus: documents, their mean length, and the document frequencies of terms (ascending hashes); rest: that of terms left out."""
+    """Of the whole corpus: documents, their mean length, and each term's document frequency (terms beyond the table: none)."""
 
     n: int
     mean: float
-    terms: np.ndarray
     df: np.ndarray
-    rest: int = 1
 
-    def df_of(self, terms: np.ndarray, missing: int | None = None) -> np.ndarray:
-        out = np.full(len(terms), self.rest if missing is None else missing, np.int64)
-        at = np.searchsorted(self.terms, terms)
-        inner = np.flatnonzero(at < len(self.terms))
-        hit = inner[self.terms[at[inner]] == terms[inner]]
-        out[hit] = self.df[at[hit]]
-        return out
+    def idf(self) -> np.ndarray:
+        return idf_of(self.n, self.df)
 
 
 def idf_of(n: int, df: np.ndarray) -> np.ndarray:
@@ -65,20 +62,19 @@ def idf_of(n: int, df: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """An inverted index of the shard: postings by term, with BM25 weights, by the corpus's statistics (or else the shard's own)."""
+    """An inverted index of a shard: postings by term, with BM25 weights, by the corpus's statistics (or else the shard's own)."""
 
     def __init__(self, terms: np.ndarray, at: np.ndarray, corpus: Statistics | None = None):
         self.n = len(at) - 1
         size = np.diff(at)
         doc = np.repeat(np.arange(self.n), size)
-        distinct, terms = np.unique(terms, return_inverse=True)
         key, tf = np.unique(terms.astype(np.int64) * self.n + doc, return_counts=True)
         term, doc = np.divmod(key, self.n) if self.n else (key, key)
         df = np.bincount(term)
-        idf = idf_of(self.n, df) if corpus is None else idf_of(corpus.n, np.maximum(df, corpus.df_of(distinct)))
+        idf = idf_of(self.n, df) if corpus is None else corpus.idf()
         mean = corpus.mean if corpus else size.mean() if self.n else 1.0
         keep = (idf[term] > 0) & (df[term] > 1) if len(df) else np.zeros(0, bool)
-        term, doc, tf = term[keep], doc[keep], tf[keep]
+        term, doc, tf = term[keep], doc[keep].astype(np.int32), tf[keep]
         self.doc = doc
         self.weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / max(1.0, mean)))).astype(np.float32)
         begin = np.searchsorted(term, np.arange(len(df) + 1))
@@ -138,156 +134,195 @@ def laid_out(sizes: np.ndarray, index: Index, window: int = WINDOW) -> list[tupl
     return out
 
 
-def _pieces(batches):
-    """(batch, first row, texts) of about PIECE_CHARS characters; a longer text comes alone."""
+def kind_of(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def _runs(sizes: list[int], limit: int):
+    """Ranges of neighbours of together at most limit, or of one."""
+    lo = 0
+    while lo < len(sizes):
+        hi, n = lo + 1, sizes[lo]
+        while hi < len(sizes) and n + sizes[hi] <= limit:
+            n += sizes[hi]
+            hi += 1
+        yield lo, hi
+        lo = hi
+
+
+def _tokenised(path: str, kind: str):
+    def work(batches):
+        encoder = Encoder.of(path)
+        for b in batches:
+            column = b.column("text").to_pylist()
+            for lo, hi in _runs([len(t or "") for t in column], PIECE_CHARS):
+                texts = [t or "" for t in column[lo:hi]]
+                column[lo:hi] = [None] * (hi - lo)
+                ids, at = encoder.encode(texts)
+                flat = np.insert(ids, at[1:], 0).astype(kind)
+                ends = at[1:] + np.arange(1, len(at))
+                begin = np.concatenate(([0], ends[:-1]))
+                own = [flat[s:e].tobytes() for s, e in zip(begin.tolist(), ends.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("row").slice(lo, hi - lo), pa.array(ends - begin), pa.array(own, pa.binary())], ["doc_id", "row", "n", "ids"])
+
+    return work
+
+
+def _parts(batches, kind: str):
+    """(batch of rows, their ids, where each row's begin) of about PIECE_TOKENS ids; a longer text comes alone."""
     for b in batches:
-        texts, lo = [t or "" for t in b.column("text").to_pylist()], 0
-        while lo < len(texts):
-            hi, n = lo + 1, len(texts[lo])
-            while hi < len(texts) and n + len(texts[hi]) <= PIECE_CHARS:
-                n += len(texts[hi])
-                hi += 1
-            yield b, lo, texts[lo:hi]
-            lo = hi
-
-
-def _frequencies(batches):
-    """(term, n): in how many documents each term is, in parts; for the term null, how many terms there are."""
-
-    def handed():
-        terms, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-        n = np.bincount(at, np.concatenate([x for _, x in held])).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([None, *terms.view(np.int64).tolist()], pa.int64()), pa.array([total, *n.tolist()], pa.int64())], ["term", "n"])
-
-    held, rows, total = [], 0, 0
-    for _, _, texts in _pieces(batches):
-        _, _, _, terms, at = split(texts)
-        total += len(terms)
-        order = np.argsort(terms, kind="stable")  # within a term, documents ascend
-        terms, doc = terms[order], np.repeat(np.arange(len(texts)), np.diff(at))[order]
-        new = np.ones(len(terms), bool)
-        new[1:] = terms[1:] != terms[:-1]
-        pair = new.copy()
-        pair[1:] |= doc[1:] != doc[:-1]
-        if len(terms):
-            held.append((terms[new], np.add.reduceat(pair.astype(np.int64), np.flatnonzero(new))))
-            rows += len(held[-1][0])
-        if rows > 1 << 20:
-            yield handed()
-            held, rows, total = [], 0, 0
-    if held:
-        yield handed()
-
-
-def statistics(docs: DataFrame, n: int, most: int = STATISTICS) -> Statistics:
-    counted = cut(docs.select("text").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where("term is null or n > 1"))
-    length = counted.where("term is null").agg(F.sum("n")).first()[0] or 0
-    sizes = sorted(counted.where("term is not null").groupBy("n").agg(F.count("*").alias("terms")).collect(), reverse=True)
-    least, held = 2, 0
-    for k, r in enumerate(sizes):
-        held += r.terms
-        if held > most:
-            least = sizes[k - 1].n if k else r.n + 1
-            break
-    t = counted.where("term is not null").where(F.col("n") >= least).toArrow()  # at most so many rows
-    terms, df = t.column("term").to_numpy().view(np.uint64), t.column("n").to_numpy()
-    order = np.argsort(terms)
-    return Statistics(n, length / max(1, n), terms[order], df[order], least - 1)
-
-
-def _keyed(shared):
-    """Each document with its keys. For a key, each of a document's terms that others share draws an exponential of rate idf, the same wherever it stands; the least wins."""
-
-    def keyed(batches):
-        for b, lo, texts in _pieces(batches):
-            corpus = shared.value
-            _, _, _, terms, at = split(texts)
-            distinct, term = np.unique(terms, return_inverse=True)
-            df = corpus.df_of(distinct, 0)
-            rate = np.where(df > 0, idf_of(corpus.n, df), 0)
-            tie = b.column("tie").to_numpy()[lo : lo + len(texts)]
-            keys, some = [], np.diff(at) > 0
-            for k, size in ((1, FIRST_KEYS), (2, SECOND_KEYS)):
-                key = (mix(tie.view(np.uint64) + np.uint64(k)) % np.uint64(size)).astype(np.int64)  # for texts without such a term
-                if len(distinct):
-                    h = mix(distinct + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
-                    with np.errstate(divide="ignore"):
-                        draw = np.where(rate > 0, -np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / rate, np.inf)
-                    order = np.argsort(draw, kind="stable")
-                    rank = np.empty(len(order), np.int64)
-                    rank[order] = np.arange(len(order))
-                    won = order[np.minimum.reduceat(rank[term], at[:-1][some])]
-                    key[some] = np.where(np.isfinite(draw[won]), (mix(h[won]) % np.uint64(size)).astype(np.int64), key[some])
-                keys.append(pa.array(key))
-            own = b.slice(lo, len(texts))
-            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("doc_id", "text", "tie", "size")), *keys], ["doc_id", "text", "tie", "size", "first", "second"])
-
-    return keyed
-
-
-def shards_of(keyed: DataFrame, shard_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Cells of keys (ascending codes), the shard of each and over how many it goes, the first keys that are told apart by second ones, the number of shards."""
-    t = keyed.groupBy("first").agg(F.sum("size").alias("n")).toArrow()  # at most FIRST_KEYS rows
-    code, n = t.column("first").to_numpy() * (SECOND_KEYS + 1), t.column("n").to_numpy()
-    large = n > shard_bytes
-    hot = np.sort(code[large] // (SECOND_KEYS + 1))
-    if len(hot):
-        some = keyed.sparkSession.createDataFrame([(int(x),) for x in hot], "first long")
-        t = keyed.join(F.broadcast(some), "first").groupBy("first", "second").agg(F.sum("size").alias("n")).toArrow()  # at most SECOND_KEYS rows for each shard's bytes
-        code = np.concatenate((code[~large], t.column("first").to_numpy() * (SECOND_KEYS + 1) + 1 + t.column("second").to_numpy()))
-        n = np.concatenate((n[~large], t.column("n").to_numpy()))
-    order = np.argsort(code)
-    code, parts = code[order], np.maximum(1, -(-n[order] // shard_bytes))
-    shard, at, used = np.zeros(len(code), np.int64), 0, 0
-    for k, (size, p) in enumerate(zip(n[order].tolist(), parts.tolist(), strict=True)):
-        if used and used + size > shard_bytes:
+        n = b.column("n").to_pylist()
+        for lo, hi in _runs(n, PIECE_TOKENS):
+            part = b.slice(lo, hi - lo)
+            yield part, np.frombuffer(b"".join(part.column("ids").to_pylist()), kind), np.concatenate(([0], np.cumsum(n[lo:hi]))).astype(np.int64)
+
+
+def _frequencies(kind: str, vocabulary: int):
+    """(term, n): in how many of the task's documents each term is."""
+
+    def work(batches):
+        df = np.zeros(vocabulary, np.int64)
+        for _, ids, at in _parts(batches, kind):
+            doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+            df += np.bincount(np.unique(ids.astype(np.int64) * len(at) + doc) // len(at), minlength=vocabulary)
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], ["term", "n"])
+
+    return work
+
+
+def statistics(tokens: DataFrame, kind: str, vocabulary: int) -> Statistics:
+    total = tokens.agg(F.count("*").alias("n"), F.sum("n").alias("length")).first()
+    t = tokens.mapInArrow(_frequencies(kind, vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # at most a row for each vocabulary entry
+    df = np.zeros(vocabulary, np.int64)
+    df[t.column("term").to_numpy()] = t.column("n").to_numpy()
+    df[0] = total.n  # the end of every document
+    return Statistics(total.n, (total.length or 0) / max(1, total.n), df)
+
+
+def drawn(corpus: Statistics) -> list[np.ndarray]:
+    """For each key, every term's place: each draws an exponential of rate idf, and a document's key is its term with the first place. Terms without a weight have none (the last place)."""
+    idf, out = np.where(corpus.df > 1, corpus.idf(), 0), []  # a term of one document brings it no company
+    for k in (1, 2):
+        h = mix(np.arange(len(idf), dtype=np.uint64) + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
+        with np.errstate(divide="ignore"):
+            draw = np.where(idf > 0, -np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / idf, np.inf)
+        place = np.empty(len(idf), np.int32)
+        place[np.argsort(draw, kind="stable")] = np.arange(len(idf))
+        out.append(np.where(np.isfinite(draw), place, len(idf)).astype(np.int32))
+    return out
+
+
+def _keys(places: list[np.ndarray], ids: np.ndarray, at: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
+    spare = (mix(row.view(np.uint64)) % np.uint64(SPARE)).astype(np.int64)
+    found = [np.minimum.reduceat(p[ids], at[:-1]).astype(np.int64) for p in places]  # no document is without ids
+    return [np.where(f < len(places[0]), f, len(places[0]) + spare) for f in found]
+
+
+def _keyed(kind: str, shared):
+    def work(batches):
+        for b, ids, at in _parts(batches, kind):
+            first, second = _keys(shared.value, ids, at, b.column("row").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second), b.column("n")], ["first", "second", "n"])
+
+    return work
+
+
+def starts(sizes: dict[int, int], keys: int, limit: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """For each first key its first shard and the number of its shards; how many shards there may be. A large key has three times its shards' numbers, for those that must be divided again."""
+    start, parts, at, used = np.zeros(keys, np.int64), np.ones(keys, np.int64), 0, 0
+    for k in sorted(sizes):
+        if used and used + sizes[k] > limit:
             at, used = at + 1, 0
-        shard[k] = at
-        at, used = at + p - 1, used + size
-    return code, shard, parts, hot, at + 1
+        start[k] = at
+        if sizes[k] > limit:
+            parts[k] = -(-sizes[k] // limit)
+            at, used = at + 3 * int(parts[k]) + 1, 0
+        else:
+            used += sizes[k]
+    return start, parts, at + 1
+
+
+def _part(second, parts):
+    return (mix(second.astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
 
 
-def _dealt(shared):
-    def dealt(batches):
-        code, shard, parts, hot, _ = shared.value
+def _cells(shared):
+    """(cell, first, n): each row's shard as far as its keys tell."""
+
+    def work(batches):
+        start, parts = shared.value
         for b in batches:
-            first, second, tie = (b.column(c).to_numpy() for c in ("first", "second", "tie"))
-            at = np.searchsorted(code, first * (SECOND_KEYS + 1) + np.where(np.isin(first, hot), 1 + second, 0))
-            own = shard[at] + (tie.view(np.uint64) % parts[at].astype(np.uint64)).astype(np.int64) if len(at) else first
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(own, pa.int64())], ["doc_id", "text", "shard"])
+            first = b.column("first").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(start[first] + _part(b.column("second").to_numpy(), parts[first])), b.column("first"), b.column("n")], ["cell", "first", "n"])
+
+    return work
+
+
+def _dealt(kind: str, shared, dealing):
+    def work(batches):
+        start, parts = dealing.value
+        for b, ids, at in _parts(batches, kind):
+            first, second = _keys(shared.value, ids, at, b.column("row").to_numpy())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "row", "ids")), pa.array(start[first] + _part(second, parts[first]))], ["doc_id", "row", "ids", "cell"])
 
-    return dealt
+    return work
 
 
-def _packed(path: str, window: int, shared):
+def _packed(kind: str, window: int, shared):
     def packed(key, table):
-        ids, texts = table.column("doc_id").to_pylist(), [t or "" for t in table.column("text").to_pylist()]
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
-        ids, texts = [ids[i] for i in order], [texts[i] for i in order]
-        tokens, at, terms, term_at = Encoder.of(path).encode(texts)
-        sizes = np.diff(at) + 1
-        flat = np.insert(tokens, at[1:], 0).astype("<u4")
-        begin = np.cumsum(sizes) - sizes
-        pieces = laid_out(sizes, Index(terms, term_at, shared.value), window)
-        shard = key[0].as_py() << 32
-        columns = [pa.array([ids[p[0]] for p in pieces], pa.int64()), *(pa.array([p[k] for p in pieces], pa.int64()) for k in (1, 2)), pa.array([flat[begin[p[0]] + p[1] : begin[p[0]] + p[1] + p[2]].tobytes() for p in pieces], pa.binary()), pa.array([int(sizes[p[0]]) for p in pieces], pa.int64()), pa.array([shard + p[3] for p in pieces], pa.int64()), pa.array([p[4] for p in pieces], pa.int64())]
-        return pa.table(columns, [x.split()[0] for x in OUTPUT.split(", ")])
+        doc_id, raw = table.column("doc_id").to_pylist(), table.column("ids").to_pylist()
+        order = sorted(range(len(raw)), key=lambda i: (doc_id[i] is None, doc_id[i] or 0, raw[i]))
+        flat = np.frombuffer(b"".join([raw[i] for i in order]), kind)
+        sizes = np.array([len(raw[i]) // flat.itemsize for i in order], np.int64)
+        del raw, table
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        pieces = np.array(laid_out(sizes, Index(flat, at, shared.value), window), np.int64)
+        doc, start, n, sequence, offset = pieces.T
+        begin = (at[doc] + start).tolist()
+        wide = flat.astype("<u4")
+        out = [wide[s : s + k].tobytes() for s, k in zip(begin, n.tolist(), strict=True)]
+        own = pa.array([doc_id[i] for i in order], pa.int64()).take(pa.array(doc))
+        return pa.table([own, pa.array(start), pa.array(n), pa.array(out, pa.binary()), pa.array(sizes[doc]), pa.array((key[0].as_py() << 22) + sequence), pa.array(offset)], [x.split()[0] for x in OUTPUT.split(", ")])
 
     return packed
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def dealt(tokens: DataFrame, corpus: Statistics, kind: str, shard_tokens: int) -> tuple[DataFrame, int]:
+    """The documents (doc_id, ids) with their shard, and about how many shards there are."""
+    send = tokens.sparkSession.sparkContext.broadcast  # what goes out has a few numbers for each vocabulary entry
+    places = send(drawn(corpus))
+    keys = cut(tokens.mapInArrow(_keyed(kind, places), "first long, second long, n long"))
+    sizes = {r["first"]: r.n for r in keys.groupBy("first").agg(F.sum("n").alias("n")).collect()}  # at most a row for each vocabulary entry
+    start, parts, shards = starts(sizes, len(corpus.df) + SPARE, shard_tokens)
+    dealing = send((start, parts))
+    rows = tokens.mapInArrow(_dealt(kind, places, dealing), "doc_id long, row long, ids binary, cell long")
+    cells = keys.mapInArrow(_cells(dealing), "cell long, first long, n long").groupBy("first", "cell").agg(F.sum("n").alias("n"))
+    over = cells.where(F.col("n") > 2 * shard_tokens).withColumn("subs", F.ceil(F.col("n") / shard_tokens).cast("long"))
+    before = Window.partitionBy("first").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # a row for each divided shard
+    over = over.withColumn("before", F.coalesce(F.sum("subs").over(before), F.lit(0)))
+    large = np.flatnonzero(parts > 1).tolist()
+    if not large:
+        return rows.select("doc_id", "ids", F.col("cell").alias("shard")), shards
+    numbers = tokens.sparkSession.createDataFrame([(k, int(start[k] + parts[k])) for k in large], "first long, spare long")
+    over = cut(over.join(numbers, "first").select("cell", "subs", (F.col("spare") + F.col("before")).alias("base")))
+    shard = F.when(F.col("subs").isNull(), F.col("cell")).otherwise(F.col("base") + F.pmod(F.xxhash64("row"), F.col("subs")))
+    if over.count() <= MOST_BROADCAST:
+        over = F.broadcast(over)
+    return rows.join(over, "cell", "left").select("doc_id", "ids", shard.alias("shard")), shards
+
+
+def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids (unsigned 32-bit, little-endian), doc_tokens, sequence_id, offset."""
     docs = picked(docs, id_col, text_col)
-    n = docs.count()
-    send = docs.sparkSession.sparkContext.broadcast
-    corpus = send(statistics(docs, n))
-    keyed = cut(docs.withColumns({"tie": F.xxhash64("doc_id", "text"), "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1}).mapInArrow(_keyed(corpus), "doc_id long, text string, tie long, size long, first long, second long"))
-    found = shards_of(keyed, shard_bytes)
-    shards = found[-1]
+    vocabulary = 1 + max(Encoder.ids_of(tokenizer_path))
+    kind = kind_of(vocabulary)
+    tokens = cut(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_tokenised(tokenizer_path, kind), _TOKENS))
+    corpus = statistics(tokens, kind, vocabulary)
+    rows, shards = dealt(tokens, corpus, kind, shard_tokens)
     tasks = min(shards, max(partitions(docs.sparkSession), shards // 8))
-    dealt = keyed.mapInArrow(_dealt(send(found)), "doc_id long, text string, shard long").repartition(tasks, "shard")
-    return dealt.groupBy("shard").applyInArrow(_packed(tokenizer_path, window, corpus), OUTPUT)
+    shared = docs.sparkSession.sparkContext.broadcast(corpus)
+    return rows.repartition(tasks, "shard").groupBy("shard").applyInArrow(_packed(kind, window, shared), OUTPUT)
 
 
 def crc32_of(ids: bytes) -> int:

@@ -3,9 +3,9 @@
 The pre-tokens are those of the pattern
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 found from the runs of letters, numbers, white space and others in the text's code points. A pre-token's ids don't depend on its
-neighbours, so only the distinct ones are encoded, and a bounded cache keeps what has been seen. Where the file's merges are in the order of their ids, as in byte-level
+neighbours, so only the distinct ones are encoded, and a bounded cache keeps what has been seen, by the bytes. Where the file's merges are in the order of their ids, as in byte-level
 vocabularies of this kind, single pre-tokens are encoded by rank, which gives the tokenizer's own ids; otherwise by the tokenizer. Texts with characters from
-U+0530 on (whose class may differ between Unicode versions) or with a special token's string go to the tokenizer whole; their index terms are hashed pre-tokens all the same.
+U+0530 on (whose class may differ between Unicode versions) or with a special token's string go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -14,12 +14,11 @@ import json
 import os
 import re
 import unicodedata
-from functools import cache
 from itertools import chain
 
 import numpy as np
 
-from .words import span_hashes
+from .words import mix
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 FAST_BELOW = 0x530
@@ -37,11 +36,6 @@ def _classes(end: int) -> np.ndarray:
 _CLASS = _classes(FAST_BELOW)
 
 
-@cache
-def _all_classes() -> np.ndarray:
-    return _classes(0x110000)
-
-
 _BEYOND = re.compile(f"[{chr(FAST_BELOW)}-{chr(0x10FFFF)}]")
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the pattern
 
@@ -51,7 +45,7 @@ def starts_of(code: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(code)
     if not n:
         return np.zeros(0, np.int64)
-    kind = (_CLASS if code.max() < FAST_BELOW else _all_classes())[code]
+    kind = _CLASS[code]
     edge = np.ones(n, bool)  # a run begins
     edge[1:] = kind[1:] != kind[:-1]
     inner = offsets[(offsets > 0) & (offsets < n)]
@@ -111,37 +105,67 @@ def _ranked(path: str):
     return tiktoken.Encoding("file", pat_str=r"(?s:.)+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
 
-def split(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The texts' bytes, where pre-tokens begin and end in them, their hashes, and where each text's pre-tokens begin."""
+def split(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' bytes, where pre-tokens begin and end in them, and where each text's pre-tokens begin."""
     every = "".join(texts)
     offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
-    code = np.frombuffer(every.encode("utf-32-le"), np.uint32)
-    begin = starts_of(code, offsets)
     data = every.encode()
-    raw = np.frombuffer(data, np.uint8)
-    lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
-    s, e = lead[begin], lead[np.append(begin[1:], len(code))] if len(begin) else begin
-    return data, s, e, span_hashes(raw, s, e), np.searchsorted(begin, offsets)
+    if len(data) == len(every):
+        begin = starts_of(np.frombuffer(data, np.uint8), offsets)
+        s, e = begin, np.append(begin[1:], len(data)) if len(begin) else begin
+    else:
+        code = np.frombuffer(every.encode("utf-32-le"), np.uint32)
+        begin = starts_of(code, offsets)
+        raw = np.frombuffer(data, np.uint8)
+        lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+        s, e = lead[begin], lead[np.append(begin[1:], len(code))] if len(begin) else begin
+    return data, s, e, np.searchsorted(begin, offsets)
+
+
+def _edges(data: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last eight bytes of each span, or all of a shorter one."""
+    padded = np.frombuffer(bytes(8) + data + bytes(8), np.uint8)
+    words = np.ndarray((len(padded) - 7,), np.uint64, padded, strides=(1,))
+    short = np.minimum(e - s, 8).astype(np.uint64)
+    cut = np.where(short < 8, (np.uint64(1) << (short * np.uint64(8) & np.uint64(63))) - np.uint64(1), ~np.uint64(0))
+    return words[s + 8] & cut, np.where(e - s > 8, words[e], np.uint64(0))
+
+
+def distinct(data: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different span, and for each span which it is. Spans are told apart by their bytes, not by a hash."""
+    head, tail = _edges(data, s, e)
+    size = (e - s).astype(np.uint64)
+    key = mix(head ^ mix(tail + size * np.uint64(0x9E3779B97F4A7C15)))
+    for k in np.flatnonzero(e - s > 16).tolist():  # few
+        key[k] = hash(data[s[k] : e[k]]) & 0xFFFFFFFFFFFFFFFF
+    _, first, which = np.unique(key, return_index=True, return_inverse=True)
+    like = first[which]
+    same = (head == head[like]) & (tail == tail[like]) & (size == size[like])
+    far = np.flatnonzero(e - s > 16)
+    same[far] &= np.array([data[s[k] : e[k]] == data[s[j] : e[j]] for k, j in zip(far.tolist(), like[far].tolist(), strict=True)], bool)
+    if not same.all():  # two spans with one key: by the bytes themselves
+        place: dict[bytes, int] = {}
+        which = np.array([place.setdefault(data[a:b], len(place)) for a, b in zip(s.tolist(), e.tolist(), strict=True)], np.int64)
+        first = np.unique(which, return_index=True)[1]
+    return first, which
 
 
 class Encoder:
     """Encodes texts with a tokenizer file; one for each worker.
 
-    What it has seen is kept as sorted hashes with the ids' places, CACHE pre-tokens at most.
+    The ids of pre-tokens that it has seen are kept by their bytes, of CACHE pre-tokens at most.
     """
 
     _own: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self._tokenizer = path, None
         self.piece = _ranked(path)
         self.forget()
 
     def forget(self) -> None:
-        self.hashes, self.head, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.place: dict[bytes, int] = {}
+        self.head, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -149,6 +173,23 @@ class Encoder:
             cls._own[path] = cls(path)
         return cls._own[path]
 
+    @staticmethod
+    def ids_of(path: str) -> set[int]:
+        """All ids that the file's tokenizer may give."""
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        return {*file["model"]["vocab"].values(), *(t["id"] for t in file.get("added_tokens", []))}
+
+    @property
+    def tokenizer(self):
+        """The tokenizer itself, loaded when a text needs it."""
+        if self._tokenizer is None:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -157,37 +198,33 @@ class Encoder:
             return [self.piece(t) for t in tokens]
         return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in tokens], add_special_tokens=False)]
 
-    def known(self, hashes: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where in self.flat the ids of these pre-tokens (ascending hashes) begin, and how many they are."""
-        if len(self.hashes) + len(hashes) > CACHE:
+    def known(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where in self.flat the ids of these different pre-tokens begin, and how many they are."""
+        if len(self.place) + len(tokens) > CACHE:
             self.forget()
-        at = np.searchsorted(self.hashes, hashes)
-        new = np.ones(len(hashes), bool)
-        inner = at < len(self.hashes)
-        new[inner] = self.hashes[at[inner]] != hashes[inner]
-        if new.any():
-            found = self.pieces([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-            size = np.array([len(x) for x in found], np.int64)
-            head = len(self.flat) + np.cumsum(size) - size
+        places = list(map(self.place.get, tokens))
+        if None in places:
+            new = [k for k, x in enumerate(places) if x is None]
+            found = self.pieces([tokens[k] for k in new])
+            for n, k in enumerate(new, len(self.place)):
+                places[k] = self.place[tokens[k]] = n
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            self.head = np.concatenate((self.head, len(self.flat) + np.cumsum(size) - size))
+            self.size = np.concatenate((self.size, size))
             self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))))
-            order = np.argsort(every := np.concatenate((self.hashes, hashes[new])), kind="stable")
-            self.hashes, self.head, self.size = every[order], np.concatenate((self.head, head))[order], np.concatenate((self.size, size))[order]
-            at = np.searchsorted(self.hashes, hashes)
+        at = np.array(places, np.int64)
         return self.head[at], self.size[at]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """ids of all texts, where each text's begin; the terms (hashes of pre-tokens) of all texts, where each text's begin."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all texts, and where each text's begin."""
         slow = {i: self.whole(t) for i, t in enumerate(texts) if not t.isascii() and _BEYOND.search(t) or SPECIAL in t}
-        data, s, e, terms, term_at = split(texts)
-        fast = np.ones(len(texts), bool)
-        fast[list(slow)] = False
-        own = np.flatnonzero(np.repeat(fast, np.diff(term_at)))  # pre-tokens of the texts that are not encoded whole
-        distinct, index, term = np.unique(terms[own], return_index=True, return_inverse=True)
-        head, size = self.known(distinct, data, s[own[index]], e[own[index]])
-        n = size[term]
-        ids = self.flat[np.repeat(head[term] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        id_at = np.concatenate(([0], np.cumsum(n)))[np.searchsorted(own, term_at)]
+        data, s, e, at = split(["" if i in slow else t for i, t in enumerate(texts)])
+        first, which = distinct(data, s, e)
+        head, size = self.known([data[a:b] for a, b in zip(s[first].tolist(), e[first].tolist(), strict=True)])
+        n = size[which]
+        ids = self.flat[np.repeat(head[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        id_at = np.concatenate(([0], np.cumsum(n)))[at]
         if slow:  # put the other texts' ids in their places
             pieces = [slow.get(i, ids[id_at[i] : id_at[i + 1]]) for i in range(len(texts))]
             ids, id_at = np.concatenate(pieces), np.concatenate(([0], np.cumsum([len(x) for x in pieces])))
-        return ids, id_at, terms, term_at
+        return ids, id_at
