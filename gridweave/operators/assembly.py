@@ -37,7 +37,9 @@ def put_together(own: DataFrame, extracted: DataFrame, pairs: list[tuple[str, st
     both = b.join(e, "doc_id", "full_outer")
     own = F.coalesce(F.transform("b", lambda x: F.struct(x["kind"].alias("kind"), markdown_to_plain(x["text"]).alias("text"), x["table"].alias("table"))), F.array().cast(f"array<{BLOCK}>"))
     both = both.select("doc_id", own.alias("b"), F.coalesce(F.transform("e", lambda x: x["table"]), no_tables()).alias("found"))
-    return both.select("doc_id", fold_document(F.col("b"), F.col("found"), pairs).alias("parts"), F.size(F.filter("b", lambda x: x["kind"] == "table")).alias("marked"), "found")
+    # The condition always holds. It names both inputs again, so that they are not inlined into the fold: the optimizer loses a Python expression that it moves over a join with an empty side.
+    parts = F.when(F.size("b") + F.size("found") >= 0, fold_document(F.col("b"), F.col("found"), pairs))
+    return both.select("doc_id", parts.alias("parts"), F.size(F.filter("b", lambda x: x["kind"] == "table")).alias("marked"), "found")
 
 
 def matches(blocks: DataFrame, extracted: DataFrame) -> DataFrame:
