@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,18 +14,31 @@ from ..shipping import ship
 LAST_ID = (1 << 63) - 1
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the cluster's shared checkpoint folder and forget its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors and the driver see: spark.checkpoint.dir. Where that is unset, a temporary one on a single machine (tests), an error on a cluster."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="gridweave-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
 
-    The folder is the session's spark.checkpoint.dir; only where none is set (tests) a temporary one is made.
-    """
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise df in the cluster's shared checkpoint folder and forget its lineage."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gridweave-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete shuffles and checkpoints that nothing refers to any more; it looks when the driver's JVM collects garbage, which a mostly idle driver does too seldom."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def picked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (long) and the text, so that columns of any other name can't clash."""
     ship(docs.sparkSession)

@@ -19,72 +19,63 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, partitions
+from .base import cut, freed, partitions
 
 #: links(payloads) -> index pairs; match(payloads, payload) -> booleans
 Linker = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
 def breadth_first(n: int, match: Callable[[int, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of n rows; match(i, others) says which others are linked with i."""
+    """Stars (centre, row) that connect what a walk from each centre reaches; match(i, others) says which others are linked with i. A star's centre is its first row."""
     left, right = [], []
     open_ = np.arange(n)
     while len(open_) > 1:
-        queue, open_ = [int(open_[0])], open_[1:]
+        root = int(open_[0])
+        queue, open_ = [root], open_[1:]
         while queue and len(open_):
             i = queue.pop()
             hit = match(i, open_)
             found = open_[hit]
-            left += [i] * len(found)
+            left += [root] * len(found)
             right += found.tolist()
             queue += found.tolist()
             open_ = open_[~hit]
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Consecutive rows of equal keys, from sorted batches."""
-    held: list[pa.Table] = []
-    last = None
-    for b in batches:
-        t = pa.Table.from_batches([b])
-        columns = list(zip(*(t.column(k).to_pylist() for k in keys), strict=True))
-        starts = [0, *(i for i in range(1, len(columns)) if columns[i] != columns[i - 1])] if columns else []
-        for s, e in zip(starts, [*starts[1:], len(columns)], strict=True):
-            if held and columns[s] != last:
-                yield pa.concat_tables(held)
-                held = []
-            held.append(t.slice(s, e - s))
-            last = columns[s]
-    if held:
-        yield pa.concat_tables(held)
-
-
 def _linked(units: DataFrame, keys: list[str], linker: Linker) -> DataFrame:
     """Links (a, b) of nodes, found in each unit."""
 
-    def work(batches):
-        a, b = [], []
-        for t in _groups(batches, keys):
-            if t.num_rows < 2:
-                continue
-            node, payload = t.column("node").to_pylist(), t.column("payload").to_pylist()
-            first = {}
-            for i, x in enumerate(node):
-                first.setdefault(x, i)
-            if len(first) < len(node):  # a row that came twice
-                node, payload = list(first), [payload[i] for i in first.values()]
-            i, j = linker(payload)
-            a += [node[k] for k in i.tolist()]
-            b += [node[k] for k in j.tolist()]
-            if len(a) > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-                a, b = [], []
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+    def of(node: list[bytes], payload: list[bytes]):
+        first: dict[bytes, int] = {}
+        for k, x in enumerate(node):
+            first.setdefault(x, k)
+        if len(first) < 2:
+            return []
+        if len(first) < len(node):  # a row that came twice
+            node, payload = list(first), [payload[k] for k in first.values()]
+        i, j = linker(payload)
+        return [(node[x], node[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)]
+
+    def rows(links) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.binary()), pa.array([y for _, y in links], pa.binary())], ["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]):
+        last, node, payload, links = None, [], [], []
+        for batch in batches:  # sorted, so that a unit's rows follow each other
+            for *key, n, p in zip(*(batch.column(k).to_pylist() for k in (*keys, "node", "payload")), strict=True):
+                if key != last:
+                    links += of(node, payload)
+                    last, node, payload = key, [], []
+                node.append(n)
+                payload.append(p)
+            if links:
+                yield rows(links)
+                links = []
+        yield rows(of(node, payload))
 
     n = partitions(units.sparkSession)
-    return units.select(*keys, "node", "payload").repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(work, "a binary, b binary")
+    return units.select(*keys, "node", "payload").repartition(n, *keys).sortWithinPartitions(*keys, "node").mapInArrow(work, "a binary, b binary")
 
 
 def spanning(rows: DataFrame, sizes: DataFrame, linker: Linker, limit: int) -> DataFrame:
@@ -117,16 +108,21 @@ def _kind(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Has each u one v, and is none of them a u?"""
+    roles = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")), F.struct(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent")))).alias("r")).select("r.*")
+    return roles.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")).where("child > 1 or child + parent > 1").isEmpty()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, component) for each node of an edge (a, b): the component's smallest node."""
     star = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    state = None
-    while state != (now := star.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()):
-        state = now
-        both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    while not _stars(star):
+        both = star.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         # Cut, so that the join below is one of two plain shuffles, which Spark can split where a hub has very many edges.
         least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m")))
         large = star.join(least, "v").select("u", F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        star = cut(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", "m")).distinct())
+        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        star = cut(large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(smallest.select("u", F.col("m").alias("v"))).distinct())
+        freed(star.sparkSession)
     return star.select(F.col("u").alias("node"), F.col("v").alias("component")).union(star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
