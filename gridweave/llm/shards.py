@@ -1,20 +1,22 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
-Documents that are linked should share a shard, and shards should be even. Each document starts in the shard of the smallest document among
-itself and its neighbours (or, with more links than a shard has room for, in one of the shards behind that one). In each round every document counts its neighbours' shards by a join; one that has more neighbours elsewhere
-asks to move there. Between two shards as many may move as ask for the opposite way, and each shard admits others while its quota has room, the largest gains first; the last
-places of a gain go by a hash. A round's
-half of the documents, drawn by a hash, may move, so that neighbours don't swap places for ever. At last every shard gets exactly its quota:
+Documents that are linked should share a shard, and shards should be even. Documents start dealt out evenly by a hash, whatever their links. In each round
+every document counts its neighbours' shards by a join; one that has more neighbours elsewhere asks to move there. Between two shards as many
+may move as ask for the opposite way, and each shard admits others while it is below its quota and SLACK, the largest gains first; the last
+places of a gain go by a hash. Where more ask than that, documents without links make room: drawn by a hash, they go the opposite way, which cuts nothing. A round's half of the documents, drawn by a hash, may move, so that neighbours don't swap places for ever. At last every shard gets exactly its quota:
 surplus documents leave full shards, those first whose move cuts no or few links, and fill the others' room in runs, so that documents of a split
 group stay together.
 
 Quotas need ranks within shards. rank() gives them without sorting a shard in one task: counts by (shard, slice of the order) are
 summed up in a table of fixed size, and only slices are sorted.
 
-Hot groups: links form stars around a group's smallest document, so a group of any size has as many links as documents; neighbours'
-shards are counted by sums that combine before the shuffle (a hub has at most `shards` partial sums for each task), and joins on a hub can be split by Spark.
+Hot groups: links form stars around one document of a group, so a group of any size has as many links as documents; neighbours'
+shards are counted by sums that combine before the shuffle (a hub has at most `shards` partial sums for each task), and where many documents
+ask for one's shard, its row is repeated for each SPLIT of them and they are dealt over the copies.
 
-Odd input: a null text is empty, null and empty texts link with each other as equal texts do; a null id comes last in orders; repeated rows are
+All choices follow from hashes of id and text, none from the input's partitions or files; rows that agree in both are interchangeable.
+
+Odd input: a null text is empty, null and empty texts link with each other as equal texts do; a null id is hashed like any other; repeated rows are
 rows of their own (equal texts); an empty table gives no rows; other columns are ignored.
 """
 
@@ -23,12 +25,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import cut, partitions
+from .base import cut, freed
 
-SHARDS, ROUNDS = 8, 3
+SHARDS, ROUNDS = 8, 8
+#: How far above its quota a shard may be between rounds, as a share of it.
+SLACK = 0.02
 #: Slices of an order in which rows are ranked; their counts are a table of at most shards * SLICES rows.
 SLICES = 4096
-#: Links from which on a group's documents are ranked in several slices, not as one run.
+#: Links from which on a group's documents are ranked in several slices, not as one run, and a node's shard is handed out by several rows.
 SPLIT = 1000
 
 
@@ -59,36 +63,52 @@ def _counts(state: DataFrame, shards: int) -> list[int]:
     return [found.get(k, 0) for k in range(shards)]
 
 
+def _salts(weight: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(weight / SPLIT)).cast("int")
+
+
 def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """(node, weight, shard) for nodes (node long, weight: links it has) and links (a, b), each in both directions; shards' counts differ by one at most."""
-    n = nodes.count()
-    quota = quotas(n, shards)
-    first = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
-    start = F.least(F.col("node"), F.coalesce("b", "node"))
-    # A group that no shard has room for starts in as many neighbouring shards as it needs.
-    piece = F.pmod(F.xxhash64("node", F.lit(4)), F.ceil((F.col("weight") + 1) / max(1, quota[-1])))
-    state = cut(nodes.join(first, "node", "left").select("node", "weight", start.alias("hub"), F.pmod(F.xxhash64(start, F.lit(3)) + piece, F.lit(shards)).cast("int").alias("shard")))
+    """(node, h, weight, hub, shard) for nodes (node long; h: a hash that orders them; weight: links it has; hub: what runs of them go by; seat: its first shard, or null) and links (a, b, b's weight bw), each
+    in both directions; shards' counts differ by one at most."""
+    quota = quotas(nodes.count(), shards)
+    links = cut(links.select("a", "b", F.pmod(F.xxhash64("a", F.lit(4)), _salts(F.col("bw"))).cast("int").alias("salt")))
+    state = cut(nodes.select("node", "h", "weight", "hub", F.coalesce("seat", F.pmod(F.xxhash64("h", F.lit(3)), F.lit(shards))).cast("int").alias("shard")))
     for turn in range(rounds):
         counts = _counts(state, shards)
-        votes = links.join(state.select(F.col("node").alias("b"), "shard"), "b").groupBy(F.col("a").alias("node"), "shard").agg(F.count("*").alias("votes"))
+        told = state.where("weight > 0").select(F.col("node").alias("b"), "shard", F.explode(F.sequence(F.lit(0), _salts(F.col("weight")) - 1)).alias("salt"))
+        votes = links.join(told, ["b", "salt"]).groupBy(F.col("a").alias("node"), "shard").agg(F.count("*").alias("votes"))
         best = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("shard")).alias("s"))).alias("best"), F.collect_list(F.struct("shard", "votes")).alias("all"))  # at most `shards` entries
-        asks = state.join(best, "node").select("node", "shard", (-F.col("best.s")).alias("to"), (F.col("best.votes") - F.coalesce(F.expr("get(filter(all, x -> x.shard = shard), 0).votes"), F.lit(0))).alias("gain"))
-        asks = asks.where(F.col("gain") > 0).where(F.pmod(F.xxhash64("node", F.lit(100 + turn)), F.lit(2)) == 0)
+        asks = state.join(best, "node").select("node", "h", "shard", (-F.col("best.s")).alias("to"), (F.col("best.votes") - F.coalesce(F.expr("get(filter(all, x -> x.shard = shard), 0).votes"), F.lit(0))).alias("gain"))
+        asks = cut(asks.where(F.col("gain") > 0).where(F.pmod(F.xxhash64("h", F.lit(100 + turn)), F.lit(2)) == 0))
         # As many as ask for the way back may go from one shard to another; what room a shard has beyond is given out in order.
         asked = {(r.shard, r.to): r["count"] for r in asks.groupBy("shard", "to").count().collect()}  # a row for each two shards
-        room = [max(0, q - c) for q, c in zip(quota, counts, strict=True)]
+        if not asked and turn:
+            break
+        room = [max(0, q + int(q * SLACK) - c) for q, c in zip(quota, counts, strict=True)]
+        alone = _counts(state.where("weight = 0"), shards)
+        free, back = list(alone), [[0] * shards for _ in range(shards)]
         allowed = []
         for a in range(shards):
             for b in range(shards):
                 swaps = min(asked.get((a, b), 0), asked.get((b, a), 0))
                 more = min(room[b], asked.get((a, b), 0) - swaps)
                 room[b] -= more
-                allowed.append(swaps + more)
+                give = min(free[b], asked.get((a, b), 0) - swaps - more)
+                free[b] -= give
+                back[b][a] = give
+                allowed.append(swaps + more + give)
         gain_class = F.least(F.lit(62), F.floor(F.log2(F.col("gain").cast("double")))).cast("int")
         asks = asks.withColumn("way", F.col("shard") * shards + F.col("to"))
-        ranked = rank(asks, "way", (F.lit(62) - gain_class) * 64 + F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(64)).cast("int"), [F.col("node")], "place")
+        ranked = rank(asks, "way", (F.lit(62) - gain_class) * 64 + F.pmod(F.xxhash64("h", F.lit(turn)), F.lit(64)).cast("int"), [F.col("h"), F.col("node")], "place")
         moves = ranked.where(F.col("place") < F.element_at(_array(allowed), F.col("way") + 1)).select("node", "to")
-        state = cut(state.join(moves, "node", "left").select("node", "weight", "hub", F.coalesce("to", "shard").alias("shard")))
+        # Of a shard's documents without links, about as many as asked for, by a hash between 0 and 1 that falls below a running share.
+        ends = [[sum(b[: k + 1]) / max(1, n) for k in range(shards)] for b, n in zip(back, alone, strict=True)]
+        drawn = F.pmod(F.xxhash64("h", F.lit(200 + turn)), F.lit(1 << 30)) / (1 << 30)
+        own = F.element_at(F.array(*[F.array(*[F.lit(x) for x in e]) for e in ends]), F.col("shard") + 1)
+        over = F.size(F.filter(own, lambda x: x <= drawn))
+        makes_room = F.when((F.col("weight") == 0) & (over < shards), over)
+        state = cut(state.join(moves, "node", "left").select("node", "h", "weight", "hub", F.coalesce("to", makes_room, "shard").cast("int").alias("shard")))
+        freed(state.sparkSession)
     return _settled(state, quota, shards)
 
 
@@ -102,8 +122,8 @@ def _settled(state: DataFrame, quota: list[int], shards: int) -> DataFrame:
     # Rank by the number of links (logarithmic classes), so that whoever leaves cuts few; within a class by hub, in slices that split a hot one.
     link_class = F.when(F.col("weight") <= 0, 0).otherwise(F.least(F.lit(62), F.floor(F.log2(F.col("weight").cast("double"))) + 1)).cast("int")
     of_hub = F.pmod(F.xxhash64("hub", F.lit(5)), F.lit(256))
-    piece = F.when(F.col("weight") < SPLIT, of_hub).otherwise(F.floor(of_hub / 64) * 64 + F.pmod(F.xxhash64("node", F.lit(6)), F.lit(64)))
-    ranked = rank(state, "shard", link_class * 256 + piece.cast("int"), [F.col("hub"), F.col("node")], "place")
+    piece = F.when(F.col("weight") < SPLIT, of_hub).otherwise(F.floor(of_hub / 64) * 64 + F.pmod(F.xxhash64("h", F.lit(6)), F.lit(64)))
+    ranked = rank(state, "shard", link_class * 256 + piece.cast("int"), [F.col("hub"), F.col("h"), F.col("node")], "place")
     before = [sum(over[:k]) for k in range(shards)]
     at = F.col("place") + F.element_at(_array(before), F.col("shard") + 1)  # a running number over all that leave
     ends, run = [], 0
@@ -121,12 +141,20 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     """One row for each document: doc_id, size, text_crc32, shard and slot (gapless from 0 in its shard). Equal texts are linked."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"), F.md5(text.cast("binary")).alias("same"))
-    # A number for each row: ids may repeat or be null. It is fixed by the checkpoint.
-    rows = cut(rows.withColumn("node", F.monotonically_increasing_id()))
-    groups = cut(rows.groupBy("same").agg(F.min("node").alias("hub"), F.count("*").alias("n")))  # then Spark can split the join on a hot text
-    nodes = cut(rows.join(groups, "same").select("node", "hub", (F.col("n") - 1).alias("weight")))
-    links = nodes.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    links = cut(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    placed = propagate(nodes.select("node", "weight"), links, shards, rounds)
-    final = rows.join(placed.select("node", "shard"), "node").select("doc_id", "size", "text_crc32", "shard", "node")
-    return rank(final, "shard", _sliced(F.col("node"), 9), [F.col("node")], "slot").drop("node")
+    # A number for each row: ids may repeat or be null. It is fixed by the checkpoint, and only names the row.
+    rows = cut(rows.withColumns({"h": F.xxhash64("doc_id", "same"), "node": F.monotonically_increasing_id()}))
+    quota = max(1, rows.count() // shards)
+    groups = cut(rows.groupBy("same").agg(F.count("*").alias("n")))  # then Spark can split the join on a hot text
+    # A group that no shard has room for is several stars, whose centres start in different shards.
+    piece = F.pmod(F.xxhash64("h", F.lit(4)), F.ceil(F.col("n") / quota)).alias("piece")
+    linked = cut(rows.join(groups.where("n > 1"), "same").select("same", "node", "h", piece, (F.col("n") > quota).alias("split")))
+    pieces = cut(linked.groupBy("same", "piece", "split").agg(F.min(F.struct("h", "node")).alias("first")).select("same", "piece", "split", F.col("first.node").alias("b")))
+    leaves = cut(linked.join(pieces.drop("split"), ["same", "piece"]).where("node <> b").select(F.col("node").alias("a"), "b"))
+    links = leaves.union(leaves.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    weights = cut(links.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("weight")))
+    seats = pieces.where("split").select(F.col("b").alias("node"), F.pmod(F.xxhash64("same") + F.col("piece"), F.lit(shards)).cast("int").alias("seat"))
+    nodes = rows.join(weights, "node", "left").join(seats, "node", "left").select("node", "h", F.coalesce("weight", F.lit(0)).alias("weight"), F.xxhash64("same").alias("hub"), "seat")
+    links = links.join(weights.select(F.col("node").alias("b"), F.col("weight").alias("bw")), "b")
+    placed = propagate(cut(nodes), links, shards, rounds)
+    final = rows.join(placed.select("node", "shard"), "node").select("doc_id", "size", "text_crc32", "shard", "h", "node")
+    return rank(final, "shard", _sliced(F.col("h"), 9), [F.col("h"), F.col("node")], "slot").drop("h", "node")
