@@ -19,7 +19,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secretscan.scan(table(spark, sf_dir, "documents"), secretscan.trained())
+    docs = table(spark, sf_dir, "documents")
+    found = secretscan.scan(docs, secretscan.trained(secretscan.findings(docs)))
     text = "array_join(transform({0}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')"
     counts = [F.expr(f"cast(size(filter(spans, x -> x.kind = '{k}')) as long)").alias(f"n_{k}") for k in secretscan.KINDS[:3]]
     base = F.expr(text.format("filter(spans, x -> x.kind <> 'net')"))
@@ -50,7 +51,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the lines removed (numbers from 0; null: none) and the text's digest without them."""
-    out = lines.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), lost_col="removed", least=1)
+    out = lines.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), lost_col="removed")
     return out.select("doc_id", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
