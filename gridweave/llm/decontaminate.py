@@ -23,36 +23,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import picked, ship
-from .words import ALNUM, FOLD, Words, grams, scan, scan_column, utf8
+from .words import ALNUM, FOLD, Words, grams, scan_column
 
 #: Positions that one cursor walks.
 STRETCH = 512
-#: Bytes of benchmark text that go to the executors at once; a larger benchmark is searched slice after slice.
-SLICE_BYTES = 16 << 20
+#: Bytes of benchmark text whose tables go to the executors at once, at most some 80 bytes for each word of them; a larger benchmark is searched slice after slice.
+SLICE_BYTES = 2 << 20
 
 OUTPUT = "doc_id long, key long, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>"
 
 
+class Text:
+    """The words of all items, one after another, as numbers into one buffer."""
+
+    def __init__(self, texts: list[str]):
+        parts, self.count, at = [], [], 0
+        for _, _, w in scan_column(pa.array(texts, pa.large_string()), ALNUM, FOLD):
+            parts.append((w.data, (w.starts + at).astype(np.int32), (w.ends + at).astype(np.int32), w.hashes))
+            self.count.append(np.diff(w.first))
+            at += len(w.data)
+        joined = lambda k, kind: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind)
+        self.data, self.starts, self.ends, self.hashes = (joined(k, kind) for k, kind in enumerate((np.uint8, np.int32, np.int32, np.uint64)))
+        self.count = np.concatenate(self.count).astype(np.int64) if self.count else np.zeros(0, np.int64)
+
+    def words(self, i: int, n: int) -> list[bytes]:
+        return [self.data[self.starts[k] : self.ends[k]].tobytes() for k in range(i, i + n)]
+
+
 class WuManber:
-    """Patterns of one length."""
-
-    def __init__(self, length: int, patterns: list[tuple[bytes, ...]], hashes: np.ndarray, owners: list[list[int]]):
-        """hashes: a row of word hashes for each pattern; owners: the items that each pattern belongs to."""
-        self.length, self.block = length, min(2, length)
-        order = np.argsort(suffix := self._blocks(hashes)[:, -1], kind="stable")
-        self.words = [b" ".join(patterns[i]) for i in order]
-        self.owners = [owners[i] for i in order]
-        self.hashes, self.suffix = hashes[order], suffix[order]
-        blocks = self._blocks(hashes)
-        self.bits = max(12, int(16 * blocks.size).bit_length())
+    """Patterns of one length: windows of a Text, by their first words."""
+
+    def __init__(self, length: int, text: Text, at: np.ndarray, owner: np.ndarray):
+        """at: where the windows begin; owner: the item that each belongs to. Equal windows are one pattern with several owners."""
+        self.length, self.block, self.text = length, min(2, length), text
+        whole = grams(text.hashes, length)[at]
+        order = np.lexsort((owner, whole))
+        at, owner, whole = at[order], owner[order], whole[order]
+        new = np.ones(len(at), bool)
+        new[1:] = whole[1:] != whole[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+        for k in np.flatnonzero(~new).tolist():  # windows that items share: by their bytes
+            if text.words(at[k], length) != text.words(at[first[k]], length):
+                new[k] = True
+        begin = np.flatnonzero(new)
+        blocks = grams(text.hashes, self.block)
+        suffix = blocks[at[begin] + length - self.block]
+        order = np.argsort(suffix, kind="stable")
+        self.at, self.suffix = at[begin[order]].astype(np.int32), suffix[order]
+        ends = np.append(begin[1:], len(at))
+        size = (ends - begin)[order]
+        self.owners = owner[np.repeat(begin[order] - (np.cumsum(size) - size), size) + np.arange(size.sum())].astype(np.int32)
+        self.owned = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+        self.bits = max(12, int(16 * min(len(blocks), len(begin) * (length - self.block + 1))).bit_length())
         most = length - self.block + 1
         self.shift = np.full(1 << self.bits, most, np.uint8 if most < 256 else np.int32)
         for j in range(most):  # the later block wins: it allows the smaller shift
-            self.shift[self._slot(blocks[:, j])] = most - 1 - j
-
-    def _blocks(self, hashes: np.ndarray) -> np.ndarray:
-        n = self.length - self.block + 1
-        return np.stack([grams(row, self.block) for row in hashes]) if len(hashes) else np.zeros((0, n), np.uint64)
+            self.shift[self._slot(blocks[self.at + j])] = most - 1 - j
 
     def _slot(self, block: np.ndarray) -> np.ndarray:
         return (block >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -93,9 +119,9 @@ class WuManber:
         which = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         same = np.ones(len(where), bool)
         for j in range(self.length):
-            same[same] = w.hashes[where[same] + j] == self.hashes[which[same], j]
+            same[same] = w.hashes[where[same] + j] == self.text.hashes[self.at[which[same]] + j]
         for i, p in zip(where[same].tolist(), which[same].tolist(), strict=True):
-            if b" ".join(w.word(k) for k in range(i, i + self.length)) == self.words[p]:
+            if [w.word(k) for k in range(i, i + self.length)] == self.text.words(self.at[p], self.length):
                 yield i, p
 
 
@@ -105,14 +131,16 @@ class Searcher:
     def __init__(self, items: list[tuple[str, str | None]], ngram: int):
         self.names = sorted({name for name, _ in items})
         index = {name: k for k, name in enumerate(self.names)}
-        windows: dict[int, dict[tuple[bytes, ...], tuple[np.ndarray, set[int]]]] = {}
-        for name, text in items:
-            w = scan(*utf8(pa.array([text or ""])), ALNUM, FOLD)
-            words = [w.word(i) for i in range(len(w.starts))]
-            m = min(ngram, len(words))
-            for i in range(len(words) - m + 1 if m else 0):
-                windows.setdefault(m, {}).setdefault(tuple(words[i : i + m]), (w.hashes[i : i + m], set()))[1].add(index[name])
-        self.groups = [WuManber(m, list(by), np.stack([h for h, _ in by.values()]), [sorted(o) for _, o in by.values()]) for m, by in sorted(windows.items())]
+        text = Text([t or "" for _, t in items])
+        owner = np.array([index[name] for name, _ in items], np.int64)
+        first = np.cumsum(text.count) - text.count
+        length = np.minimum(ngram, text.count)
+        self.groups = []
+        for m in np.unique(length[length > 0]).tolist():
+            own = np.flatnonzero(length == m)
+            n = text.count[own] - m + 1
+            at = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            self.groups.append(WuManber(m, text, at, np.repeat(owner[own], n)))
 
     def search(self, w: Words) -> tuple[np.ndarray, dict[int, set[str]]]:
         """Which words lie in an occurrence; the items found, by text."""
@@ -122,7 +150,7 @@ class Searcher:
                 cover[i] += 1
                 cover[i + group.length] -= 1
                 text = int(np.searchsorted(w.first, i, "right")) - 1
-                items.setdefault(text, set()).update(self.names[k] for k in group.owners[p])
+                items.setdefault(text, set()).update(self.names[k] for k in group.owners[group.owned[p] : group.owned[p + 1]].tolist())
         return np.cumsum(cover[:-1]) > 0, items
 
 
