@@ -1,13 +1,13 @@
 """Documents in buckets of a few megabytes, and compact messages between buckets and hash shards.
 
-Operators that compare word sequences over the whole corpus would shuffle a row for each word. Here a bucket (documents of
-neighbouring ids) sends each shard of the hash space one message: its distinct hashes, sorted and Elias-Fano coded. A shard
-answers each message in the message's order. A hot word or passage is thus sent once by each bucket, not once by each
-document, and no group is larger than a bucket or a shard. Buckets and shards keep their size when the corpus grows; a
-message gets smaller then, at worst down to a single entry, which is what a plain shuffle would send.
-
-A bucket follows from the id alone, so any task that sees a document puts it in the same bucket, and each step can be
-recomputed after a lost executor. Null ids come last; rows with equal ids are ordered by their text.
+Operators that compare word sequences over the whole corpus would shuffle a row for each word. Here a bucket (neighbouring rows of the input) sends each
+shard of the hash space one message: its distinct hashes, sorted and Elias-Fano coded. A shard answers each message in the message's order. A hot word or passage is thus
+sent once by each bucket, not once by each document, and no group is larger than a bucket or a shard. Buckets and shards keep their size when the
+corpus grows; a message gets smaller then, at worst down to a single entry, which is what a plain shuffle would send.
+
+A bucket is filled by bytes, whatever the ids in it: one repeated or null id, or a range of long texts, makes no larger one (a single longer text does). Buckets
+are made once and kept in the shared checkpoint folder, dealt by their numbers, so that what is lost later is made again from them, and none of the later
+steps moves a text. Within a bucket ids ascend; null ids come last; rows with equal ids are ordered by their text.
 """
 
 from __future__ import annotations
@@ -15,22 +15,21 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import LAST_ID, partitions
-from .words import mix, utf8
+from .base import LAST_ID, cut, partitions
+from .words import utf8
 
 #: Bytes of text in a bucket, about.
 BUCKET_BYTES = 6 << 20
 #: Shards for each bucket: a shard holds about this many buckets' worth of distinct hashes.
 BUCKETS_A_SHARD = 3
-#: Ranges of ids, and tasks of a shuffle beyond what the session asks for; more buckets share a task.
-RANGES, MOST_TASKS = 4096, 50_000
-#: Bytes that a packing task holds before it hands out its messages.
-HELD_BYTES = 24 << 20
+#: Tasks of a shuffle beyond what the session asks for; more buckets share a task.
+MOST_TASKS = 50_000
 
-PACKED = "bucket int, blob binary"
+PACKED = "bucket long, blob binary"
 _squeeze = zstandard.ZstdCompressor(level=1)
 _expand = zstandard.ZstdDecompressor()
 
@@ -51,31 +50,23 @@ def expand(blob: bytes, *kinds: type) -> list[np.ndarray]:
 
 
 class Plan:
-    """How many buckets and shards there are, and which bucket an id belongs to: ranges between quantiles of the ids, of which there are RANGES at most, each dealt out
-    by a hash to as many buckets as it needs. So what the executors are told doesn't grow with the corpus."""
+    """How many shards and tasks there are: a few numbers, whatever the size of the corpus."""
 
     def __init__(self, docs: DataFrame, bucket_bytes: int | None = None):
-        bucket_bytes = bucket_bytes or BUCKET_BYTES
+        self.bytes = bucket_bytes or BUCKET_BYTES
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        wanted = max(1, -(-int(total) // bucket_bytes))
-        n = min(wanted, RANGES)
-        self.each = -(-wanted // n)
-        ids = F.coalesce("doc_id", F.lit(LAST_ID))
-        cuts = docs.agg(F.percentile_approx(ids, [k / n for k in range(1, n)], 20 * max(n, 500))).first()[0] if n > 1 else []
-        self.bounds = np.unique(np.array(cuts or [], np.int64))
-        self.buckets = (len(self.bounds) + 1) * self.each
-        self.shards = max(1, self.buckets // BUCKETS_A_SHARD)
-        most = max(partitions(docs.sparkSession), min(self.buckets // 8, MOST_TASKS))
-        self.tasks, self.shard_tasks = min(self.buckets, most), min(self.shards, max(most, MOST_TASKS))
-
-    def bucket(self, ids: np.ndarray) -> np.ndarray:
-        within = mix(ids.astype(np.uint64) + np.uint64(1)) % np.uint64(self.each)
-        return np.searchsorted(self.bounds, ids, "right") * self.each + within.astype(np.int64)
-
-    def shard_ends(self, hashes: np.ndarray) -> np.ndarray:
-        """hashes is sorted; shard s has hashes[ends[s]:ends[s + 1]]."""
-        cuts = [(s << 64) // self.shards for s in range(1, self.shards)]
-        return np.concatenate(([0], np.searchsorted(hashes, np.array(cuts, np.uint64)), [len(hashes)])).astype(np.int64)
+        buckets = max(1, -(-int(total) // self.bytes))
+        self.shards = max(1, min(buckets // BUCKETS_A_SHARD, 1 << 31))
+        most = max(partitions(docs.sparkSession), min(buckets // 8, MOST_TASKS))
+        self.tasks, self.shard_tasks = min(buckets, most), min(self.shards, max(most, MOST_TASKS))
+
+    def shard_ranges(self, hashes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(shard, begin, end) of the shards that the sorted hashes fall into; no others are looked at."""
+        if not len(hashes):
+            return []
+        shard = (hashes >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)
+        begin = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
+        return list(zip(shard[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(hashes)], strict=True))
 
 
 def pack_texts(ids: np.ndarray, texts: list[bytes]) -> bytes:
@@ -100,32 +91,34 @@ def unpack_texts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def bucketed(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(bucket, blob): compressed pieces of each bucket, dealt by bucket."""
+    """(bucket, blob): a row for each bucket, dealt by bucket over plan.tasks partitions, kept."""
+    most = plan.bytes
 
     def pack(batches):
-        held: dict[int, list[tuple[int, bytes]]] = {}
+        bucket = TaskContext.get().partitionId() << 32
+        ids: list[int] = []
+        texts: list[bytes] = []
         size = 0
 
         def out():
-            keys = sorted(held)
-            blobs = [pack_texts(np.array([i for i, _ in held[k]], np.int64), [t for _, t in held[k]]) for k in keys]
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([pack_texts(np.array(ids, np.int64), texts)], pa.binary())], ["bucket", "blob"])
 
         for b in batches:
-            ids = np.array(b.column("doc_id").fill_null(LAST_ID), np.int64)
+            own = np.array(b.column("doc_id").fill_null(LAST_ID), np.int64).tolist()
             data, offsets = utf8(b.column("text"))
             raw, at = data.tobytes(), offsets.tolist()
-            for k, (i, to) in enumerate(zip(ids.tolist(), plan.bucket(ids).tolist(), strict=True)):
-                held.setdefault(to, []).append((i, raw[at[k] : at[k + 1]]))
-            size += len(raw)
-            if size > HELD_BYTES:
-                yield out()
-                held.clear()
-                size = 0
-        if held:
+            for k, i in enumerate(own):
+                text = raw[at[k] : at[k + 1]]
+                if ids and size + len(text) > most:
+                    yield out()
+                    bucket, ids, texts, size = bucket + 1, [], [], 0
+                ids.append(i)
+                texts.append(text)
+                size += len(text)
+        if ids:
             yield out()
 
-    return docs.mapInArrow(pack, PACKED).repartition(plan.tasks, "bucket")
+    return cut(docs.mapInArrow(pack, PACKED).repartition(plan.tasks, "bucket"))
 
 
 def id_column(ids: np.ndarray) -> pa.Array:

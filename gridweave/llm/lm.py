@@ -10,8 +10,8 @@ The model is interpolated absolute discounting over add-one counts:
     P(w | c) = max(n(c, w) - D, 0) / n(c) + D * t(c) / n(c) * P1(w),   P1(w) = (n(w) + 1) / (N + V + 1),
 with t(c) the distinct successors; a context never seen leaves P1 alone. The first word's context is a mark for the start.
 
-The trie is sharded by the hash of the context: each bucket of documents (see buckets.py) sends the words and pairs it has,
-with its training counts, to the shards; a shard builds its part of the trie from all messages and answers each of them. No
+The order is two. The trie is sharded by the hash of the context: each bucket of documents (see buckets.py) sends the words and pairs it has,
+with its training counts, to the shards; a shard builds its part of the trie from all messages, writes it to a file of the task's own, maps it and answers each message from there. No
 table is broadcast and each bucket sends a hot word once. What is gathered grows with the distinct pairs of the corpus.
 
 Odd input: a null or empty text is one end token; a null id counts as text 'null' for the split and is returned as null;
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import mmap
 import struct
+import tempfile
 import zlib
 
 import numpy as np
@@ -30,19 +31,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import eliasfano
-from .base import LAST_ID, cut, picked
+from .base import LAST_ID, cut, freed, picked
 from .buckets import Plan, bucketed, expand, id_column, squeeze, unpack_texts
 from .words import FOLD, pieces, scan
 
 #: The part of each seen pair's count that goes to the lower order.
 DISCOUNT = 0.75
-#: Steps of the quantised log10 values; 255 stands for a probability of zero.
-STEPS = 32.0
+#: Steps of the quantised log10 values; the last of them stands for a probability of zero. They reach down to 10^-16, below one in any count.
+STEPS, LEVELS = 4096.0, 65535
 END, START = np.uint64(0xE5D0_0000_0000_0001), np.uint64(0x57A2_7000_0000_0001)
 _PAIR = np.uint64(32)
 
 OUTPUT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-_MESSAGE = "bucket int, shard int, blob binary"
+_MESSAGE = "bucket long, shard int, blob binary"
 
 
 def held_out(ids: np.ndarray, modulus: int = 7, remainder: int = 2) -> np.ndarray:
@@ -51,10 +52,10 @@ def held_out(ids: np.ndarray, modulus: int = 7, remainder: int = 2) -> np.ndarra
 
 def quantise(p: np.ndarray) -> np.ndarray:
     with np.errstate(divide="ignore"):
-        return np.where(p > 0, np.clip(np.rint(-np.log10(p) * STEPS), 0, 254), 255).astype(np.uint8)
+        return np.where(p > 0, np.clip(np.rint(-np.log10(p) * STEPS), 0, LEVELS - 1), LEVELS).astype(np.uint16)
 
 
-_VALUES = np.append(10.0 ** (-np.arange(255) / STEPS), 0.0)
+_VALUES = np.append(10.0 ** (-np.arange(LEVELS) / STEPS), 0.0)
 
 
 class Trie:
@@ -69,7 +70,7 @@ class Trie:
             parts.append(memoryview(buffer)[at : at + n])
             at += n
         self.words, self.pointers, self.successors = (eliasfano.EliasFano(p) for p in parts[:3])
-        self.counts, self.weights, self.probabilities = (np.frombuffer(p, k) for p, k in zip(parts[3:], (np.int64, np.uint8, np.uint8), strict=True))
+        self.counts, self.weights, self.probabilities = (np.frombuffer(p, k) for p, k in zip(parts[3:], (np.int64, np.uint16, np.uint16), strict=True))
 
     @classmethod
     def build(cls, words: np.ndarray, counts: np.ndarray, context: np.ndarray, successor: np.ndarray, pairs: np.ndarray) -> Trie:
@@ -85,14 +86,22 @@ class Trie:
         self._body = body
         return self
 
+    def write(self, file) -> None:
+        file.write(self._HEAD.pack(*map(len, self._body)) + b"".join(self._body))
+        file.flush()
+
+    @classmethod
+    def mapped(cls, file) -> Trie:
+        return cls(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
+
     def save(self, path: str) -> None:
         with open(path, "wb") as f:
-            f.write(self._HEAD.pack(*map(len, self._body)) + b"".join(self._body))
+            self.write(f)
 
     @classmethod
     def open(cls, path: str) -> Trie:
         with open(path, "rb") as f:
-            return cls(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+            return cls.mapped(f)
 
     def find(self, words: np.ndarray) -> np.ndarray:
         """Places of words in level 1; -1 for those it doesn't have."""
@@ -102,8 +111,8 @@ class Trie:
         return np.where(ok, at, -1)
 
     def pair(self, place: np.ndarray, successor: np.ndarray) -> np.ndarray:
-        """Quantised probabilities of successors after the contexts at these places (255: none)."""
-        out = np.full(len(place), 255, np.uint8)
+        """Quantised probabilities of successors after the contexts at these places (LEVELS: none)."""
+        out = np.full(len(place), LEVELS, np.uint16)
         known = np.flatnonzero(place >= 0)
         want = place[known].astype(np.uint64) << _PAIR | successor[known].astype(np.uint64)
         at = self.successors.successor(want)
@@ -117,8 +126,8 @@ class Trie:
 class Tokens:
     """The tokens of a bucket's documents: words and an end for each, with distinct words and pairs."""
 
-    def __init__(self, table: pa.Table):
-        self.ids, data, offsets = unpack_texts(table.column("blob").to_pylist())
+    def __init__(self, blobs: list[bytes]):
+        self.ids, data, offsets = unpack_texts(blobs)
         parts = [scan(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], fold=FOLD) for lo, hi in pieces(offsets)]
         words = np.concatenate([w.hashes for w in parts]) if parts else np.zeros(0, np.uint64)
         count = np.concatenate([np.diff(w.first) for w in parts]) if parts else np.zeros(0, np.int64)
@@ -137,28 +146,26 @@ class Tokens:
 
 
 def _ask(plan: Plan):
-    def ask(key, table):
-        t = Tokens(table)
-        counts = np.bincount(t.token[t.learns], minlength=len(t.words))
-        seen = np.bincount(t.pair[t.learns], minlength=len(t.pairs))
-        ends = plan.shard_ends(t.words)
-        pair_ends = np.searchsorted(t.context, ends)
-        short = (t.words >> _PAIR).astype(np.uint32)
-        rows = []
-        for s in range(plan.shards):
-            lo, hi, a, b = ends[s], ends[s + 1], pair_ends[s], pair_ends[s + 1]
-            if hi == lo:
-                continue
-            # Successors of one context ascend with the word's place, as their upper 32 bits do.
-            code = eliasfano.encode((t.context[a:b] - lo).astype(np.uint64) << _PAIR | short[t.successor[a:b]].astype(np.uint64))
-            rows.append((key[0].as_py(), s, squeeze(np.frombuffer(eliasfano.encode(t.words[lo:hi]), np.uint8), counts[lo:hi].astype(np.int64), np.frombuffer(code, np.uint8), seen[a:b].astype(np.int32))))
-        return _rows(rows)
+    def ask(batches):
+        for batch in batches:
+            for number, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+                t = Tokens([blob])
+                counts = np.bincount(t.token[t.learns], minlength=len(t.words))
+                seen = np.bincount(t.pair[t.learns], minlength=len(t.pairs))
+                short = (t.words >> _PAIR).astype(np.uint32)
+                rows = []
+                for s, lo, hi in plan.shard_ranges(t.words):
+                    a, b = np.searchsorted(t.context, (lo, hi))
+                    # Successors of one context ascend with the word's place, as their upper 32 bits do.
+                    code = eliasfano.encode((t.context[a:b] - lo).astype(np.uint64) << _PAIR | short[t.successor[a:b]].astype(np.uint64))
+                    rows.append((number, s, squeeze(np.frombuffer(eliasfano.encode(t.words[lo:hi]), np.uint8), counts[lo:hi].astype(np.int64), np.frombuffer(code, np.uint8), seen[a:b].astype(np.int32))))
+                yield from _rows(rows).to_batches()
 
     return ask
 
 
 def _rows(rows, more=()) -> pa.Table:
-    return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary()), *more], ["bucket", "shard", "blob", "n", "v"][: 3 + len(more)])
+    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary()), *more], ["bucket", "shard", "blob", "n", "v"][: 3 + len(more)])
 
 
 def _answer(table: pa.Table) -> pa.Table:
@@ -189,22 +196,32 @@ def _answer(table: pa.Table) -> pa.Table:
     trained = (counts > 0) | (np.bincount(context, minlength=len(every)) > 0)
     rank = np.cumsum(trained) - 1
     trie = Trie.build(every[trained], counts[trained], rank[context], key & np.uint64(0xFFFFFFFF), number)
+    total, kinds = int(counts.sum()), int((counts > 0).sum())
+    del every, counts, key, number, context, rank, trained
+    with tempfile.TemporaryFile() as file:  # gone when the shard has answered
+        trie.write(file)
+        trie = Trie.mapped(file)
+        rows = _answers(trie, shard, buckets, asked)
+    first = [k == 0 for k in range(len(rows))]
+    return _rows(rows, [pa.array([total * f for f in first], pa.int64()), pa.array([kinds * f for f in first], pa.int64())])
+
+
+def _answers(trie: Trie, shard: int, buckets: list[int], asked: list) -> list[tuple]:
     rows = []
     for b, (words, _, pairs, _) in zip(buckets, asked, strict=True):
         place = trie.find(words)
         known = place >= 0
         n = np.where(known, trie.counts[place] if len(trie.counts) else 0, 0)
-        weight = np.where(known, trie.weights[place] if len(trie.weights) else 0, 0).astype(np.uint8)
+        weight = np.where(known, trie.weights[place] if len(trie.weights) else 0, 0).astype(np.uint16)
         q = trie.pair(place[(pairs >> _PAIR).astype(np.int64)], (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32))
         rows.append((b, shard, squeeze(n.astype(np.int64), weight, q)))
-    first = [k == 0 for k in range(len(rows))]
-    return _rows(rows, [pa.array([int(counts.sum()) * f for f in first], pa.int64()), pa.array([int((counts > 0).sum()) * f for f in first], pa.int64())])
+    return rows
 
 
 def _score(total: int, vocabulary: int):
     def score(key, docs, answers):
-        t = Tokens(docs)
-        parts = [expand(b, np.int64, np.uint8, np.uint8) for _, b in sorted(zip(answers.column("shard").to_pylist(), answers.column("blob").to_pylist(), strict=True))]
+        t = Tokens(docs.column("blob").to_pylist())
+        parts = [expand(b, np.int64, np.uint16, np.uint16) for _, b in sorted(zip(answers.column("shard").to_pylist(), answers.column("blob").to_pylist(), strict=True))]
         counts, weight, q = (np.concatenate(x) for x in zip(*parts, strict=True))
         one = (counts + 1) / (total + vocabulary + 1)
         log = np.log10(one)
@@ -222,8 +239,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     docs = picked(docs, id_col, text_col)
     plan = Plan(docs, bucket_bytes)
     by_bucket = bucketed(docs, plan)
-    asked = by_bucket.groupBy("bucket").applyInArrow(_ask(plan), _MESSAGE)
+    freed(docs.sparkSession)
+    asked = by_bucket.mapInArrow(_ask(plan), _MESSAGE)
     answers = cut(asked.repartition(plan.shard_tasks, "shard").groupBy("shard").applyInArrow(_answer, f"{_MESSAGE}, n long, v long"))
+    freed(docs.sparkSession)
     total, vocabulary = (int(x or 0) for x in answers.agg(F.sum("n"), F.sum("v")).first())
     answers = answers.drop("n", "v").repartition(plan.tasks, "bucket")
     scored = by_bucket.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_score(total, vocabulary), OUTPUT)

@@ -1,16 +1,21 @@
 """Removal of repeated substrings by de Bruijn compaction.
 
 A window of `k` words (13) is an edge of the de Bruijn graph from its first k-1 to its last k-1 words; an edge is coloured by
-the smallest id of the documents in which it starts. Steps, all by bucket or shard (see buckets.py):
+the smallest id of the documents in which it starts. Steps, by bucket or shard (see buckets.py):
 
 1. each bucket sends its distinct edges (64-bit hashes) with the first document that has them to the shards of the hash space;
-2. a shard joins the messages and answers, for each edge that starts in an earlier document of another bucket, which one;
-3. joined with the answers, a bucket walks its documents: consecutive edges with one colour are an unbranched path and compact
-   into one span with a source document; the sources of all spans are asked for, once by each bucket;
-4. the sources' buckets send those documents;
-5. spans are laid on the source's coordinates and compared word by word; only what agrees is removed.
+2. a shard joins the messages and answers, for each edge that starts in an earlier document, which document and which bucket has it;
+3. a bucket walks its documents: consecutive edges of one colour are a path through which no other first document branches off; it compacts to one row (first edge, number of
+   edges, source document, a 128-bit digest of all its words' bytes). Rows that many buckets have are one row from here on, by a Spark aggregation;
+4. joined with its source's bucket, a path is laid on each place of the source at which its first edge stands, and holds if the digest of the words there is the same;
+5. joined back, paths that hold are removed. One that doesn't (its edges stand apart in the source, or a hash lied) is cut into its single
+   edges, and those are verified in the same way; only what is verified is removed.
 
-A hot passage or group of copies costs each bucket one message entry and one source, however many documents hold it.
+Colours take the place of node degrees: a path ends where the first document changes, so it can be verified at one source. Degrees would need messages
+by node and next word, half as large again.
+
+A hot passage or group of copies costs each bucket one message entry and one row, however many documents hold it; a bucket that very many paths have as their source
+is copied for each REQUESTS of them.
 
 Odd input: null or empty texts have no words and nothing removed; null ids count as larger than any other; of rows with equal
 ids none is smaller, so they don't remove each other's windows; a text of fewer than k words stays whole; other columns are
@@ -19,6 +24,7 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
 from itertools import compress
 
 import numpy as np
@@ -27,171 +33,222 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import eliasfano
-from .base import cut, picked
-from .buckets import Plan, bucketed, expand, id_column, pack_texts, squeeze, unpack_texts
-from .words import Words, grams, inside, mix, pieces, scan
+from .base import cut, freed, picked
+from .buckets import Plan, bucketed, expand, id_column, squeeze, unpack_texts
+from .words import grams, inside, pieces, scan
 
 OUTPUT = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start: long, end: long, source: long>>"
+#: Paths that one copy of a source's bucket verifies.
+REQUESTS = 200_000
+
+_ASKED = "bucket long, shard int, blob binary"
+_PATHS = "bucket long, path binary, home long, source long, edge long, n int"
 
 
 class Bucket:
     """The texts of a bucket, their words and edges."""
 
-    def __init__(self, table: pa.Table, k: int):
-        self.ids, self.data, self.offsets = unpack_texts(table.column("blob").to_pylist())
+    def __init__(self, blobs: list[bytes], k: int):
+        self.k = k
+        self.ids, self.data, self.offsets = unpack_texts(blobs)
         parts = [(lo, scan(self.data[self.offsets[lo] : self.offsets[hi]], self.offsets[lo : hi + 1] - self.offsets[lo])) for lo, hi in pieces(self.offsets)]
-        self.words = np.concatenate([w.hashes for _, w in parts]) if parts else np.zeros(0, np.uint64)
-        self.first = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(w.first) for _, w in parts])))) if parts else np.zeros(1, np.int64)
+        joined = lambda xs, kind: np.concatenate(xs) if parts else np.zeros(0, kind)
+        words = joined([w.hashes for _, w in parts], np.uint64)
+        self.starts = joined([w.starts + self.offsets[lo] for lo, w in parts], np.int64)
+        self.ends = joined([w.ends + self.offsets[lo] for lo, w in parts], np.int64)
+        self.first = np.concatenate(([0], np.cumsum(joined([np.diff(w.first) for _, w in parts], np.int64)))).astype(np.int64)
         ok = inside(self.first, k)
         self.at = np.flatnonzero(ok)  # first words of the edges
-        self.edges = grams(self.words, k)[ok]
+        self.edges = grams(words, k)[ok]
         self.doc = np.searchsorted(self.first, self.at, "right") - 1
+        self.raw = self.data.tobytes()
 
     def distinct(self, inverse: bool = False):
         """Distinct edges ascending, the first document (as a row) of each, and for each edge its place."""
         found = np.unique(self.edges, return_index=True, return_inverse=inverse)
         return found[0], self.doc[found[1]], found[2] if inverse else None
 
+    def digest(self, word: int, n: int) -> bytes:
+        """Of the words of n edges from a word on: their bytes, joined by spaces."""
+        return hashlib.blake2b(b" ".join(self.raw[self.starts[word] : self.ends[word + n + self.k - 2]].split()), digest_size=16).digest()
 
-def _ask(plan: Plan, k: int):
-    def ask(key, table):
-        bucket = Bucket(table, k)
-        edges, doc, _ = bucket.distinct()
-        ends = plan.shard_ends(edges)
-        ids = bucket.ids[doc] if len(doc) else np.zeros(0, np.int64)
-        rows = []
-        for s in range(plan.shards):
-            lo, hi = ends[s], ends[s + 1]
-            if hi > lo:
-                low = int(ids[lo:hi].min())
-                off = (ids[lo:hi] - low).astype(np.uint64)
-                kind = np.min_scalar_type(int(off.max()))
-                code = eliasfano.encode(edges[lo:hi])
-                rows.append((key[0].as_py(), s, len(code).to_bytes(4, "little") + low.to_bytes(8, "little", signed=True) + bytes([kind.itemsize]) + code + off.astype(kind).tobytes()))
-        return _rows(rows)
-
-    return ask
 
+def _rows(rows) -> pa.Table:
+    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["bucket", "shard", "blob"])
 
-_ASKED = "bucket int, shard int, blob binary"
 
+def _ask(plan: Plan, k: int):
+    def ask(batches):
+        for batch in batches:
+            for number, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+                bucket = Bucket([blob], k)
+                edges, doc, _ = bucket.distinct()
+                ids = bucket.ids[doc] if len(doc) else np.zeros(0, np.int64)
+                rows = []
+                for s, lo, hi in plan.shard_ranges(edges):
+                    low = int(ids[lo:hi].min())
+                    off = (ids[lo:hi].astype(np.uint64) - np.uint64(low % (1 << 64))).astype(np.uint64)
+                    kind = np.min_scalar_type(int(off.max()))
+                    code = eliasfano.encode(edges[lo:hi])
+                    rows.append((number, s, len(code).to_bytes(4, "little") + low.to_bytes(8, "little", signed=True) + bytes([kind.itemsize]) + code + off.astype(kind).tobytes()))
+                yield from _rows(rows).to_batches()
 
-def _rows(rows) -> pa.Table:
-    return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["bucket", "shard", "blob"])
+    return ask
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """For each message: a bit for each edge (does an earlier document have it?), and those documents."""
-    buckets, blobs = table.column("bucket").to_pylist(), table.column("blob").to_pylist()
+    """For each message: a bit for each edge (does an earlier document have it?), and those documents with their buckets."""
+    buckets = np.array(table.column("bucket").to_pylist(), np.int64)
     edges, ids, sizes = [], [], []
-    for b in blobs:
+    for b in table.column("blob").to_pylist():
         n = int.from_bytes(b[:4], "little")
         edges.append(eliasfano.EliasFano(b[13 : 13 + n]).decode())
-        ids.append(np.frombuffer(b, f"<u{b[12]}", offset=13 + n).astype(np.int64) + int.from_bytes(b[4:12], "little", signed=True))
+        ids.append((np.frombuffer(b, f"<u{b[12]}", offset=13 + n).astype(np.uint64) + np.uint64(int.from_bytes(b[4:12], "little"))).view(np.int64))
         sizes.append(len(edges[-1]))
     edge, doc = np.concatenate(edges), np.concatenate(ids)
     del edges, ids
-    order = np.argsort(edge, kind="stable")
+    order = np.lexsort((doc, edge))
     edge = edge[order]
     starts = np.flatnonzero(np.concatenate(([True], edge[1:] != edge[:-1])))
-    least = np.empty(len(doc), np.int64)
-    least[order] = np.repeat(np.minimum.reduceat(doc[order], starts), np.diff(np.append(starts, len(edge))))
+    size = np.diff(np.append(starts, len(edge)))
+    message = np.repeat(np.arange(len(sizes)), sizes)
+    least, home = np.empty(len(doc), np.int64), np.empty(len(doc), np.int64)
+    least[order] = np.repeat(doc[order[starts]], size)
+    home[order] = np.repeat(buckets[message[order[starts]]], size)
     rows, at = [], 0
-    for b, n, s in zip(buckets, sizes, table.column("shard").to_pylist(), strict=True):
+    for b, n, s in zip(buckets.tolist(), sizes, table.column("shard").to_pylist(), strict=True):
         early = least[at : at + n] < doc[at : at + n]
-        rows.append((b, s, squeeze(np.array([n], np.int64), np.packbits(early), least[at : at + n][early])))
+        rows.append((b, s, squeeze(np.array([n], np.int64), np.packbits(early), least[at : at + n][early], home[at : at + n][early])))
         at += n
     return _rows(rows)
 
 
-def _colours(bucket: Bucket, answers: pa.Table) -> np.ndarray:
-    """The smallest document of each edge of the bucket."""
+def _colours(bucket: Bucket, number: int, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest document of each edge of the bucket, and its bucket."""
     _, doc, place = bucket.distinct(inverse=True)
-    least = bucket.ids[doc] if len(doc) else np.zeros(0, np.int64)
+    least = bucket.ids[doc].copy() if len(doc) else np.zeros(0, np.int64)
+    home = np.full(len(least), number)
     at = 0
     for _, blob in sorted(zip(answers.column("shard").to_pylist(), answers.column("blob").to_pylist(), strict=True)):
-        n, bits, ids = expand(blob, np.int64, np.uint8, np.int64)
+        n, bits, ids, homes = expand(blob, np.int64, np.uint8, np.int64, np.int64)
         early = np.unpackbits(bits)[: n[0]].astype(bool)
         least[at : at + n[0]][early] = ids
+        home[at : at + n[0]][early] = homes
         at += int(n[0])
-    return least[place]
-
-
-def _request(plan: Plan, k: int):
-    """Rows (source's bucket, this bucket, ids wanted)."""
-
-    def request(key, docs, answers):
-        bucket = Bucket(docs, k)
-        colour = _colours(bucket, answers)
-        wanted = np.unique(colour[colour < bucket.ids[bucket.doc]]) if len(colour) else np.zeros(0, np.int64)
-        of = plan.bucket(wanted)
-        return _rows([(int(b), key[0].as_py(), squeeze(wanted[of == b])) for b in np.unique(of)])
-
-    return request
-
-
-def _send(key, docs, requests):
-    """The wanted documents, for each bucket that asked."""
-    if not requests.num_rows:
-        return _rows([])
-    ids, data, offsets = unpack_texts(docs.column("blob").to_pylist())
-    raw = data.tobytes()
-    rows = []
-    for to, blob in zip(requests.column("shard").to_pylist(), requests.column("blob").to_pylist(), strict=True):
-        (wanted,) = expand(blob, np.int64)
-        lo, hi = np.searchsorted(ids, wanted), np.searchsorted(ids, wanted, "right")
-        take = [i for a, b in zip(lo.tolist(), hi.tolist(), strict=True) for i in range(a, b)]
-        rows.append((to, -1, pack_texts(ids[take], [raw[offsets[i] : offsets[i + 1]] for i in take])))
-    return _rows(rows)
+    return (least[place], home[place]) if len(place) else (least, home)
+
+
+class Paths:
+    """The compacted paths of a bucket: runs of edges whose first document is an earlier one."""
+
+    def __init__(self, bucket: Bucket, number: int, answers: pa.Table, single: set[bytes] = frozenset()):
+        """single: paths that are to be cut into their edges."""
+        self.bucket = bucket
+        colour, home = _colours(bucket, number, answers)
+        edge = np.flatnonzero(colour < bucket.ids[bucket.doc]) if len(colour) else np.zeros(0, np.int64)
+        at, doc, source = bucket.at[edge], bucket.doc[edge], colour[edge]
+        new = np.ones(len(edge), bool)
+        new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | (source[1:] != source[:-1])
+        begin = np.flatnonzero(new)
+        n = np.diff(np.append(begin, len(edge)))
+        self.word, self.n, self.source, self.home, self.edge = at[begin], n, source[begin], home[edge][begin], bucket.edges[edge][begin]
+        self.path = [self._name(*x) for x in zip(self.word.tolist(), n.tolist(), self.source.tolist(), self.edge.tolist(), strict=True)]
+        if single:
+            cut_ = np.array([p in single for p in self.path], bool)
+            own = np.repeat(cut_, n)
+            at, source, homes, edges = (x[own] for x in (at, source, home[edge], bucket.edges[edge]))
+            one = np.ones(len(at), np.int64)
+            self.path = [*compress(self.path, ~cut_), *(self._name(*x) for x in zip(at.tolist(), one.tolist(), source.tolist(), edges.tolist(), strict=True))]
+            self.word, self.n, self.source, self.home, self.edge = (np.concatenate((x[~cut_], y)) for x, y in ((self.word, at), (self.n, one), (self.source, source), (self.home, homes), (self.edge, edges)))
+
+    def _name(self, word: int, n: int, source: int, edge: int) -> bytes:
+        return name_of(self.bucket.digest(word, n), n, source, edge)
 
+    def rows(self, number: int, only: set[bytes] | None = None) -> pa.Table:
+        """Each different path once."""
+        first = {p: i for i, p in enumerate(self.path) if only is None or p in only}
+        take = np.array(list(first.values()), np.int64)
+        return pa.table([pa.array(np.full(len(take), number)), pa.array(list(first), pa.binary()), pa.array(self.home[take]), pa.array(self.source[take]), pa.array(self.edge[take].view(np.int64)), pa.array(self.n[take].astype(np.int32))], [c.split()[0] for c in _PATHS.split(", ")])
 
-def _agreed(bucket: Bucket, colour: np.ndarray, sources: Bucket, k: int) -> np.ndarray:
-    """Which edges of an earlier document are found at its coordinates, compared word by word."""
-    agreed = np.zeros(len(colour), bool)
-    mine = np.flatnonzero(colour < bucket.ids[bucket.doc])
-    if not len(mine) or not len(sources.edges):
-        return agreed
-    salt = np.uint64(0x9E3779B97F4A7C15)
-    theirs = mix(sources.edges ^ (sources.ids[sources.doc].astype(np.uint64) * salt))  # an edge at a certain document
-    order = np.argsort(theirs, kind="stable")
-    want = mix(bucket.edges[mine] ^ (colour[mine].astype(np.uint64) * salt))
-    place = np.minimum(np.searchsorted(theirs[order], want), len(order) - 1)
-    there = order[place]
-    good = (theirs[there] == want) & (sources.ids[sources.doc[there]] == colour[mine])
-    mine, there = mine[good], there[good]
-    same = np.ones(len(mine), bool)
-    for j in range(k):
-        same &= bucket.words[bucket.at[mine] + j] == sources.words[sources.at[there] + j]
-    agreed[mine[same]] = True
-    return agreed
+
+def name_of(digest: bytes, n: int, source: int, edge: int) -> bytes:
+    return hashlib.blake2b(digest + n.to_bytes(8, "little") + source.to_bytes(8, "little", signed=True) + edge.to_bytes(8, "little"), digest_size=16).digest()
+
+
+def _compact(k: int):
+    def compact(key, docs, answers):
+        number = key[0].as_py()
+        return Paths(Bucket(docs.column("blob").to_pylist(), k), number, answers).rows(number)
+
+    return compact
+
+
+def _split(k: int):
+    """The single edges of paths that didn't hold."""
+
+    def split(key, docs, arrived):
+        number, is_answer = key[0].as_py(), arrived.column("shard").to_numpy() >= 0
+        failed = set(arrived.filter(pa.array(~is_answer)).column("blob").to_pylist())
+        if not failed:
+            return _EMPTY.empty_table()
+        paths = Paths(Bucket(docs.column("blob").to_pylist(), k), number, arrived.filter(pa.array(is_answer)), failed)
+        return paths.rows(number, {p for p, n in zip(paths.path, paths.n.tolist(), strict=True) if n == 1})
+
+    return split
+
+
+_EMPTY = pa.schema([("bucket", pa.int64()), ("path", pa.binary()), ("home", pa.int64()), ("source", pa.int64()), ("edge", pa.int64()), ("n", pa.int32())])
+
+
+def _verify(k: int):
+    """Which paths hold: at some place of the source, its first edge begins words with the same digest."""
+
+    def verify(key, docs, asked):
+        if not docs.num_rows or not asked.num_rows:
+            return pa.table([pa.array([], pa.binary())], ["path"])
+        bucket = Bucket(docs.column("blob").to_pylist(), k)
+        order = np.argsort(bucket.edges, kind="stable")
+        edges = bucket.edges[order]
+        wanted = asked.column("edge").to_numpy().view(np.uint64)
+        lo, hi = np.searchsorted(edges, wanted), np.searchsorted(edges, wanted, "right")
+        held, seen = [], {}
+        for i, (path, source, n, edge) in enumerate(zip(asked.column("path").to_pylist(), asked.column("source").to_pylist(), asked.column("n").to_pylist(), wanted.tolist(), strict=True)):
+            for e in order[lo[i] : hi[i]].tolist():
+                doc, word = int(bucket.doc[e]), int(bucket.at[e])
+                if bucket.ids[doc] != source or word + n + k - 1 > bucket.first[doc + 1]:
+                    continue
+                digest = seen.get((word, n))
+                if digest is None:
+                    digest = seen[word, n] = bucket.digest(word, n)
+                if name_of(digest, n, source, edge) == path:
+                    held.append(path)
+                    break
+        return pa.table([pa.array(held, pa.binary())], ["path"])
+
+    return verify
 
 
 def _finish(k: int):
     def finish(key, docs, arrived):
-        bucket = Bucket(docs, k)
-        kind = np.array(arrived.column("shard").to_pylist(), np.int64)
-        colour = _colours(bucket, arrived.filter(pa.array(kind >= 0)))
-        near = np.unique(colour[colour < bucket.ids[bucket.doc]]) if len(colour) else np.zeros(0, np.int64)
-        own = np.flatnonzero(np.isin(bucket.ids, near))
-        raw = bucket.data.tobytes()
-        local = pack_texts(bucket.ids[own], [raw[bucket.offsets[i] : bucket.offsets[i + 1]] for i in own.tolist()])
-        far = arrived.filter(pa.array(kind < 0)).column("blob").to_pylist()
-        agreed = _agreed(bucket, colour, Bucket(pa.table({"blob": pa.array([*far, local], pa.binary())}), k), k)
-        cover = np.zeros(len(bucket.words) + 1, np.int64)
-        np.add.at(cover, bucket.at[agreed], 1)
-        np.add.at(cover, bucket.at[agreed] + k, -1)
+        kind = arrived.column("shard").to_numpy()
+        of = lambda which: set(arrived.filter(pa.array(kind == which)).column("blob").to_pylist())
+        held, failed = of(-1), of(-2)
+        bucket = Bucket(docs.column("blob").to_pylist(), k)
+        paths = Paths(bucket, key[0].as_py(), arrived.filter(pa.array(kind >= 0)), failed)
+        good = np.array([p in held for p in paths.path], bool)
+        begin, close, source = paths.word[good], paths.word[good] + paths.n[good] + k - 1, paths.source[good]
+        order = np.argsort(begin, kind="stable")
+        begin, close, source = begin[order], close[order], source[order]
+        cover = np.zeros(len(bucket.starts) + 1, np.int64)
+        np.add.at(cover, begin, 1)
+        np.add.at(cover, close, -1)
         gone = np.cumsum(cover)[:-1] > 0
-        # Paths: neighbouring edges of one document and one colour.
-        at, doc, src = bucket.at[agreed], bucket.doc[agreed], colour[agreed]
-        new = np.ones(len(at), bool)
-        new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])
-        begin = np.flatnonzero(new)
-        close = np.append(begin[1:], len(at)) - 1 if len(at) else begin
-        spans = pa.StructArray.from_arrays([pa.array(at[begin] - bucket.first[doc[begin]]), pa.array(at[close] + k - bucket.first[doc[begin]]), pa.array(src[begin])], ["start", "end", "source"])
-        each = np.searchsorted(doc[begin], np.arange(len(bucket.ids) + 1)).astype(np.int32)
+        doc = np.searchsorted(bucket.first, begin, "right") - 1
+        spans = pa.StructArray.from_arrays([pa.array(begin - bucket.first[doc]), pa.array(close - bucket.first[doc]), pa.array(source)], ["start", "end", "source"])
+        each = np.searchsorted(doc, np.arange(len(bucket.ids) + 1)).astype(np.int32)
         kept, removed = [], []
         for i in range(len(bucket.ids)):
-            words = raw[bucket.offsets[i] : bucket.offsets[i + 1]].split()
+            words = bucket.raw[bucket.offsets[i] : bucket.offsets[i + 1]].split()
             lost = gone[bucket.first[i] : bucket.first[i + 1]]
             removed.append(n := int(lost.sum()))
             kept.append(b" ".join(compress(words, (~lost).tolist()) if n else words))
@@ -200,14 +257,33 @@ def _finish(k: int):
     return finish
 
 
-def dedup_substrings(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int | None = None) -> DataFrame:
+def dedup_substrings(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int | None = None, requests: int = REQUESTS) -> DataFrame:
     """One row for each document: n_words, n_removed, the kept words joined by spaces, and the removed spans with sources."""
     docs = picked(docs, id_col, text_col)
     plan = Plan(docs, bucket_bytes)
     by_bucket = bucketed(docs, plan)
-    asked = by_bucket.groupBy("bucket").applyInArrow(_ask(plan, k), _ASKED)
-    answers = cut(asked.repartition(plan.shard_tasks, "shard").groupBy("shard").applyInArrow(_answer, _ASKED))
+    freed(docs.sparkSession)
+    asked = by_bucket.mapInArrow(_ask(plan, k), _ASKED)
+    answers = cut(asked.repartition(plan.shard_tasks, "shard").groupBy("shard").applyInArrow(_answer, _ASKED).repartition(plan.tasks, "bucket"))
+    freed(docs.sparkSession)
     together = lambda rows: by_bucket.groupBy("bucket").cogroup(rows.repartition(plan.tasks, "bucket").groupBy("bucket"))
-    requests = together(answers).applyInArrow(_request(plan, k), _ASKED)
-    sources = together(requests).applyInArrow(_send, _ASKED)
-    return together(answers.unionByName(sources)).applyInArrow(_finish(k), OUTPUT)
+    marked = lambda rows, mark: rows.select("bucket", F.lit(mark).alias("shard"), F.col("path").alias("blob"))
+
+    def verified(paths: DataFrame) -> DataFrame:
+        """The paths (path) that hold, each different one verified once."""
+        once = paths.groupBy("path").agg(F.first("home").alias("bucket"), F.first("source").alias("source"), F.first("edge").alias("edge"), F.first("n").alias("n"))
+        hot = cut(once.groupBy("bucket").agg(F.ceil(F.count("*") / requests).cast("int").alias("copies")).where("copies > 1"))
+        if hot.isEmpty():
+            return cut(together(once).applyInArrow(_verify(k), "path binary"))
+        copies = by_bucket.join(hot, "bucket", "left").select("bucket", "blob", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"))
+        dealt = once.join(hot, "bucket", "left").withColumn("copy", F.pmod(F.xxhash64("path"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
+        return cut(copies.groupBy("bucket", "copy").cogroup(dealt.groupBy("bucket", "copy")).applyInArrow(_verify(k), "path binary"))
+
+    paths = cut(together(answers).applyInArrow(_compact(k), _PATHS))
+    held = verified(paths)
+    good, failed = paths.join(held, "path", "left_semi"), cut(paths.join(held, "path", "left_anti"))
+    known = answers.unionByName(marked(good, -1))
+    if not failed.isEmpty():
+        singles = cut(together(answers.unionByName(marked(failed, -2))).applyInArrow(_split(k), _PATHS))
+        known = known.unionByName(marked(failed, -2)).unionByName(marked(singles.join(verified(singles), "path", "left_semi"), -1))
+    return together(known).applyInArrow(_finish(k), OUTPUT)
