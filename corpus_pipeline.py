@@ -6,7 +6,6 @@ result as Parquet into the cluster's shared checkpoint folder and reads it again
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave.llm import decontaminate, lines, minhash, packing, toxicity
-from gridweave.llm.base import LAST_ID, table, unused
+from gridweave.llm.base import LAST_ID, freed, shared_folder, table, unused
 
 #: Words of a shingle in the near-duplicate stage, and the similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -59,11 +58,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="gridweave-pipeline-")
-    folder = f"{folder}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            _delete(spark, f"{folder}/{k - 1}")  # the stage before has done its work
+        freed(spark)
     return docs
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
