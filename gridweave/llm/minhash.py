@@ -11,7 +11,8 @@ No list is expanded into pairs: lists and groups are walked by components.spanni
 connected. Components come from distributed union-find. What is returned are memberships, not pairs.
 
 Odd input: a document without words has no set, is linked with nothing and kept; one with fewer words than a shingle has its whole sequence
-as its one element; null ids come last; repeated rows are one class and the smallest id is kept (all rows of that id); other columns are ignored.
+as its one element; null ids come last, and a group whose ids are all null has the component null and all of it kept (first tells one row); repeated rows are one class and the smallest id is
+kept (all rows of that id); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from .components import breadth_first, connected, spanning
 from .words import FOLD, grams, mix, scan_column
 
 COORDINATES, MATCHES = 32, 16
-#: Rows of a list or group that one task walks; above, see spanning().
-LIST_LIMIT, GROUP_LIMIT = 20_000, 4_000
+#: Rows of a list or group that one task walks; above, see spanning(). In groups, so many shingles count as a row at least.
+LIST_LIMIT, GROUP_LIMIT, SHINGLES_A_ROW = 20_000, 4_000, 1_000
 
 _MULTIPLIERS = (mix(np.arange(1, 2 * 128 + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
@@ -124,22 +125,25 @@ def sizes_of(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """One row for each document: n_shingles, component_id (the smallest id that links reach), kept (is it that id?) and text_hash (xxhash64)."""
+    """One row for each document: n_shingles, component_id (the smallest id that links reach), kept (is it that id?), text_hash (xxhash64) and first (is it the row with the smallest id and text_hash? one row of a group, or such that repeat id and text, whatever the ids)."""
     docs = picked(docs, id_col, text_col)
     described = cut(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_described(shingle), "doc_id long, text_hash long, n_shingles long, node binary, signature array<int>"))
-    classes = described.where("node is not null").groupBy("node").agg(F.first("signature").alias("signature"), F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("rep"))
+    classes = described.where("node is not null").groupBy("node").agg(F.first("signature").alias("signature"), F.first("n_shingles").alias("size"), F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("rep"))
     postings = cut(prefix_postings(classes))
     shared = sizes_of(postings)
     bytes_of = F.unhex(F.array_join(F.transform("signature", lambda v: F.lpad(F.hex(v.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0")), ""))
     lists = postings.join(shared.select("key"), "key", "left_semi").join(classes.select("node", bytes_of.alias("payload")), "node").select("key", "node", "payload")
     groups = connected(spanning(lists, shared, by_signature, list_limit))
-    members = cut(groups.join(classes.select("node", "rep"), "node"))
-    links = spanning(_with_sets(docs, members, shingle), members.groupBy(F.col("component").alias("key")).agg(F.count("*").alias("n")), lambda p: by_sets(p, percent), group_limit)
+    members = cut(groups.join(classes.select("node", "rep", "size"), "node"))
+    links = spanning(_with_sets(docs, members, shingle), members.groupBy(F.col("component").alias("key")).agg(F.greatest(F.count("*"), F.sum("size") / SHINGLES_A_ROW).cast("long").alias("n")), lambda p: by_sets(p, percent), group_limit)
     components = connected(links)
     labelled = cut(described.select("doc_id", "text_hash", "n_shingles", "node").join(components, "node", "left").withColumn("label", F.coalesce("component", "node")))
-    least = cut(labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")))
+    row = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text_hash")
+    least = cut(labelled.where("label is not null").groupBy("label").agg(F.min(row).alias("least")))
     joined = labelled.join(least, "label", "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "text_hash").select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
+    component = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.nullif(F.col("least.id"), F.lit(LAST_ID)))
+    joined = joined.select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", (F.col("label").isNull() | (row == F.col("least"))).alias("first"))
+    return joined.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash", "first")
 
 
 def _with_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:

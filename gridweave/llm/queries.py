@@ -38,7 +38,7 @@ def op5_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash", "first")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
