@@ -35,9 +35,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, and of rows that repeat an id and a text one."""
+    """Of each group of near duplicates the document with the smallest id (of equal or null ones, the smallest hash of the text) stays, and of rows that repeat an id and a text one."""
     key, text = unused(docs, "row_id"), unused(docs, "row_text")
-    lost = minhash.near_duplicates(docs, SHINGLE, PERCENT).where("not kept").select(F.coalesce("doc_id", F.lit(LAST_ID)).alias(key), F.col("text_hash").alias(text)).distinct()
+    lost = minhash.near_duplicates(docs, SHINGLE, PERCENT).where("not first").select(F.coalesce("doc_id", F.lit(LAST_ID)).alias(key), F.col("text_hash").alias(text)).distinct()
     rows = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), text: F.xxhash64(F.col("text").cast("string"))})
     return rows.join(lost, [key, text], "left_anti").dropDuplicates([key, text]).select(*docs.columns)
 
