@@ -25,9 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import cut, freed
+from .base import cut, freed, partitions
 
-SHARDS, ROUNDS = 8, 8
+SHARDS, ROUNDS = 8, 6
 #: How far above its quota a shard may be between rounds, as a share of it.
 SLACK = 0.02
 #: Slices of an order in which rows are ranked; their counts are a table of at most shards * SLICES rows.
@@ -71,44 +71,55 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
     """(node, h, weight, hub, shard) for nodes (node long; h: a hash that orders them; weight: links it has; hub: what runs of them go by; seat: its first shard, or null) and links (a, b, b's weight bw), each
     in both directions; shards' counts differ by one at most."""
     quota = quotas(nodes.count(), shards)
-    links = cut(links.select("a", "b", F.pmod(F.xxhash64("a", F.lit(4)), _salts(F.col("bw"))).cast("int").alias("salt")))
-    state = cut(nodes.select("node", "h", "weight", "hub", F.coalesce("seat", F.pmod(F.xxhash64("h", F.lit(3)), F.lit(shards))).cast("int").alias("shard")))
+    tasks = partitions(nodes.sparkSession)
+    # Dealt as the rounds need them, and kept so: a round moves the told shards, the votes, and nothing else.
+    links = cut(links.select("a", "b", F.pmod(F.xxhash64("a", F.lit(4)), _salts(F.col("bw"))).cast("int").alias("salt")).repartition(tasks, "b", "salt"))
+    state = cut(nodes.select("node", "h", "weight", "hub", F.coalesce("seat", F.pmod(F.xxhash64("h", F.lit(3)), F.lit(shards))).cast("int").alias("shard")).repartition(tasks, "node"))
     for turn in range(rounds):
-        counts = _counts(state, shards)
         told = state.where("weight > 0").select(F.col("node").alias("b"), "shard", F.explode(F.sequence(F.lit(0), _salts(F.col("weight")) - 1)).alias("salt"))
-        votes = links.join(told, ["b", "salt"]).groupBy(F.col("a").alias("node"), "shard").agg(F.count("*").alias("votes"))
-        best = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("shard")).alias("s"))).alias("best"), F.collect_list(F.struct("shard", "votes")).alias("all"))  # at most `shards` entries
-        asks = state.join(best, "node").select("node", "h", "shard", (-F.col("best.s")).alias("to"), (F.col("best.votes") - F.coalesce(F.expr("get(filter(all, x -> x.shard = shard), 0).votes"), F.lit(0))).alias("gain"))
-        asks = cut(asks.where(F.col("gain") > 0).where(F.pmod(F.xxhash64("h", F.lit(100 + turn)), F.lit(2)) == 0))
-        # As many as ask for the way back may go from one shard to another; what room a shard has beyond is given out in order.
-        asked = {(r.shard, r.to): r["count"] for r in asks.groupBy("shard", "to").count().collect()}  # a row for each two shards
+        votes = links.join(told, ["b", "salt"]).groupBy(F.col("a").alias("node")).agg(F.array(*[F.count_if(F.col("shard") == k) for k in range(shards)]).alias("votes"))
+        best = F.array_max("votes")
+        gain = F.coalesce(best - F.get("votes", F.col("shard")), F.lit(0))
+        joined = state.join(votes, "node", "left").select(*state.columns, (F.array_position("votes", best) - 1).cast("int").alias("best"), gain.alias("gain"))
+        asks = (F.col("gain") > 0) & (F.pmod(F.xxhash64("h", F.lit(100 + turn)), F.lit(2)) == 0)
+        joined = cut(joined.withColumns({"to": F.when(asks, F.col("best")), "gain_class": F.when(asks, F.least(F.lit(62), F.floor(F.log2(F.col("gain").cast("double")))).cast("int"))}).drop("best", "gain"))
+        found = joined.groupBy("shard", "to", "gain_class").agg(F.count("*").alias("n"), F.count_if(F.col("weight") == 0).alias("alone")).collect()  # 63 rows for each two shards at most
+        counts, alone, asked = [0] * shards, [0] * shards, {}
+        for r in found:
+            counts[r.shard] += r.n
+            alone[r.shard] += r.alone
+            if r.to is not None:
+                asked.setdefault((r.shard, r.to), {})[r.gain_class] = r.n
         if not asked and turn:
             break
-        room = [max(0, q + int(q * SLACK) - c) for q, c in zip(quota, counts, strict=True)]
-        alone = _counts(state.where("weight = 0"), shards)
+        # As many as ask for the way back may go from one shard to another; what room a shard has beyond is given out in order.
         free, back = list(alone), [[0] * shards for _ in range(shards)]
-        allowed = []
-        for a in range(shards):
-            for b in range(shards):
-                swaps = min(asked.get((a, b), 0), asked.get((b, a), 0))
-                more = min(room[b], asked.get((a, b), 0) - swaps)
-                room[b] -= more
-                give = min(free[b], asked.get((a, b), 0) - swaps - more)
-                free[b] -= give
-                back[b][a] = give
-                allowed.append(swaps + more + give)
-        gain_class = F.least(F.lit(62), F.floor(F.log2(F.col("gain").cast("double")))).cast("int")
-        asks = asks.withColumn("way", F.col("shard") * shards + F.col("to"))
-        ranked = rank(asks, "way", (F.lit(62) - gain_class) * 64 + F.pmod(F.xxhash64("h", F.lit(turn)), F.lit(64)).cast("int"), [F.col("h"), F.col("node")], "place")
-        moves = ranked.where(F.col("place") < F.element_at(_array(allowed), F.col("way") + 1)).select("node", "to")
+        room = [max(0, q + int(q * SLACK) - c) for q, c in zip(quota, counts, strict=True)]
+        shares: list[tuple[int, int, int, float]] = []
+        for (one, other), classes in sorted(asked.items()):
+            want = sum(classes.values())
+            swaps = min(want, sum(asked.get((other, one), {}).values()))
+            more = min(room[other], want - swaps)
+            room[other] -= more
+            give = min(free[other], want - swaps - more)
+            free[other] -= give
+            back[other][one] = give
+            left = swaps + more + give
+            for c in sorted(classes, reverse=True):  # the largest gains first; of the last class a share, by a hash
+                shares.append((one, other, c, min(1.0, left / classes[c])))
+                left = max(0, left - classes[c])
+        allowed = F.broadcast(state.sparkSession.createDataFrame(shares, "shard int, to int, gain_class int, share double"))  # as many rows as were collected
+        moved = joined.join(allowed, ["shard", "to", "gain_class"], "left")
+        goes = F.when(F.pmod(F.xxhash64("h", F.lit(turn)), F.lit(1 << 30)) / (1 << 30) < F.col("share"), F.col("to"))
         # Of a shard's documents without links, about as many as asked for, by a hash between 0 and 1 that falls below a running share.
         ends = [[sum(b[: k + 1]) / max(1, n) for k in range(shards)] for b, n in zip(back, alone, strict=True)]
         drawn = F.pmod(F.xxhash64("h", F.lit(200 + turn)), F.lit(1 << 30)) / (1 << 30)
         own = F.element_at(F.array(*[F.array(*[F.lit(x) for x in e]) for e in ends]), F.col("shard") + 1)
         over = F.size(F.filter(own, lambda x: x <= drawn))
         makes_room = F.when((F.col("weight") == 0) & (over < shards), over)
-        state = cut(state.join(moves, "node", "left").select("node", "h", "weight", "hub", F.coalesce("to", makes_room, "shard").cast("int").alias("shard")))
+        state = moved.select("node", "h", "weight", "hub", F.coalesce(goes, makes_room, "shard").cast("int").alias("shard"))
         freed(state.sparkSession)
+    state = cut(state)
     return _settled(state, quota, shards)
 
 
