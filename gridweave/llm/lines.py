@@ -1,15 +1,19 @@
 """Fuzzy line dedup by MinHash: of lines that are alike, only the first in the corpus stays.
 
-A line is compared by its normal form: A-Z lower-cased, white space runs as one space, none at the ends. Lines whose normal form has fewer than
-MIN_CHARS characters (code points) are not compared by sets: they stay, or, if they have `least` characters or more, are told apart by their whole normal form. A line's set is the distinct runs of 8 characters of its normal form. Steps:
-
-1. every document's lines get a 128-bit id of their normal form and, from a signature of 30 minima over character shingles, ten band keys of three each;
-   lines of one form are one node from here on, however many documents hold them;
-2. nodes that share a band key with another one are candidates. Two lines with a similarity of 0.8 share none with a chance of 0.0008;
-3. only the candidates' texts are fetched: a bitmap of fixed size, filled with hashes of their ids, lets a second scan hand out few others, and a join drops those;
-4. within bands, signatures that agree in 14 of 30 coordinates link nodes into groups; within groups, sets are compared, and lines with
+A line is compared by its normal form: A-Z lower-cased, white space runs as one space, none at the ends. Its set is the distinct runs of SHINGLE
+characters (code points) of its normal form; a normal form of fewer than WHOLE characters is one element as a whole, so short lines are alike if
+they are equal. Blank lines stay. Steps:
+
+1. every document's lines get a 64-bit hash of their normal form, which finds lines, and those that matter a 128-bit one, which tells them apart, and, from a signature of
+   56 minima over character shingles, 14 band keys of four each; two lines with a similarity of 0.8 share none with a chance of 0.0006;
+2. keys travel in blocks, one for each of very many ranges of keys, and a task sorts a range at a time: keys that two different lines share become lists, lines that come twice are
+   noted. Nothing else goes on (a range above RANGE_BYTES does as it is; what it has too much finds no partner later);
+3. a second scan fetches the occurrences of those lines, and the texts and signatures of the ones in lists; bitmaps of fixed size, filled with hashes of their ids, let few others pass,
+   and joins drop those;
+4. within lists, signatures that agree in 32 of 56 places link lines into groups; within groups, sets are compared, and lines with
    100 * |A & B| >= 80 * |A | B| are linked (components.spanning(): walks, no lists of pairs);
-5. distributed union-find gives components; the occurrence with the smallest (document id, hash of the text, line number) stays, all others go.
+5. distributed union-find gives components; the occurrence with the smallest (document id, hash of the text, line number) stays, all others go;
+6. only documents that lose a line are moved to meet what they lose, again behind a bitmap; the others pass by.
 
 Odd input: null texts have no lines and stay null; empty texts stay empty; a null id comes last; rows that share an id, or have none, but differ in their texts are documents of
 their own, in the order of the texts' xxhash64; rows that repeat an id and a text lose the same lines (none of them holds a line before the other); extra columns are kept as they are by drop_lines().
@@ -18,123 +22,184 @@ their own, in the order of the texts' xxhash64; rows that repeat an id and a tex
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from .base import LAST_ID, cut, partitions, picked, ship, unused
-from .components import connected, spanning
-from .minhash import by_sets, by_signature, sizes_of, signatures
-from .words import mix, pieces, span_hashes
+from .base import LAST_ID, cut, freed, partitions, picked, ship, unused
+from .components import breadth_first, connected, spanning
+from .minhash import by_sets
+from .words import mix, pieces
 
-SHINGLE, MIN_CHARS, PERCENT = 8, 20, 80
-BANDS, ROWS, MATCHES = 10, 3, 14
+SHINGLE, WHOLE, PERCENT = 6, 20, 80
+BANDS, ROWS, MATCHES = 14, 4, 32
 BITMAP_BITS = 1 << 26
+#: Ranges of keys for each task, and what is sorted at once.
+RANGES, RANGE_BYTES = 64, 64 << 20
+#: What one task walks of a list, in signatures, and of a group, in lines or as many times 64 bytes of text.
 LIST_LIMIT, GROUP_LIMIT = 20_000, 4_000
 
+_A, _B = (mix(np.arange(k, k + BANDS * ROWS, dtype=np.uint64)).astype(np.uint32) for k in (1, 1001))
+_A |= np.uint32(1)
 
-def normal(line: bytes) -> bytes:
-    return b" ".join(line.lower().split())  # bytes.lower() changes A-Z only
 
+def normal_lines(text: bytes) -> list[bytes]:
+    """The normal form of each line."""
+    return [b" ".join(line.split()) for line in text.lower().split(b"\n")]  # bytes.lower() changes A-Z only
 
-def eligible(text: bytes, least: int = MIN_CHARS):
-    """(line number, normal form) of the lines that are long enough."""
-    for k, line in enumerate(text.split(b"\n")):
-        if len(line) >= least and len(own := normal(line)) >= least and (own.isascii() or len(own.decode()) >= least):
-            yield k, own
+
+def fuzzy(own: bytes) -> bool:
+    return len(own) >= WHOLE and (own.isascii() or len(own.decode()) >= WHOLE)
 
 
 def node_of(own: bytes) -> bytes:
     return hashlib.blake2b(own, digest_size=16).digest()
 
 
-def shingle_sets(lines: list[bytes]):
-    """The sorted distinct hashes of each line's character shingles."""
-    offsets = np.concatenate(([0], np.cumsum([len(x) for x in lines]))).astype(np.int64)
-    data = np.frombuffer(b"".join(lines), np.uint8)
-    for lo, hi in pieces(offsets):
-        own = data[offsets[lo] : offsets[hi]]
-        at = offsets[lo : hi + 1] - offsets[lo]
-        lead = np.append(np.flatnonzero((own & 0xC0) != 0x80), len(own))  # where characters begin
-        first = np.searchsorted(lead, at)
-        n = np.maximum(1, np.diff(first) - SHINGLE + 1)  # a shorter line is one shingle
-        begin = np.repeat(first[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        hashes = span_hashes(own, lead[begin], lead[np.minimum(begin + SHINGLE, np.repeat(first[1:], n))])
-        ends = np.cumsum(n)
-        for e, k in zip(ends.tolist(), n.tolist(), strict=True):
-            yield hashes[e - k : e]
+def _runs(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit value of the SHINGLE characters from each character on; where lines begin (and the last ends)."""
+    joined = b"".join(lines)
+    if joined.isascii():
+        code, size = np.frombuffer(joined, np.uint8), [len(x) for x in lines]
+    else:
+        texts = [x.decode() for x in lines]
+        code, size = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), [len(x) for x in texts]
+    n = max(0, len(code) - SHINGLE + 1)
+    code = code.astype(np.uint64)
+    value = code[:n].copy()
+    for j in range(1, SHINGLE):
+        value *= np.uint64(0x9E3779B97F4A7C15)
+        value += code[j : j + n]
+    return value, np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+
+
+def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
+    """The sorted distinct 64-bit hashes of each line's set."""
+    out = [np.frombuffer(node_of(x)[:8], np.uint64) for x in lines]
+    at = [k for k, x in enumerate(lines) if fuzzy(x)]
+    value, begin = _runs([lines[k] for k in at])
+    value = mix(value)
+    for k, s, e in zip(at, begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        out[k] = np.unique(value[s : e - SHINGLE + 1])
+    return out
 
 
 def signed(lines: list[bytes]) -> np.ndarray:
-    """A signature for each line (repeated shingles don't change minima)."""
-    out, held, size = [], [], 0
-    for s in shingle_sets(lines):
-        held.append(s)
-        size += len(s)
-        if size > 1 << 15:
-            out.append(signatures(held, BANDS * ROWS))
-            held, size = [], 0
-    out.append(signatures(held, BANDS * ROWS))
-    return np.concatenate(out)
+    """A signature for each line (fuzzy ones only): minima of affine hash functions over the hashed shingles; repeated shingles don't change them."""
+    out = np.empty((len(lines), BANDS * ROWS), np.uint32)
+    for lo, hi in pieces(np.concatenate(([0], np.cumsum([len(x) for x in lines]))).astype(np.int64), 1 << 16):
+        value, begin = _runs(lines[lo:hi])
+        h = (mix(value) >> np.uint64(32)).astype(np.uint32)
+        x = np.empty(len(h) + 1, np.uint32)
+        x[-1] = 0
+        at = np.stack([begin[:-1], begin[1:] - SHINGLE + 1], 1).ravel()
+        for c in range(BANDS * ROWS):
+            np.multiply(h, _A[c], out=x[:-1])
+            x[:-1] += _B[c]
+            out[lo:hi, c] = np.minimum.reduceat(x, at)[::2]
+    return out
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
+    """A key for each band; it is odd in the first one, and even in the others."""
     keys = np.zeros((len(signature), BANDS), np.uint64)
     for b in range(BANDS):
         h = np.full(len(signature), b + 1, np.uint64)
         for r in range(ROWS):
             h = mix(h * np.uint64(0x9E3779B97F4A7C15) + signature[:, b * ROWS + r])
-        keys[:, b] = h
+        keys[:, b] = (h & ~np.uint64(1)) | np.uint64(b == 0)
     return keys.view(np.int64)
 
 
 def _texts(column) -> list[bytes]:
-    return [(t or "").encode() for t in column.to_pylist()]
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def short_of(nodes: list[bytes]) -> np.ndarray:
-    """64 bits of each id; they find candidates, the whole ids tell lines apart."""
-    return np.frombuffer(b"".join(nodes), np.int64)[::2] if nodes else np.zeros(0, np.int64)
+def shorts_of(lines: list[bytes]) -> np.ndarray:
+    """64 bits for each line."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines)).view(np.int64)
 
 
-def _distinct(column) -> list[bytes]:
-    return list(dict.fromkeys(own for text in _texts(column) for _, own in eligible(text)))
+def _band_rows(ranges: int):
+    """(range, block): each line's rows (key, short), once for each batch; a line's first row twice if the batch has the line twice. A short line has one key."""
 
-
-def _band_rows(batches):
-    """(key, short): each line's band keys, once for each batch."""
-    for b in batches:
-        own = _distinct(b.column("text"))
-        for lo in range(0, len(own), 4096):
-            part = own[lo : lo + 4096]
-            yield pa.RecordBatch.from_arrays([pa.array(band_keys(signed(part)).ravel()), pa.array(np.repeat(short_of([node_of(x) for x in part]), BANDS))], ["key", "short"])
+    def work(batches):
+        for b in batches:
+            count: Counter[bytes] = Counter()
+            for text in _texts(b.column("text")):
+                count.update(normal_lines(text))
+            count.pop(b"", None)
+            rows, lines = [], [x for x in count if fuzzy(x)]
+            for lo in range(0, len(lines), 4096):
+                part = lines[lo : lo + 4096]
+                keys, short = band_keys(signed(part)), shorts_of(part)
+                more = np.array([count[x] > 1 for x in part])
+                rows.append(np.stack([np.concatenate((keys.ravel(), keys[more, 0])), np.concatenate((np.repeat(short, BANDS), short[more]))], 1))
+            rest = [x for x, n in count.items() if not fuzzy(x) for _ in range(min(n, 2))]
+            short = shorts_of(rest)
+            rows.append(np.stack([(mix(short.view(np.uint64)) | np.uint64(1)).view(np.int64), short], 1))
+            rows = np.concatenate(rows)
+            part = ((rows[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            part, raw = part[order], rows[order].tobytes()
+            begin = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
+            ends = np.append(begin[1:], len(part)) if len(part) else begin
+            yield pa.RecordBatch.from_arrays([pa.array(part[begin]), pa.array([raw[16 * x : 16 * y] for x, y in zip(begin.tolist(), ends.tolist(), strict=True)], pa.binary())], ["range", "block"])
+
+    return work
+
+
+def _wanted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (key, short) whose keys have several shorts, each once; shorts of rows with odd keys that come twice."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]).any(1)
+    begin = np.flatnonzero(new)
+    many = np.diff(np.append(begin, len(rows))) > 1
+    rows = rows[begin]
+    alike = np.zeros(len(rows) + 1, bool)
+    alike[1:-1] = rows[1:, 0] == rows[:-1, 0]
+    return rows[alike[1:] | alike[:-1]], rows[many & (rows[:, 0] & 1 == 1), 1]
 
 
 def _shared(batches):
-    """Of rows (key, short) in their order, each different one of the keys that have two or more."""
-    last, handed = np.zeros((0, 2), np.int64), False  # the last row, and whether it has been handed out
+    """(key, short) of lists, (null, short) of lines that come twice, from blocks in the order of their ranges."""
+
+    def out(lists: list[np.ndarray], twice: list[np.ndarray]) -> pa.RecordBatch:
+        rows, short = np.concatenate([np.zeros((0, 2), np.int64), *lists]), np.concatenate([np.zeros(0, np.int64), *twice])
+        key = np.concatenate((rows[:, 0], np.zeros(len(short), np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(key, mask=np.arange(len(key)) >= len(rows)), pa.array(np.concatenate((rows[:, 1], short)))], ["key", "short"])
+
+    last, held, size = None, [], 0
     for b in batches:
-        rows = np.concatenate((last, np.stack([b.column("key").to_numpy(), b.column("short").to_numpy()], 1)))
-        if not len(rows):
-            continue
-        new = np.ones(len(rows), bool)
-        new[1:] = (rows[1:] != rows[:-1]).any(1)
-        rows = rows[new]
-        alike = np.zeros(len(rows) + 1, bool)
-        alike[1:-1] = rows[1:, 0] == rows[:-1, 0]
-        some = alike[1:] | alike[:-1]
-        out = some.copy()
-        out[0] &= not handed
-        handed = bool(some[-1]) or handed and len(rows) == 1
-        last = rows[-1:]
-        yield pa.RecordBatch.from_arrays([pa.array(rows[out, 0]), pa.array(rows[out, 1])], ["key", "short"])
-
-
-def _bitmap(shorts: DataFrame) -> np.ndarray:
-    """Bits of hashes of the column short; a few megabytes, whatever the number of rows."""
-    bits = shorts.select(F.pmod(F.col("short"), F.lit(BITMAP_BITS)).alias("b"))
+        lists, twice = [], []
+        for number, block in zip(b.column("range").to_pylist(), b.column("block").to_pylist(), strict=True):
+            if number != last and held:
+                for into, found in zip((lists, twice), _wanted(np.frombuffer(b"".join(held), np.int64).reshape(-1, 2)), strict=True):
+                    into.append(found)
+                held, size = [], 0
+            if number != last:
+                last, size = number, 0
+            size += len(block)
+            if size <= RANGE_BYTES:
+                held.append(block)
+            else:  # too many rows for one sort: all of them go on
+                lists.append(np.frombuffer(b"".join([*held, block]), np.int64).reshape(-1, 2))
+                held = []
+        yield out(lists, twice)
+    if held:
+        rows, short = _wanted(np.frombuffer(b"".join(held), np.int64).reshape(-1, 2))
+        yield out([rows], [short])
+
+
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """Bits of the hashes in the only column; a few megabytes, whatever the number of rows."""
+    bits = hashes.select(F.pmod(F.col(hashes.columns[0]), F.lit(BITMAP_BITS)).alias("b"))
     words = bits.selectExpr("cast(b div 64 as int) as w", "shiftleft(1L, cast(b % 64 as int)) as m").groupBy("w").agg(F.bit_or("m").alias("m"))
     out = np.zeros(BITMAP_BITS // 64, np.uint64)
     t = words.toArrow()  # at most BITMAP_BITS / 64 rows
@@ -142,74 +207,104 @@ def _bitmap(shorts: DataFrame) -> np.ndarray:
     return out
 
 
-def _occurrences(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """(short, node, doc_id, text_hash, line, text) of every line that is long enough; text only where the short id may be wanted, once for each batch."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes % BITMAP_BITS
+    return (bits[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def _occurrences(docs: DataFrame, wanted, listed) -> DataFrame:
+    """(short, node, doc_id, text_hash, line, text, signature) of each line that may be wanted (bitmaps, broadcast); the last two only where it may be in a list, once for each batch."""
 
     def find(batches):
         for b in batches:
-            nodes, ids, hashes, numbers, texts, seen = [], [], [], [], [], {}
-            for i, h, text in zip(b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist(), _texts(b.column("text")), strict=True):
-                for k, own in eligible(text, least):
-                    node = seen.get(own)
-                    texts.append(own if node is None else None)
-                    if node is None:
-                        node = seen[own] = node_of(own)
-                    nodes.append(node)
-                    ids.append(LAST_ID if i is None else i)
-                    hashes.append(h)
-                    numbers.append(k)
-            short = short_of(nodes)
-            bit = short % BITMAP_BITS
-            hit = (shared.value[bit // 64] >> (bit % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
-            text = pa.array([t if h else None for t, h in zip(texts, hit.tolist(), strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array(nodes, pa.binary()), pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(numbers, pa.int32()), text], ["short", "node", "doc_id", "text_hash", "line", "text"])
-
-    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(find, "short long, node binary, doc_id long, text_hash long, line int, text binary")
-
-
-def _signed_texts(seen: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(short, node, text, signature) of the lines with a wanted short id."""
-
-    def sign(batches):
-        for b in batches:
-            text = b.column("text").to_pylist()
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("short", "node", "text")), pa.array([s.tobytes() for s in signed(text)] if text else [], pa.binary())], ["short", "node", "text", "signature"])
-
-    found = seen.where("text is not null").select("short", "node", "text").join(wanted, "short", "left_semi").dropDuplicates(["node"])
-    return found.mapInArrow(sign, "short long, node binary, text binary, signature binary")
+            ids, hashes = b.column("doc_id").fill_null(LAST_ID).to_numpy(), b.column("text_hash").to_numpy()
+            lines, count = [], []
+            for text in _texts(b.column("text")):
+                lines += (own := normal_lines(text))
+                count.append(len(own))
+            short = shorts_of(lines)
+            at = np.flatnonzero(in_bitmap(wanted.value, short) & np.fromiter(map(bool, lines), bool, len(lines)))
+            count = np.array(count, np.int64)
+            row = np.repeat(np.arange(len(count)), count)
+            number = (np.arange(len(lines)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)[at]
+            row, short, lines = row[at], short[at], [lines[i] for i in at.tolist()]
+            node = {x: node_of(x) for x in dict.fromkeys(lines)}
+            new: set[bytes] = set()
+            shown = in_bitmap(listed.value, short) & np.array([x not in new and not new.add(x) and fuzzy(x) for x in lines], bool)
+            some = [lines[i] for i in np.flatnonzero(shown).tolist()]
+            text, signature = np.full(len(lines), None, object), np.full(len(lines), None, object)
+            text[shown], signature[shown] = some, [x.tobytes() for x in signed(some).astype(np.uint8)]  # the lowest byte of each minimum
+            yield pa.RecordBatch.from_arrays([pa.array(short), pa.array([node[x] for x in lines], pa.binary()), pa.array(ids[row]), pa.array(hashes[row]), pa.array(number), pa.array(text, pa.binary()), pa.array(signature, pa.binary())], _SEEN)
+
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(find, "short long, node binary, doc_id long, text_hash long, line int, text binary, signature binary")
+
+
+_SEEN = ["short", "node", "doc_id", "text_hash", "line", "text", "signature"]
+
+
+def by_signature(payloads: list[bytes]):
+    """Links of lines whose signatures agree in MATCHES places."""
+    s = np.frombuffer(b"".join(payloads), np.uint8).reshape(len(payloads), -1)
+    if len(s) == 2:  # most lists
+        return (np.array([0]), np.array([1])) if (s[0] == s[1]).sum() >= MATCHES else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return breadth_first(len(s), lambda i, others: (s[others] == s[i]).sum(1) >= MATCHES)
 
 
 def by_text(payloads: list[bytes]):
-    """Links of lines by the full sets of their shingles."""
-    return by_sets([np.unique(s).tobytes() for s in shingle_sets(payloads)], PERCENT)
+    """Links of lines by their full sets."""
+    return by_sets([s.tobytes() for s in shingle_sets(payloads)], PERCENT)
 
 
-def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT, least: int = MIN_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """(doc_id, text_hash, lines): the numbers of the lines to remove, for documents (doc_id, text) that lose any; null ids as LAST_ID, texts as their xxhash64."""
-    keys = docs.select("text").mapInArrow(_band_rows, "key long, short long")
-    # Sorted, a key's rows only stream by: no task holds them.
-    postings = cut(keys.repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "short").mapInArrow(_shared, "key long, short long"))
-    wanted = cut(postings.select("short").distinct())
-    seen = cut(_occurrences(docs, wanted, min(least, MIN_CHARS)))
-    texts = cut(_signed_texts(seen, wanted))
-    lists = postings.join(texts.select("short", "node", F.col("signature").alias("payload")), "short").select("key", "node", "payload")
-    groups = connected(spanning(lists, sizes_of(postings), lambda p: by_signature(p, MATCHES), list_limit))
-    members = cut(groups.join(texts, "node").select(F.col("component").alias("key"), "node", F.col("text").alias("payload")))
-    components = connected(spanning(members, sizes_of(members), by_text, group_limit))
-    at = cut(seen.join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), F.struct("doc_id", "text_hash", "line").alias("at")))
+    send = docs.sparkSession.sparkContext.broadcast
+    tasks = partitions(docs.sparkSession)
+    keys = docs.select("text").mapInArrow(_band_rows(tasks * RANGES), "range long, block binary")
+    postings = cut(keys.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(_shared, "key long, short long"))
+    freed(docs.sparkSession)
+    lists = postings.where("key is not null")
+    wanted, listed = send(bitmap(postings.select("short"))), send(bitmap(lists.select("short")))
+    seen = cut(_occurrences(docs, wanted, listed))
+    wanted.destroy(), listed.destroy()
+    freed(docs.sparkSession)
+    shown = seen.where("text is not null")
+    rows = lists.join(shown.select("short", "node", F.col("signature").alias("payload")).dropDuplicates(["node"]), "short").select("key", "node", "payload")
+    groups = connected(spanning(rows, lists.groupBy("key").agg(F.count("*").alias("n")), by_signature, list_limit))
+    members = cut(groups.join(shown.select("node", F.col("text").alias("payload")).dropDuplicates(["node"]), "node").select(F.col("component").alias("key"), "node", "payload"))
+    sizes = members.groupBy("key").agg(F.greatest(F.count("*"), F.sum(F.octet_length("payload")) / 64).cast("long").alias("n")).where("n > 1")
+    components = connected(spanning(members, sizes, by_text, group_limit))
+    at = cut(seen.select("node", F.struct("doc_id", "text_hash", "line").alias("at")).join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "at"))
     first = cut(at.groupBy("label").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").select("label", "first"))
+    freed(docs.sparkSession)
     lost = at.join(first, "label").where("at <> first").select("at.*")
     return lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("lines"))  # at most a document's lines
 
 
+def _hit(shared):
+    @F.arrow_udf("boolean")
+    def hit(hashes: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(shared.value, hashes.to_numpy(zero_copy_only=False)))
+
+    return hit
+
+
+@F.arrow_udf(StringType())
+def _without(text: pa.Array, lines: pa.Array) -> pa.Array:
+    out = []
+    for t, numbers in zip(text.to_pylist(), lines.to_pylist(), strict=True):
+        gone = set(numbers or ())
+        out.append(t if t is None or not gone else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone))
+    return pa.array(out, pa.string())
+
+
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lost_col: str = "removed_lines", **limits: int) -> DataFrame:
     """The documents with all columns, their text without the lines to remove, and lost_col, or that name with underscores behind it if it is taken: those lines' numbers (null: none)."""
     ship(docs.sparkSession)
     key, text, lost_col = unused(docs, "lost_id"), unused(docs, "lost_text"), unused(docs, lost_col)
-    lost = removed_lines(picked(docs, id_col, text_col), **limits).select(F.col("doc_id").alias(key), F.col("text_hash").alias(text), F.col("lines").alias(lost_col))
-    same = (F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)) == F.col(key)) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col(text))
-    joined = docs.join(lost, same, "left")
-    kept = F.array_join(F.filter(F.split(F.col(f"`{text_col}`"), "\n", -1), lambda x, i: ~F.array_contains(F.col(lost_col), i)), "\n")
-    names = [F.when(F.col(lost_col).isNull(), F.col(f"`{text_col}`")).otherwise(kept).alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*names, lost_col)
+    lost = cut(removed_lines(picked(docs, id_col, text_col), **limits).select(F.col("doc_id").alias(key), F.col("text_hash").alias(text), F.col("lines").alias(lost_col)))
+    hit = _hit(docs.sparkSession.sparkContext.broadcast(bitmap(lost.select(F.xxhash64(key, text)))))
+    own_id, own_hash = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)), F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    row: Column = F.xxhash64(own_id, own_hash)
+    joined = docs.where(hit(row)).join(lost, (own_id == F.col(key)) & (own_hash == F.col(text)), "left")
+    cleaned = [_without(F.col(f"`{text_col}`").cast("string"), F.col(lost_col)).alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return docs.where(~hit(row)).withColumn(lost_col, F.lit(None).cast("array<int>")).unionByName(joined.select(*cleaned, lost_col))

@@ -79,11 +79,11 @@ def normal(line):
     return " ".join(re.split(r"[\x20\x09-\x0D]+", lower(line).strip(" \t\n\r\v\f")))
 
 
-def kept_lines(rows, shingle=8, least=20):
+def kept_lines(rows, shingle=6, whole=20):
     """{id: text} after fuzzy line dedup, for rows of distinct ids."""
-    lines = [(i, k, n) for i, text in sorted(rows) if text is not None for k, x in enumerate(text.split("\n")) if len(n := normal(x)) >= least]
+    lines = [(i, k, n) for i, text in sorted(rows) if text is not None for k, x in enumerate(text.split("\n")) if (n := normal(x))]
     forms = sorted({n for _, _, n in lines})
-    u = linked({f: {f[p : p + shingle] for p in range(max(1, len(f) - shingle + 1))} for f in forms})
+    u = linked({f: {f[p : p + shingle] for p in range(len(f) - shingle + 1)} if len(f) >= whole else {f} for f in forms})
     seen, lost = set(), defaultdict(set)
     for i, k, n in lines:
         if (c := u.find(n)) in seen:

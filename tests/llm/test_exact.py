@@ -1,7 +1,9 @@
 """Operators against brute force: quality, substrings, near-duplicates, lines, decontamination."""
 
-from collections import Counter
+import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,23 @@ def test_substrings(frame, documents, odd, bucket):
         assert sorted(map(repr, ((r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in got))) == sorted(map(repr, brute.substrings(rows)))
 
 
+def test_paths_whose_edges_stand_apart_in_the_source(frame):
+    w = [f"w{k}" for k in range(16)]
+    rows = [(1, " ".join(w[:13] + ["between"] + w[1:14] + ["and"] + w[2:15])), (2, "x " + "\n".join(w[:15]) + " y"), (3, " ".join(w))]
+    rows += [(9, " ".join(f"q{k % 20}" for k in range(60))), (10, " ".join(f"q{k % 20}" for k in range(7, 40)))]  # places that repeat within the source
+    got = substrings.dedup_substrings(frame(rows)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in got) == sorted(brute.substrings(rows))
+    assert sum(r.n_removed for r in got) > 40
+
+
+def test_popular_sources_are_copied(frame):
+    rows = planted() + [(None, PASSAGE + f" tail {k}") for k in range(30)] + [(7, PASSAGE + f" end {k}") for k in range(30)] + [(500 + k, " ".join(f"w{k % 20}x{j}" for j in range(k, 70))) for k in range(40)]
+    want = sorted(map(repr, brute.substrings(rows)))
+    for size in (None, 3000):
+        got = substrings.dedup_substrings(frame(rows), bucket_bytes=size, requests=2).collect()
+        assert sorted(map(repr, ((r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in got))) == want
+
+
 def test_spans_name_their_source(frame):
     got = {r.doc_id: r.spans for r in substrings.dedup_substrings(frame(planted())).collect()}
     assert [(s.start, s.end, s.source) for s in got[103]] == [(30, 90, 100)]
@@ -83,12 +102,26 @@ def test_near_duplicates_of_odd_rows(frame, odd):
 def test_lines(frame, documents, limits):
     base = "It was the same long line of quite ordinary prose with number {} in it."
     rows = [(k, "\n".join([f"Own line number {k * 7919} of document {k * 104729}.", base.format(k), "short"])) for k in range(30)]
+    rows += [(40, "A line of sixty characters and more, and a bit more is also here."), (41, "x\nA line of sixty characters and more, bnd a bit more is also here.")]
     rows += [(50, None), (51, ""), (52, "IT WAS  the same long line of quite ordinary prose with number 5 in it.\t\n\n"), (53, "日本語" * 20), (54, "日本語" * 20 + "x")]
     for own in (rows, documents, []):
         got = {r.doc_id: r.text for r in lines.drop_lines(clashing(frame(own)), **limits).collect()}
         assert got == brute.kept_lines(own)
 
 
+def test_ranges_above_the_limit_pass_whole(monkeypatch):
+    r = np.random.default_rng(3)
+    rows = np.stack([r.integers(0, 40, 500), r.integers(0, 30, 500)], 1)
+    blocks = pa.RecordBatch.from_arrays([pa.array(np.repeat([1, 2], 5)), pa.array([rows[k * 50 : k * 50 + 50].tobytes() for k in range(10)], pa.binary())], ["range", "block"])
+    want = [lines._wanted(rows[:250]), lines._wanted(rows[250:])]
+    found = pa.Table.from_batches(list(lines._shared([blocks]))).to_pylist()
+    assert sorted((x["key"], x["short"]) for x in found if x["key"] is not None) == sorted(map(tuple, np.concatenate([w[0] for w in want]).tolist()))
+    assert sorted(x["short"] for x in found if x["key"] is None) == sorted(np.concatenate([w[1] for w in want]).tolist())
+    monkeypatch.setattr(lines, "RANGE_BYTES", 1000)
+    every = pa.Table.from_batches(list(lines._shared([blocks]))).to_pylist()
+    assert sorted((x["key"], x["short"]) for x in every) == sorted(map(tuple, rows.tolist()))
+
+
 def test_lines_of_repeated_rows(frame):
     text = "One line that is long enough to be compared.\nAnother line that is just as long as it has to be."
     got = lines.drop_lines(frame([(1, text), (1, text), (2, text), (None, text)])).collect()
@@ -97,17 +130,17 @@ def test_lines_of_repeated_rows(frame):
 
 def test_short_lines_by_their_normal_form(frame, documents):
     rows = [(1, "les.\n\nand ornd.\nquite short"), (2, "Les. \n\nand ornt.\n\nand  ornd."), (3, "}\n}"), (4, "日本語"), (5, "日本語\nles.")]
-    got = {r.doc_id: r.text for r in lines.drop_lines(frame(rows), least=1).collect()}
+    got = {r.doc_id: r.text for r in lines.drop_lines(frame(rows)).collect()}
     assert got == {1: rows[0][1], 2: "\nand ornt.\n", 3: "}", 4: "日本語", 5: ""}
 
 
-def test_op8_drops_repeated_short_lines(spark, sf, documents):
-    forms = Counter(n for _, t in documents for x in (t or "").split("\n") if 0 < len(n := brute.normal(x)) < lines.MIN_CHARS)
-    want = sum(forms.values()) - len(forms)
-    texts = dict(documents)
+def test_op8_against_brute_force(spark, sf, documents):
+    want, texts = brute.kept_lines(documents), dict(documents)
     rows = queries.op8_line_dedup(spark, sf).collect()
-    got = sum(len(brute.normal(texts[r.doc_id].split("\n")[int(k)])) < lines.MIN_CHARS for r in rows for k in (r.removed or "").split(",") if k)
-    assert want > 0 and got == want
+    assert {r.doc_id: r.text_sha256 for r in rows} == {i: brute.sha(t or "") for i, t in want.items()}
+    gone = [texts[r.doc_id].split("\n")[int(k)] for r in rows for k in (r.removed or "").split(",") if k]
+    assert any(len(brute.normal(x)) < lines.WHOLE for x in gone) and any(len(brute.normal(x)) >= lines.WHOLE for x in gone)
+    assert all(r.n_removed == len([k for k in (r.removed or "").split(",") if k]) for r in rows)
 
 
 def test_lines_of_rows_that_share_an_id(frame):
@@ -135,6 +168,17 @@ def test_decontamination(spark, frame, documents, odd, monkeypatch):
     assert decontaminate.decontaminate(frame([]), bench).count() == 0
 
 
+def test_tables_of_a_slice_are_small():
+    import pickle
+    import time
+
+    r, words = random.Random(4), [f"w{k}" for k in range(5000)]
+    items = [(str(k), " ".join(r.choice(words) for _ in range(200))) for k in range(decontaminate.SLICE_BYTES // 1200)]
+    began = time.process_time()
+    searcher = decontaminate.Searcher(items, 10)
+    assert time.process_time() - began < 30 and len(pickle.dumps(searcher)) < 48 << 20
+
+
 def test_long_texts_take_many_cursors(frame):
     item = " ".join(f"q{j}" for j in range(12))
     text = " ".join(f"f{j % 97}" for j in range(3000)) + " " + item + " " + " ".join(f"g{j % 89}" for j in range(3000)) + " " + item

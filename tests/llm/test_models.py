@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridweave.llm import eliasfano, lm, packing, secretscan, shards, toxicity
-from gridweave.llm.pretokens import Encoder, split
+from gridweave.llm import pretokens
+from gridweave.llm.pretokens import Encoder
 from tests.llm import brute
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,26 +29,25 @@ def test_ids_equal_the_tokenizer(tokenizer):
     r = random.Random(5)
     texts = ["", "don't you're it's  's 't 'll've", "a  b\n\n c\t\td \n", "x 'tis ''s \"'s '", "<|endoftext|> hi", "日本語 text ñandú 123abc 4é5", "\r\n\r\n x", "é  b ½²", "a b c"]
     texts += ["".join(r.choice(["a", "B", " ", "  ", "'", "s", "t", "re", "\n", "1", "é", "!", "'s", "ll", " "]) for _ in range(r.randint(0, 40))) for _ in range(2000)]
-    ids, at, term, term_at = Encoder.of(PATH).encode(texts)
+    ids, at = Encoder.of(PATH).encode(texts)
     for i, t in enumerate(texts):
         assert ids[at[i] : at[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
-def test_terms_of_all_texts_are_pretokens():
-    plain = "The brown fox doesn't jump over 12 lazy dogs, and nobody minds at all."
-    texts = [plain, plain.replace("minds", "\u201cminds\u201d"), plain + " <|endoftext|>", "\u65e5\u672c\u8a9e and nobody minds\u3000at all"]
-    _, _, terms, at = Encoder.of(PATH).encode(texts)
-    own = [set(terms[at[i] : at[i + 1]].tolist()) for i in range(4)]
-    assert len(own[0] - own[1]) == 1 and own[0] - own[2] == set() and len(own[0] & own[3]) == 4
-    others = ["Something else is written here.", "Nothing of it is of use to them.", "Rain fell on seven hills."]
-    _, _, terms, at = Encoder.of(PATH).encode([plain, *others, texts[1]])
-    assert int(np.argmax(packing.Index(terms, at).scores(0)[1:])) == 3
+def test_pretokens_are_told_apart_by_their_bytes(tokenizer, monkeypatch):
+    texts = ["one two one twos " + "long" * 9 + " " + "long" * 8 + "lonh x", "twos two é " + "long" * 9]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for collide in (False, True):
+        if collide:  # every key alike
+            monkeypatch.setattr(pretokens, "mix", lambda h: np.zeros_like(h))
+        ids, at = Encoder(PATH).encode(texts)
+        assert [ids[at[i] : at[i + 1]].tolist() for i in range(2)] == want
 
 
-@pytest.mark.parametrize("size", [packing.SHARD_BYTES, 20_000])
+@pytest.mark.parametrize("size", [packing.SHARD_TOKENS, 5_000])
 def test_packing_round_trip(frame, documents, odd, tokenizer, size):
     for rows in (documents, odd, []):
-        got = packing.pack(frame(rows).withColumn("shard", F.lit("clash")), PATH, shard_bytes=size).collect()
+        got = packing.pack(frame(rows).withColumn("shard", F.lit("clash")), PATH, shard_tokens=size).collect()
         pieces, sequences = defaultdict(list), defaultdict(list)
         for p in got:
             sequences[p.sequence_id].append((p.offset, p.length))
@@ -95,21 +95,56 @@ def test_near_copies_share_shards(frame):
         rows.append((k, " ".join(own)))
         own[k % 120] = "other"
         rows.append((1000 + k, " ".join(own)))
-    got = packing.pack(frame(rows), PATH, shard_bytes=8000).collect()
-    shard = {p.doc_id: p.sequence_id >> 32 for p in got}
+    got = packing.pack(frame(rows), PATH, shard_tokens=3600).collect()  # about 10 documents
+    shard = {p.doc_id: p.sequence_id >> 22 for p in got}
     assert len(set(shard.values())) > 20
     assert sum(shard[k] == shard[1000 + k] for k in range(150)) > 120
 
 
-def test_statistics_cover_the_corpus(frame):
+def test_hot_copies_are_divided(frame):
+    rows = [(k % 3 or None, "the very same words are here again and again") for k in range(900)] + [(5000 + k, f"other words {k} of text number {k}") for k in range(300)]
+    got = packing.pack(frame(rows), PATH, shard_tokens=500).collect()
+    size = Counter()
+    for p in got:
+        size[p.sequence_id >> 22] += p.length
+    assert sum(size.values()) == sum(p.length for p in got) and max(size.values()) < 1500 and len(got) >= 1200
+    lengths = Counter()
+    for p in got:
+        lengths[p.sequence_id] += p.length
+    assert all(n == 1024 or n & (n - 1) == 0 for n in lengths.values())
+
+
+def test_windows_follow_the_order_of_neighbours():
+    """Plain version of laid_out: the best free neighbour of the window's seed by score, then by place; else the first free document."""
+    r = random.Random(8)
+    docs = [[r.choice(range(60)) for _ in range(r.randint(1, 300))] for _ in range(120)]
+    at = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
+    index = packing.Index(np.array([t for d in docs for t in d]), at)
+    free, order, room, seed = set(range(120)), [], 0, None
+    while free:
+        s = index.scores(seed) if room else []
+        best = max((i for i in free if room and s[i] > 0), key=lambda i: (s[i], -i), default=min(free))
+        free.remove(best)
+        order.append(best)
+        left = len(docs[best])
+        while left:
+            if not room:
+                seed, room = best, 256
+            n = min(left, room)
+            left, room = left - n, room - n
+    got = packing.laid_out(np.diff(at), index, 256)
+    assert list(dict.fromkeys(p[0] for p in got)) == order
+
+
+def test_statistics_cover_the_corpus(frame, tokenizer):
     rows = [(k, f"common word{k % 5} own{k}") for k in range(40)] + [(90, None), (91, "")]
-    got = packing.statistics(frame(rows), len(rows))
-    _, _, _, terms, _ = split(["common word1 own1"])
-    assert got.df_of(terms).tolist()[0] == 40 and (got.n, got.rest) == (42, 1)
-    assert abs(got.mean - sum(len(split([t or ""])[3]) for _, t in rows) / 42) < 1e-9
-    few = packing.statistics(frame(rows), len(rows), 3)
-    assert len(few.terms) <= 3 and few.df.min() > few.rest >= 1
-    index = packing.Index(np.concatenate([terms, terms]), np.array([0, len(terms), 2 * len(terms)]), got)
+    kind, size = "<u2", 1 + max(Encoder.ids_of(PATH))
+    tokens = frame(rows).withColumn("row", F.monotonically_increasing_id()).mapInArrow(packing._tokenised(PATH, kind), packing._TOKENS)
+    got = packing.statistics(tokens, kind, size)
+    ids = [tokenizer.encode(t or "").ids + [0] for _, t in rows]
+    df = Counter(x for i in ids for x in set(i))
+    assert got.n == 42 and abs(got.mean - sum(map(len, ids)) / 42) < 1e-9 and {k: int(n) for k, n in enumerate(got.df) if n} == {**df, 0: 42}
+    index = packing.Index(np.array(ids[1] + ids[6]), np.array([0, len(ids[1]), len(ids[1]) + len(ids[6])]), got)
     assert index.scores(0)[1] > 0  # in both documents of the shard, in few of the corpus
 
 
@@ -153,12 +188,36 @@ def test_shards(frame, documents, odd, n):
 def test_label_propagation_lowers_the_cut(spark):
     r = random.Random(3)
     links = [(a, b) for a in range(400) for b in r.sample(range(a // 20 * 20, a // 20 * 20 + 20), 5) if a != b]
-    frame = spark.createDataFrame(links + [(b, a) for a, b in links], "a long, b long").distinct()
-    nodes = spark.range(400).select(F.col("id").alias("node"), F.lit(5).cast("long").alias("weight"))
+    both = sorted({*links, *((b, a) for a, b in links)})
+    weight = Counter(a for a, _ in both)
+    frame = spark.createDataFrame([(a, b, weight[b]) for a, b in both], "a long, b long, bw long")
+    nodes = spark.range(400).select(F.col("id").alias("node"), F.xxhash64("id").alias("h"), F.lit(5).cast("long").alias("weight"), F.col("id").alias("hub"), F.lit(None).cast("int").alias("seat"))
     cut = lambda rounds: (lambda of: sum(of[a] != of[b] for a, b in links))({x.node: x.shard for x in shards.propagate(nodes, frame, 4, rounds).collect()})
     assert cut(6) < 0.7 * cut(0) and cut(6) < 0.6 * len(links)
 
 
+def test_rounds_bring_equal_texts_together(frame, monkeypatch):
+    """The cut of equal texts falls from round to round, far below the start's, whatever the input's partitions."""
+    rows = [(k, f"text {k // 3}") for k in range(900)] + [(2000 + k, f"a single text {k}") for k in range(300)] + [(4000 + k, "hot") for k in range(300)]
+
+    def placed(rounds, parts=3, own=rows):
+        return {x.doc_id: x.shard for x in shards.shard_documents(frame(own, parts=parts), 8, rounds).collect()}
+
+    def cut(of):
+        groups = defaultdict(list)
+        for i, t in rows:
+            groups[t].append(of[i])
+        return sum(len(g) - max(Counter(g).values()) for g in groups.values())
+
+    monkeypatch.setattr(shards, "SPLIT", 50)  # so that the hot group is divided
+    at = {k: placed(k) for k in (0, 2, 4, 8)}
+    cuts = [cut(at[k]) for k in (0, 2, 4, 8)]
+    assert cuts == sorted(cuts, reverse=True) and cuts[-1] < 0.3 * cuts[0], cuts
+    assert sum(at[0][i] != at[8][i] for i, _ in rows) > 300
+    assert all(max(n) - min(n) <= 1 for n in (list(Counter(x.values()).values()) for x in at.values()))
+    assert placed(8, 7, rows[::-1]) == at[8]
+
+
 def test_elias_fano(tmp_path):
     r = np.random.default_rng(1)
     for n, top in ((0, 1), (1, 5), (1000, 2**64 - 1), (1000, 1000), (5000, 2**40), (10, 1)):
@@ -173,7 +232,7 @@ def test_elias_fano(tmp_path):
     assert (back.find(words) == np.arange(50)).all() and back.find(words[:1] + np.uint64(1))[0] == -1
     q = back.pair(context, successor)
     assert (q == lm.quantise(np.full(1, (3 - lm.DISCOUNT) / 15))[0]).all()
-    assert (back.pair((context + 1) % 10, successor) == 255).sum() >= 45 and back.pair(np.array([-1]), successor[:1])[0] == 255
+    assert (back.pair((context + 1) % 10, successor) == lm.LEVELS).sum() >= 45 and back.pair(np.array([-1]), successor[:1])[0] == lm.LEVELS
 
 
 @pytest.mark.parametrize("bucket", [None, 20_000])
@@ -196,7 +255,7 @@ def test_language_model(frame, documents, odd, bucket):
         want = sorted((repr(i), held(i), len(t), sum(one[w] > 0 for w in t), sum(math.log10(low(w)) for w in t), sum(math.log10(high(a, w)) for a, w in zip(["\0start", *t], t, strict=False))) for i, t in tokens)
         have = sorted((repr(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.base_score, r.score) for r in got)
         for x, y in zip(have, want, strict=True):
-            assert x[:4] == y[:4] and abs(x[4] - y[4]) < 1e-6 * max(1, abs(y[4])) and abs(x[5] - y[5]) < 0.02 * y[2]
+            assert x[:4] == y[:4] and abs(x[4] - y[4]) < 1e-6 * max(1, abs(y[4])) and abs(x[5] - y[5]) < 0.0005 * y[2]
         assert {r.train_tokens for r in got} == {n}
     assert lm.score(frame([])).count() == 0
 
@@ -218,14 +277,73 @@ def test_base_spans():
 def test_secret_network(frame, odd):
     net = secretscan.trained()
     held = secretscan.labelled(600, 99)
-    p = net.probability([net.logit(*secretscan.coded(t, s, e)) for t, s, e, _ in held])
-    y = np.array([x[3] for x in held])
-    assert (p[y == 1] >= net.threshold).mean() > 0.95 and (p[y == 0] >= net.threshold).mean() < 0.05
+    p, y = net.probability(secretscan.score_findings(net, held)), np.array([x[3] for x in held])
+    assert (p[y == 1] >= net.threshold).mean() > 0.9 and (p[y == 0] >= net.threshold).mean() < 0.05
     rows = [(10, "key ghp_Zk3Q9xTr5LmW8vNb2HcY7dPfJ4sA6gUe1oR0 and again"), (11, "see the-quick-brown-fox-12-jumps-over.html now"), (12, "token = 0123456789abcdef0123456789abcdef"), *odd]
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secretscan.scan(frame(rows), net).collect()}
     assert got[10] == [("net", 4, 44)] and got[11] == [] and [k for k, _, _ in got[12]] == ["assign", "hex"] and got[1] == [] and len(got) >= 10
 
 
+def plain_spans(text, net):
+    """One candidate after another, by regular expressions and the convolution written out."""
+    found = [(k, s, e) for s, e, k in secretscan.base_spans(text)]
+    for m in re.finditer(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=-])?", text):
+        s, e = m.span()
+        if e - s < 8 or any(a <= s and e <= b for _, a, b in found if _ != "net"):
+            continue
+        code = [min(ord(c), 128) for c in text]
+        z = net.bias + net.lengths @ [math.log((e - s) / 16), math.log((e - s) / 16) ** 2] + np.mean([net.letters[c] for c in code[s:e]])
+        kinds = secretscan._CLASS[code[s:e]]
+        z += np.mean([net.pairs[a * 6 + b] for a, b in zip(kinds, kinds[1:], strict=False)])
+        at = 0
+        for f in net.filters:
+            for lo, hi in ((max(0, s - 24), s), (s, e), (e, min(len(text), e + 8))):
+                values = [sum(f[j][code[i + j]] for j in range(len(f))) for i in range(lo, hi - len(f) + 1)]
+                z += np.maximum(np.max(values, axis=0), 0) @ net.weights[at : at + secretscan.FILTERS] if values else 0
+                at += secretscan.FILTERS
+        if net.probability(z) >= net.threshold:
+            found.append(("net", s, e))
+    return sorted(found, key=lambda x: (x[1], secretscan.KINDS.index(x[0])))
+
+
+def test_secrets_against_brute_force(frame, documents, odd, monkeypatch):
+    net = secretscan.trained()
+    net.threshold = 0.05  # so that many candidates become spans
+    texts = [t for _, t in documents[:25]] + [t for _, t in odd] + ["x" * 9 + " é" + "aB3" * 60 + "... 12345678.", "deadbeefdeadbeefdeadbeefXYZ12 token=abcdefgh+/", "..........", "a" * 7]
+    monkeypatch.setattr(secretscan, "PIECE", 100)  # candidates across blocks, in this process
+    rows = list(enumerate(texts))
+    here = [[x[:3] for x in own] for own in secretscan.spans_of([(t or "")[:2000] for t in texts], net)]
+    assert here == [plain_spans((t or "")[:2000], net) for t in texts]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secretscan.scan(frame(rows), net).collect()}
+    assert got == {i: plain_spans((t or "")[:2000], net) if len(t or "") <= 2000 else got[i] for i, t in rows}
+    assert sum(k == "net" for x in got.values() for k, _, _ in x) > 10
+    assert secretscan.scan(frame([]), net).count() == 0 and secretscan.findings(frame([])) == []
+    clash = frame(rows).withColumn("spans", F.lit(1)).withColumn("kind", F.lit("x")).withColumn("score", F.lit(0.5))
+    assert {r.doc_id: len(r.spans) for r in secretscan.scan(clash, net).collect()} == {i: len(x) for i, x in got.items()}
+
+
+def test_secrets_planted_in_the_corpus_are_found(spark, frame):
+    """Kinds that no rule finds, in documents that the network hasn't learnt from: nine in ten are found, and nine in ten of what is found was planted."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    known = secretscan.findings(docs.where("doc_id < 5000"), 600)
+    net = secretscan.trained(known)
+    m, rows, want = secretscan.Maker(4711), [], {}
+    for r in docs.where("doc_id between 5000 and 5600 and length(text) between 200 and 20000").collect():
+        at = r.text.index(" ", len(r.text) // 3) + 1 if " " in r.text[len(r.text) // 3 :] else 0
+        own = m.secret()
+        rows.append((r.doc_id, r.text[:at] + own + " " + r.text[at:]))
+        want[r.doc_id] = (at, at + len(own))
+    hit = others = covered = 0
+    for r in secretscan.scan(frame(rows), net).collect():
+        s, e = want[r.doc_id]
+        found = [(x.kind, x.start, x.end) for x in r.spans]
+        by_rule = any(k != "net" and a < e and s < b for k, a, b in found)
+        covered += by_rule
+        hit += ("net", s, e) in found and not by_rule
+        others += sum(k == "net" and (a, b) != (s, e) for k, a, b in found)
+    assert hit >= 0.9 * (len(rows) - covered) and others <= 0.1 * hit and len(rows) - covered > 300
+
+
 def test_toxicity(spark, sf, frame, odd):
     big = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
@@ -243,6 +361,18 @@ def test_toxicity(spark, sf, frame, odd):
     assert toxicity.score(frame([], schema), net).count() == 0
 
 
+def test_training_texts_are_bounded_together(frame, monkeypatch):
+    rows = [(k, f"text {k} " + "w " * 400, "en") for k in range(40)] + [(7, "a second text of seven", "en")] * 50
+    docs, labels = frame(rows, "doc_id long, text string, lang string"), frame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    every, counts = toxicity.sampled(docs, labels)
+    assert len(every) == 40 and counts == {0: 20, 1: 20}
+    monkeypatch.setattr(toxicity, "MOST_SAMPLE_BYTES", 9_000)
+    few, _ = toxicity.sampled(docs, labels)
+    assert few == every[: len(few)] and 5 < len(few) < 15 and sum(len(r[0]) for r in few) <= 9_000
+    monkeypatch.setattr(toxicity, "MOST_SAMPLE_BYTES", 1)
+    assert len(toxicity.sampled(docs, labels)[0]) == 1
+
+
 def test_toxicity_without_labels(frame):
     docs = frame([(1, "a b", "en"), (2, None, None)], "doc_id long, text string, lang string")
     net = toxicity.trained(docs, frame([(1, 0), (2, None), (None, 1)], "doc_id long, toxic int"))

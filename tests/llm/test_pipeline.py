@@ -42,6 +42,15 @@ def test_stages_of_odd_rows(spark, sf, odd, frame):
     assert len(left) == len(set(left)) == len({(i, t) for i, t in odd}) - 1  # one of the two copies of row 5, and 5 itself as a copy of 4
 
 
+def test_one_near_copy_stays_whatever_the_ids(spark, sf, frame):
+    text = " ".join(f"word{k}" for k in range(60))
+    rows = [(None, text), (None, text + " more"), (None, "another text " * 9), (5, "the " + text.upper()), (None, None), (None, "")]
+    for own, left in ((rows, 4), (rows[:3], 2)):
+        docs = frame([(i, t, None) for i, t in own], "doc_id long, text string, first string")
+        got = pipeline.drop_near_duplicates(spark, docs, sf).collect()
+        assert len(got) == left and sum(text in (r.text or "").lower() for r in got) == 1
+
+
 def test_whole_pipeline(spark, sf):
     got = pipeline.run(spark, sf).collect()
     assert got and {len(np.frombuffer(bytes(r.ids), "<u4")) == r.length for r in got} == {True}
