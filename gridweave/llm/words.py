@@ -33,14 +33,21 @@ _TABLE = mix((np.arange(256, dtype=np.uint64) + _U(1)) * _U(_P))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+#: Bytes that are hashed at once: tables and sums stay of this size, unless a single word is longer.
+BLOCK = 1 << 20
+
+
 def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 19)
-        for k, base in enumerate((_P, _P_INVERSE)):
-            run = np.full(size, base, np.uint64)
-            run[0] = 1
-            _powers[k] = np.cumprod(run)
-    return _powers
+    if len(_powers[0]) >= n:
+        return _powers
+    found = []
+    for base in (_P, _P_INVERSE):
+        run = np.full(max(n, 1 << 19), base, np.uint64)
+        run[0] = 1
+        found.append(np.cumprod(run))
+    if n <= 2 * BLOCK:  # a longer one isn't kept
+        _powers[:] = found
+    return found
 
 
 def delimiters(*ranges: tuple[int, int]) -> np.ndarray:
@@ -115,13 +122,18 @@ def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of data[s:e] for each span (none empty)."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+    """Hash of data[s:e] for each span (none empty), by their starts; long data block by block."""
+    out = np.zeros(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        hi = len(starts) if len(data) <= BLOCK else max(lo + 1, int(np.searchsorted(starts, starts[lo] + BLOCK)))
+        a, b = int(starts[lo]), int(ends[lo:hi].max())
+        power, inverse = _power_tables(b - a + 1)
+        total = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(_TABLE[data[a:b]] * power[: b - a], out=total[1:])
+        out[lo:hi] = mix((total[ends[lo:hi] - a] - total[starts[lo:hi] - a]) * inverse[starts[lo:hi] - a])
+        lo = hi
+    return out
 
 
 def scan(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = SPACED, fold: np.ndarray | None = None) -> Words:

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridweave.llm import decontaminate, lines, minhash, quality, queries, substrings
+from gridweave.llm import decontaminate, lines, minhash, quality, queries, substrings, words
 from tests.llm import brute
 
 PASSAGE = " ".join(f"shared{k}" for k in range(60))
@@ -26,6 +26,16 @@ def planted():
     return rows + [(300, rows[0][1]), (301, rows[0][1].upper())]
 
 
+def test_word_hashes_block_by_block(monkeypatch):
+    r = np.random.default_rng(2)
+    data = np.frombuffer(b" ".join(r.bytes(int(n)).replace(b" ", b"x") for n in r.integers(1, 40, 400)), np.uint8)
+    at = words.delimiters((0x20, 0x20))
+    whole = words.scan(data, np.array([0, len(data)]), at)
+    monkeypatch.setattr(words, "BLOCK", 50)
+    parts = words.scan(data, np.array([0, len(data)]), at)
+    assert (whole.hashes == parts.hashes).all() and len(set(whole.hashes.tolist())) == len({whole.word(k) for k in range(len(whole.starts))})
+
+
 def test_quality(spark, frame, documents, odd):
     for rows in (documents, odd, []):
         docs = frame([(i, t, "en", None) for i, t in rows], "doc_id long, text string, lang string, source string").withColumn("n_words", F.lit("clash"))
