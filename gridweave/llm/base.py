@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import tempfile
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +45,41 @@ def freed(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def trim() -> None:
+    """Gives memory that this worker no longer uses back to the machine; workers are used again, and what they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def sliced(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches with a column `text` in slices of about `limit` bytes of text; a longer text comes alone."""
+    for b in batches:
+        if "text" not in b.schema.names or not b.num_rows:
+            yield b
+            continue
+        ends, lo = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function for mapInArrow that sees its texts slice by slice and trims its worker when it is done."""
+
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(sliced(batches))
+        finally:
+            trim()
+
+    return run
+
+
 def picked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (long) and the text, so that columns of any other name can't clash."""
     ship(docs.sparkSession)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, freed, partitions
+from .base import cut, freed, lean, partitions
 
 #: links(payloads) -> index pairs; match(payloads, payload) -> booleans
 Linker = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -75,7 +75,7 @@ def _linked(units: DataFrame, keys: list[str], linker: Linker) -> DataFrame:
         yield rows(of(node, payload))
 
     n = partitions(units.sparkSession)
-    return units.select(*keys, "node", "payload").repartition(n, *keys).sortWithinPartitions(*keys, "node").mapInArrow(work, "a binary, b binary")
+    return units.select(*keys, "node", "payload").repartition(n, *keys).sortWithinPartitions(*keys, "node").mapInArrow(lean(work), "a binary, b binary")
 
 
 def spanning(rows: DataFrame, sizes: DataFrame, linker: Linker, limit: int) -> DataFrame:

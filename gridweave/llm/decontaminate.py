@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import picked, ship
+from .base import lean, picked, ship
 from .words import ALNUM, FOLD, Words, grams, scan_column
 
 #: Positions that one cursor walks.
@@ -189,7 +189,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ngram: int = 10, id_col
     slices each is a pass of its own, and the passes' small rows meet by id and text hash.
     """
     source = picked(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
-    passes = [source.mapInArrow(_search_with(docs.sparkSession.sparkContext.broadcast(Searcher(items, ngram))), OUTPUT) for items in _slices(benchmark, item_col, item_text_col)]
+    passes = [source.mapInArrow(lean(_search_with(docs.sparkSession.sparkContext.broadcast(Searcher(items, ngram)))), OUTPUT) for items in _slices(benchmark, item_col, item_text_col)]
     if len(passes) == 1:
         return passes[0].drop("key")
     met = passes[0]
@@ -215,7 +215,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, ngram: int = 10, te
             for b in batches:
                 yield b.filter(pa.array(~contaminated(b.column(text_col), shared.value), pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(lean(keep), docs.schema)
     return docs
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .base import LAST_ID, cut, freed, partitions, picked, ship, unused
+from .base import LAST_ID, cut, freed, lean, partitions, picked, ship, unused
 from .components import breadth_first, connected, spanning
 from .minhash import by_sets
 from .words import mix, pieces
@@ -236,7 +236,7 @@ def _occurrences(docs: DataFrame, wanted, listed) -> DataFrame:
             text[shown], signature[shown] = some, [x.tobytes() for x in signed(some).astype(np.uint8)]  # the lowest byte of each minimum
             yield pa.RecordBatch.from_arrays([pa.array(short), pa.array([node[x] for x in lines], pa.binary()), pa.array(ids[row]), pa.array(hashes[row]), pa.array(number), pa.array(text, pa.binary()), pa.array(signature, pa.binary())], _SEEN)
 
-    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(find, "short long, node binary, doc_id long, text_hash long, line int, text binary, signature binary")
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(lean(find), "short long, node binary, doc_id long, text_hash long, line int, text binary, signature binary")
 
 
 _SEEN = ["short", "node", "doc_id", "text_hash", "line", "text", "signature"]
@@ -259,8 +259,8 @@ def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: in
     """(doc_id, text_hash, lines): the numbers of the lines to remove, for documents (doc_id, text) that lose any; null ids as LAST_ID, texts as their xxhash64."""
     send = docs.sparkSession.sparkContext.broadcast
     tasks = partitions(docs.sparkSession)
-    keys = docs.select("text").mapInArrow(_band_rows(tasks * RANGES), "range long, block binary")
-    postings = cut(keys.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(_shared, "key long, short long"))
+    keys = docs.select("text").mapInArrow(lean(_band_rows(tasks * RANGES)), "range long, block binary")
+    postings = cut(keys.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(lean(_shared), "key long, short long"))
     freed(docs.sparkSession)
     lists = postings.where("key is not null")
     wanted, listed = send(bitmap(postings.select("short"))), send(bitmap(lists.select("short")))

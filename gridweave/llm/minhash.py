@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import LAST_ID, cut, picked
+from .base import LAST_ID, cut, lean, picked
 from .components import breadth_first, connected, spanning
 from .words import FOLD, grams, mix, scan_column
 
@@ -127,7 +127,7 @@ def sizes_of(rows: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", list_limit: int = LIST_LIMIT, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """One row for each document: n_shingles, component_id (the smallest id that links reach), kept (is it that id?), text_hash (xxhash64) and first (is it the row with the smallest id and text_hash? one row of a group, or such that repeat id and text, whatever the ids)."""
     docs = picked(docs, id_col, text_col)
-    described = cut(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_described(shingle), "doc_id long, text_hash long, n_shingles long, node binary, signature array<int>"))
+    described = cut(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(lean(_described(shingle)), "doc_id long, text_hash long, n_shingles long, node binary, signature array<int>"))
     classes = described.where("node is not null").groupBy("node").agg(F.first("signature").alias("signature"), F.first("n_shingles").alias("size"), F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("rep"))
     postings = cut(prefix_postings(classes))
     shared = sizes_of(postings)
@@ -157,4 +157,4 @@ def _with_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
             payload = pa.array([s.tobytes() if ok else None for s, ok in zip(sets, right, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("component"), b.column("node"), payload], ["key", "node", "payload"]).filter(pa.array(right, pa.bool_()))
 
-    return rows.select("component", "node", "text").mapInArrow(work, "key binary, node binary, payload binary")
+    return rows.select("component", "node", "text").mapInArrow(lean(work), "key binary, node binary, payload binary")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import cut, partitions, picked
+from .base import cut, lean, partitions, picked, trim
 from .pretokens import Encoder
 from .words import mix
 
@@ -164,6 +164,7 @@ def _tokenised(path: str, kind: str):
                 begin = np.concatenate(([0], ends[:-1]))
                 own = [flat[s:e].tobytes() for s, e in zip(begin.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("row").slice(lo, hi - lo), pa.array(ends - begin), pa.array(own, pa.binary())], ["doc_id", "row", "n", "ids"])
+        encoder.forget()
 
     return work
 
@@ -193,7 +194,7 @@ def _frequencies(kind: str, vocabulary: int):
 
 def statistics(tokens: DataFrame, kind: str, vocabulary: int) -> Statistics:
     total = tokens.agg(F.count("*").alias("n"), F.sum("n").alias("length")).first()
-    t = tokens.mapInArrow(_frequencies(kind, vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # at most a row for each vocabulary entry
+    t = tokens.mapInArrow(lean(_frequencies(kind, vocabulary)), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # at most a row for each vocabulary entry
     df = np.zeros(vocabulary, np.int64)
     df[t.column("term").to_numpy()] = t.column("n").to_numpy()
     df[0] = total.n  # the end of every document
@@ -282,6 +283,8 @@ def _packed(kind: str, window: int, shared):
         begin = (at[doc] + start).tolist()
         wide = flat.astype("<u4")
         out = [wide[s : s + k].tobytes() for s, k in zip(begin, n.tolist(), strict=True)]
+        del wide, flat
+        trim()
         own = pa.array([doc_id[i] for i in order], pa.int64()).take(pa.array(doc))
         return pa.table([own, pa.array(start), pa.array(n), pa.array(out, pa.binary()), pa.array(sizes[doc]), pa.array((key[0].as_py() << 22) + sequence), pa.array(offset)], [x.split()[0] for x in OUTPUT.split(", ")])
 
@@ -292,11 +295,11 @@ def dealt(tokens: DataFrame, corpus: Statistics, kind: str, shard_tokens: int) -
     """The documents (doc_id, ids) with their shard, and about how many shards there are."""
     send = tokens.sparkSession.sparkContext.broadcast  # what goes out has a few numbers for each vocabulary entry
     places = send(drawn(corpus))
-    keys = cut(tokens.mapInArrow(_keyed(kind, places), "first long, second long, n long"))
+    keys = cut(tokens.mapInArrow(lean(_keyed(kind, places)), "first long, second long, n long"))
     sizes = {r["first"]: r.n for r in keys.groupBy("first").agg(F.sum("n").alias("n")).collect()}  # at most a row for each vocabulary entry
     start, parts, shards = starts(sizes, len(corpus.df) + SPARE, shard_tokens)
     dealing = send((start, parts))
-    rows = tokens.mapInArrow(_dealt(kind, places, dealing), "doc_id long, row long, ids binary, cell long")
+    rows = tokens.mapInArrow(lean(_dealt(kind, places, dealing)), "doc_id long, row long, ids binary, cell long")
     cells = keys.mapInArrow(_cells(dealing), "cell long, first long, n long").groupBy("first", "cell").agg(F.sum("n").alias("n"))
     over = cells.where(F.col("n") > 2 * shard_tokens).withColumn("subs", F.ceil(F.col("n") / shard_tokens).cast("long"))
     before = Window.partitionBy("first").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # a row for each divided shard
@@ -317,7 +320,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, id_col: str
     docs = picked(docs, id_col, text_col)
     vocabulary = 1 + max(Encoder.ids_of(tokenizer_path))
     kind = kind_of(vocabulary)
-    tokens = cut(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_tokenised(tokenizer_path, kind), _TOKENS))
+    tokens = cut(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(lean(_tokenised(tokenizer_path, kind)), _TOKENS))
     corpus = statistics(tokens, kind, vocabulary)
     rows, shards = dealt(tokens, corpus, kind, shard_tokens)
     tasks = min(shards, max(partitions(docs.sparkSession), shards // 8))
