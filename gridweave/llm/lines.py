@@ -6,7 +6,7 @@ they are equal. Blank lines stay. Steps:
 
 1. every document's lines get a 64-bit hash of their normal form, which finds lines, and those that matter a 128-bit one, which tells them apart, and, from a signature of
    56 minima over character shingles, 14 band keys of four each; two lines with a similarity of 0.8 share none with a chance of 0.0006;
-2. keys travel in blocks, one for each of very many ranges of keys, and a task sorts a range at a time: keys that two different lines share become lists, lines that come twice are
+2. keys travel in blocks, one for each range of keys, of which a task sorts one at a time: keys that two different lines share become lists, lines that come twice are
    noted. Nothing else goes on (a range above RANGE_BYTES does as it is; what it has too much finds no partner later);
 3. a second scan fetches the occurrences of those lines, and the texts and signatures of the ones in lists; bitmaps of fixed size, filled with hashes of their ids, let few others pass,
    and joins drop those;
@@ -40,7 +40,7 @@ SHINGLE, WHOLE, PERCENT = 6, 20, 80
 BANDS, ROWS, MATCHES = 14, 4, 32
 BITMAP_BITS = 1 << 26
 #: Ranges of keys for each task, and what is sorted at once.
-RANGES, RANGE_BYTES = 64, 64 << 20
+RANGES, RANGE_BYTES = 4, 128 << 20
 #: What one task walks of a list, in signatures, and of a group, in lines or as many times 64 bytes of text.
 LIST_LIMIT, GROUP_LIMIT = 20_000, 4_000
 
