@@ -6,8 +6,7 @@ sent once by each bucket, not once by each document, and no group is larger than
 corpus grows; a message gets smaller then, at worst down to a single entry, which is what a plain shuffle would send.
 
 A bucket is filled by bytes, whatever the ids in it: one repeated or null id, or a range of long texts, makes no larger one (a single longer text does). Buckets
-are made once and kept in the shared checkpoint folder, dealt by their numbers, so that what is lost later is made again from them, and none of the later
-steps moves a text. Within a bucket ids ascend; null ids come last; rows with equal ids are ordered by their text.
+are made once and kept in the shared checkpoint folder, so that what is lost later is made again from them; a step that needs them beside their answers moves them, compressed, once. Within a bucket ids ascend; null ids come last; rows with equal ids are ordered by their text.
 """
 
 from __future__ import annotations
@@ -91,7 +90,7 @@ def unpack_texts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def bucketed(docs: DataFrame, plan: Plan) -> DataFrame:
-    """(bucket, blob): a row for each bucket, dealt by bucket over plan.tasks partitions, kept."""
+    """(bucket, blob): a row for each bucket, kept."""
     most = plan.bytes
 
     def pack(batches):
@@ -118,7 +117,7 @@ def bucketed(docs: DataFrame, plan: Plan) -> DataFrame:
         if ids:
             yield out()
 
-    return cut(docs.mapInArrow(pack, PACKED).repartition(plan.tasks, "bucket"))
+    return cut(docs.mapInArrow(pack, PACKED))
 
 
 def id_column(ids: np.ndarray) -> pa.Array:

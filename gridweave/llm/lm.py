@@ -245,5 +245,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     freed(docs.sparkSession)
     total, vocabulary = (int(x or 0) for x in answers.agg(F.sum("n"), F.sum("v")).first())
     answers = answers.drop("n", "v").repartition(plan.tasks, "bucket")
-    scored = by_bucket.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_score(total, vocabulary), OUTPUT)
+    scored = by_bucket.repartition(plan.tasks, "bucket").groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_score(total, vocabulary), OUTPUT)
     return scored.withColumn("train_tokens", F.lit(total).cast("long"))

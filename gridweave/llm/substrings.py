@@ -264,26 +264,32 @@ def dedup_substrings(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_
     by_bucket = bucketed(docs, plan)
     freed(docs.sparkSession)
     asked = by_bucket.mapInArrow(_ask(plan, k), _ASKED)
-    answers = cut(asked.repartition(plan.shard_tasks, "shard").groupBy("shard").applyInArrow(_answer, _ASKED).repartition(plan.tasks, "bucket"))
+    answers = cut(asked.repartition(plan.shard_tasks, "shard").groupBy("shard").applyInArrow(_answer, _ASKED))
     freed(docs.sparkSession)
-    together = lambda rows: by_bucket.groupBy("bucket").cogroup(rows.repartition(plan.tasks, "bucket").groupBy("bucket"))
+    together = lambda rows: by_bucket.repartition(plan.tasks, "bucket").groupBy("bucket").cogroup(rows.repartition(plan.tasks, "bucket").groupBy("bucket"))
     marked = lambda rows, mark: rows.select("bucket", F.lit(mark).alias("shard"), F.col("path").alias("blob"))
 
+    def kept(rows: DataFrame) -> DataFrame:
+        """cut(), and the shuffles behind it are given up at once: they hold the buckets' texts."""
+        rows = cut(rows)
+        freed(rows.sparkSession)
+        return rows
+
     def verified(paths: DataFrame) -> DataFrame:
         """The paths (path) that hold, each different one verified once."""
         once = paths.groupBy("path").agg(F.first("home").alias("bucket"), F.first("source").alias("source"), F.first("edge").alias("edge"), F.first("n").alias("n"))
         hot = cut(once.groupBy("bucket").agg(F.ceil(F.count("*") / requests).cast("int").alias("copies")).where("copies > 1"))
         if hot.isEmpty():
-            return cut(together(once).applyInArrow(_verify(k), "path binary"))
+            return kept(together(once).applyInArrow(_verify(k), "path binary"))
         copies = by_bucket.join(hot, "bucket", "left").select("bucket", "blob", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"))
         dealt = once.join(hot, "bucket", "left").withColumn("copy", F.pmod(F.xxhash64("path"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
-        return cut(copies.groupBy("bucket", "copy").cogroup(dealt.groupBy("bucket", "copy")).applyInArrow(_verify(k), "path binary"))
+        return kept(copies.groupBy("bucket", "copy").cogroup(dealt.groupBy("bucket", "copy")).applyInArrow(_verify(k), "path binary"))
 
-    paths = cut(together(answers).applyInArrow(_compact(k), _PATHS))
+    paths = kept(together(answers).applyInArrow(_compact(k), _PATHS))
     held = verified(paths)
-    good, failed = paths.join(held, "path", "left_semi"), cut(paths.join(held, "path", "left_anti"))
+    good, failed = paths.join(held, "path", "left_semi"), kept(paths.join(held, "path", "left_anti"))
     known = answers.unionByName(marked(good, -1))
     if not failed.isEmpty():
-        singles = cut(together(answers.unionByName(marked(failed, -2))).applyInArrow(_split(k), _PATHS))
+        singles = kept(together(answers.unionByName(marked(failed, -2))).applyInArrow(_split(k), _PATHS))
         known = known.unionByName(marked(failed, -2)).unionByName(marked(singles.join(verified(singles), "path", "left_semi"), -1))
     return together(known).applyInArrow(_finish(k), OUTPUT)
