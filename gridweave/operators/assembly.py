@@ -44,7 +44,9 @@ def put_together(own: DataFrame, extracted: DataFrame, pairs: list[tuple[str, st
 
 def matches(blocks: DataFrame, extracted: DataFrame) -> DataFrame:
     """Every pair of a document's table block and an extracted table, scored; rank 1 is the best for the block."""
-    pairs = blocks.where("kind = 'table'").select("doc_id", "block_no", F.col("table").alias("m")).join(extracted.select("doc_id", "table_no", F.col("table").alias("e")), "doc_id")
+    # Tables can be far larger than the files that Spark judges a broadcast by, so both sides are shuffled by the document, as the ranking needs it anyway.
+    own = blocks.where("kind = 'table'").select("doc_id", "block_no", F.col("table").alias("m")).hint("merge")
+    pairs = own.join(extracted.select("doc_id", "table_no", F.col("table").alias("e")), "doc_id")
     scored = pairs.select("doc_id", "block_no", "table_no", similarity(F.col("m"), F.col("e")).alias("score"))
     best = Window.partitionBy("doc_id", "block_no").orderBy(F.desc("score"), "table_no")
     return scored.withColumn("rank", F.row_number().over(best))
