@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .base import count_where
+from .base import indexes, let, rest
 from .text import raw_cell, stripped
 
 
 def _numbered(names: Column, first: int) -> Column:
-    """A name's later occurrences get _first, _first+1, ..."""
+    """A name's later occurrences get _first, _first+1, ...; equal names are brought together by sorting."""
 
-    def name(x: Column, i: Column) -> Column:
-        earlier = count_where(F.slice(names, F.lit(1), i), lambda y: y == x)
-        return F.when(earlier == 0, x).otherwise(F.concat(x, F.lit("_"), (earlier + (first - 1)).cast("string")))
+    def number(p: Column) -> Column:
+        new = lambda i: (i == 0) | ~F.get(p, i - 1)["x"].eqNullSafe(F.get(p, i)["x"])
+        starts = F.filter(indexes(F.size(p)), new)
+        runs = let(starts, lambda s: F.zip_with(s, F.concat(rest(s, F.lit(1)), F.array(F.size(p))), lambda lo, hi: indexes(hi - lo)))
+        named = F.zip_with(p, F.flatten(runs), lambda z, k: F.struct(z["i"].alias("i"), F.when(k == 0, z["x"]).otherwise(F.concat(z["x"], F.lit("_"), (k + (first - 1)).cast("string"))).alias("x")))
+        return F.transform(F.sort_array(named), lambda z: z["x"])
 
-    return F.transform(names, name)
+    return let(F.sort_array(F.transform(names, lambda x, i: F.struct(x.alias("x"), i.alias("i")))), number)
 
 
 def parser_names(header: Column) -> Column:

@@ -1,6 +1,11 @@
 """What fails only on larger or odder tables than the smallest ones."""
 
+import time
+
+from pyspark.sql import functions as F
+
 from gridweave.functions.base import TABLE
+from gridweave.functions.names import grid_names, parser_names, response_names
 from gridweave.operators import assembly
 from tests.helpers import table
 
@@ -11,3 +16,22 @@ def test_tables_are_not_broadcast(spark):
     pairs = assembly.matches(blocks, found)
     assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
     assert {(r.table_no, r["rank"]) for r in pairs.collect()} == {(0, 2), (1, 1)}
+
+
+def plainly(names, first):
+    return [x if not (k := names[:i].count(x)) else f"{x}_{k + first - 1}" for i, x in enumerate(names)]
+
+
+def test_names_in_long_headers(spark):
+    own = [f"n{k * k % 17}" for k in range(300)]
+    mixed = ["b", "a", "", "a", "b", "a_1", "a", ""]
+    rows = spark.createDataFrame([(0, own), (1, mixed), (2, []), (3, None), (4, ["a", None, "a", None])], "k int, h array<string>").orderBy("k")
+    for f, blank, first in ((parser_names, "col", 1), (response_names, "Column", 2)):
+        got = [r.x for r in rows.select(f(F.col("h")).alias("x")).collect()]
+        assert got[:3] == [plainly([x or blank for x in h], first) for h in (own, mixed, [])]
+        assert got[3] is None and got[4] == ["a", None, f"a_{first}", None]
+    long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.concat(F.lit("n"), (i % 25).cast("string"))).alias("h"))
+    began = time.perf_counter()
+    got = long.select(grid_names(F.col("h")).alias("x")).first().x
+    assert got[:26] == [f"n{k % 25}" for k in range(1, 26)] + ["n1_2"] and len(set(got)) == 20_000
+    assert time.perf_counter() - began < 15
