@@ -237,9 +237,11 @@ def greedy_assign(spark, sf_dir):
 
 @query("select c_custkey as doc_id, case when n > 0 then 1 else 2 end::bigint as n_tables, case when n > 0 then 'Order' else 'Left' end as first_name from (select c_custkey, count(o_orderkey) as n from customer left join orders on o_custkey = c_custkey group by 1)")
 def leftover_tables(spark, sf_dir):
-    bare = read(spark, sf_dir, "customer").join(read(spark, sf_dir, "orders"), e("o_custkey = c_custkey"), "left_anti").select(F.col("c_custkey").alias("doc_id"), F.lit("Only prose here.").alias("text"))
-    docs = order_markdown(spark, sf_dir).unionByName(bare)
-    orphan = lambda k: table(strings("Left", "Over", "Wide", "Table", "Nobody", "Wants"), F.array(strings("1", f"row {k}", "2", "3", "4", "5")))
+    customers = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id")).distinct()
+    sold = order_markdown(spark, sf_dir).join(customers, "doc_id", "left_semi")
+    docs = sold.unionByName(customers.join(read(spark, sf_dir, "orders"), e("o_custkey = doc_id"), "left_anti").select("doc_id", F.lit("Only prose here.").alias("text")))
+    # Four of six cells with a digit: with five the row would pass for one of column codes and go into the header.
+    orphan = lambda k: table(strings("Left", "Over", "Wide", "Table", "Nobody", "Wants"), F.array(strings("1", f"row {k}", "2", "3", "4", "none")))
     found = docs.select("doc_id", F.posexplode(F.array(orphan(1), orphan(2))).alias("table_no", "table"))
     parts = assembly.documents(markdown.blocks(docs), found, []).select("doc_id", F.filter("parts", lambda b: b["kind"] == "table").alias("t"))
     # Orphans carry codes 1 and 1, so the second goes on with the first only if its header were open; it isn't.

@@ -4,6 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from gridweave.functions.base import TABLE
 from gridweave.functions.names import grid_names, parser_names, response_names
 from gridweave.operators import assembly
@@ -35,3 +36,11 @@ def test_names_in_long_headers(spark):
     got = long.select(grid_names(F.col("h")).alias("x")).first().x
     assert got[:26] == [f"n{k % 25}" for k in range(1, 26)] + ["n1_2"] and len(set(got)) == 20_000
     assert time.perf_counter() - began < 15
+
+
+def test_leftover_tables_keep_their_headers(spark, tmp_path):
+    spark.createDataFrame([(1,), (2,), (2,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = [(10, 1, "O", "1-URGENT"), (11, 7, "F", "5-LOW"), (12, None, "F", "5-LOW")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = __spark_entry__.queries()["leftover_tables"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, rows)) == [(1, 1, "Order"), (2, 2, "Left")]
