@@ -377,3 +377,15 @@ def test_toxicity_without_labels(frame):
     docs = frame([(1, "a b", "en"), (2, None, None)], "doc_id long, text string, lang string")
     net = toxicity.trained(docs, frame([(1, 0), (2, None), (None, 1)], "doc_id long, toxic int"))
     assert {r.score < 0.3 for r in toxicity.score(docs, net).collect()} == {True}
+
+
+def test_toxicity_learns_from_all_labels(frame, monkeypatch):
+    for name in ("MOST_POSITIVE", "MOST_NEGATIVE", "MOST_SAMPLE_BYTES"):  # a bounded sample would see next to nothing
+        monkeypatch.setattr(toxicity, name, 2)
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    rows = [(k, f"some plain words {k % 13} of {'a grumbleworth' if k % 4 == 0 else 'an ordinary'} day", "en") for k in range(480)]
+    labels = frame([(k, int(k % 4 == 0)) for k in range(400)] + [(9999, 1)], "doc_id long, toxic int")
+    nets = [toxicity.trained(frame(rows, "doc_id long, text string, lang string", n), labels) for n in (1, 5)]
+    assert np.array_equal(nets[0].flat(), nets[1].flat()) and nets[0].thresholds == nets[1].thresholds and (nets[0].slope, nets[0].offset) == (nets[1].slope, nets[1].offset)
+    scored = {r.doc_id: r for r in toxicity.score(frame(rows, "doc_id long, text string, lang string"), nets[0]).collect()}
+    assert all((r.score >= 0.3) == r.flagged == (k % 4 == 0) for k, r in scored.items())
