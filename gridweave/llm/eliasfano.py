@@ -3,7 +3,7 @@
 n values below a universe u: the low l = log2(u / n) bits of each, rounded up to bytes, stand in planes; the high parts stand
 in unary, a one for each value and a zero for each step of the high part. Reading needs no copy of the buffer, only a running count for each 512 bits
 of the unary part: the place of a one or zero is found by its block, then its byte. successor() finds, for many values at once, the first element that is not less, by halving the elements
-that share a value's high part.
+that share a value's high part. What is asked in ascending order and stands close together (QUERIES at once, within WINDOW elements) is read in one go from that part of the buffer.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ import numpy as np
 _HEAD = struct.Struct("<QQQ")
 #: Bytes of unary part for each running count, and places looked for at once.
 BLOCK, QUERIES = 64, 1 << 15
+#: Elements read in one go for so many places looked for at once.
+WINDOW = 1 << 20
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
 _ONES = _BITS.sum(1).astype(np.uint8)
 #: Where in a byte its r-th one stands.
@@ -79,7 +81,24 @@ class EliasFano:
         return np.flatnonzero(np.unpackbits(self.unary))[: self.n] - np.arange(self.n)
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        return self._joined(i, self.place(i) - i if self.width < 8 else None)
+        out = np.empty(len(i), np.uint64)
+        for lo in range(0, len(i), QUERIES):
+            own = i[lo : lo + QUERIES]
+            if _close(own, int(own[0]), int(own[-1])):
+                out[lo : lo + QUERIES] = self.window(int(own[0]), int(own[-1]) + 1)[own - own[0]]
+            else:
+                out[lo : lo + QUERIES] = self._joined(own, self.place(own) - own if self.width < 8 else None)
+        return out
+
+    def window(self, begin: int, end: int) -> np.ndarray:
+        """The elements from begin to end, read from their part of the buffer."""
+        i = np.arange(begin, end)
+        if begin >= end or self.width == 8:
+            return self._joined(i, None if self.width == 8 else i)
+        first, last = self.place(np.array([begin, end - 1])).tolist()
+        bits = np.unpackbits(self.unary[first // 8 : last // 8 + 1])
+        ones = np.flatnonzero(bits[first % 8 :])[: end - begin] + first
+        return self._joined(i, ones - i)
 
     def _joined(self, i: np.ndarray, high: np.ndarray | None) -> np.ndarray:
         x = high.astype(np.uint64) << np.uint64(8 * self.width) if high is not None else np.zeros(len(i), np.uint64)
@@ -92,8 +111,17 @@ class EliasFano:
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Index of the first element >= x (n if there is none), for each x."""
-        if not self.n:
-            return np.zeros(len(x), np.int64)
+        out = np.zeros(len(x), np.int64)
+        for lo in range(0, len(x) if self.n else 0, QUERIES):
+            own = x[lo : lo + QUERIES]
+            begin, end = self._halved(own[[0, -1]]).tolist()
+            if _close(own, begin, end):
+                out[lo : lo + QUERIES] = begin + np.searchsorted(self.window(begin, end), own)
+            else:
+                out[lo : lo + QUERIES] = self._halved(own)
+        return out
+
+    def _halved(self, x: np.ndarray) -> np.ndarray:
         base = np.uint64(self.base)
         under = x < base
         rel = np.where(under, np.uint64(0), x - base)
@@ -114,3 +142,8 @@ class EliasFano:
             end[open_[~less]] = middle[~less]
             open_ = open_[at[open_] < end[open_]]
         return at
+
+
+def _close(asked: np.ndarray, begin: int, end: int) -> bool:
+    """Is what is asked in ascending order, and is reading all elements between less work than looking for each?"""
+    return 0 <= end - begin <= min(WINDOW, 64 * len(asked)) and bool((asked[1:] >= asked[:-1]).all())

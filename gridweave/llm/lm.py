@@ -41,6 +41,8 @@ DISCOUNT = 0.75
 STEPS, LEVELS = 4096.0, 65535
 END, START = np.uint64(0xE5D0_0000_0000_0001), np.uint64(0x57A2_7000_0000_0001)
 _PAIR = np.uint64(32)
+#: Words and pairs that a shard looks for at once.
+ANSWERED = 1 << 20
 
 OUTPUT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 _MESSAGE = "bucket long, shard int, blob binary"
@@ -206,15 +208,37 @@ def _answer(table: pa.Table) -> pa.Table:
     return _rows(rows, [pa.array([total * f for f in first], pa.int64()), pa.array([kinds * f for f in first], pa.int64())])
 
 
+def _together(sizes: list[int]) -> list[tuple[int, int]]:
+    """(first message, end) of messages that are answered together: ANSWERED entries at most, or a single message."""
+    out, lo, n = [], 0, 0
+    for k, size in enumerate(sizes):
+        if k > lo and n + size > ANSWERED:
+            out.append((lo, k))
+            lo, n = k, 0
+        n += size
+    return [*out, (lo, len(sizes))]
+
+
 def _answers(trie: Trie, shard: int, buckets: list[int], asked: list) -> list[tuple]:
+    """Many messages' questions go through the trie in one ascending order, so that it is read part by part, however few each message has."""
     rows = []
-    for b, (words, _, pairs, _) in zip(buckets, asked, strict=True):
-        place = trie.find(words)
+    for lo, hi in _together([len(a[0]) + len(a[2]) for a in asked]):
+        own = asked[lo:hi]
+        words, pairs = np.concatenate([a[0] for a in own]), np.concatenate([a[2] for a in own])
+        first, first_pair = (np.cumsum([0] + [len(a[k]) for a in own]) for k in (0, 2))
+        order = np.argsort(words, kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = trie.find(words[order])
         known = place >= 0
-        n = np.where(known, trie.counts[place] if len(trie.counts) else 0, 0)
+        n = np.where(known, trie.counts[place] if len(trie.counts) else 0, 0).astype(np.int64)
         weight = np.where(known, trie.weights[place] if len(trie.weights) else 0, 0).astype(np.uint16)
-        q = trie.pair(place[(pairs >> _PAIR).astype(np.int64)], (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-        rows.append((b, shard, squeeze(n.astype(np.int64), weight, q)))
+        context, short = place[np.repeat(first[:-1], np.diff(first_pair)) + (pairs >> _PAIR).astype(np.int64)], (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        order = np.argsort((context + 1).astype(np.uint64) << _PAIR | short.astype(np.uint64), kind="stable")
+        q = np.empty(len(pairs), np.uint16)
+        q[order] = trie.pair(context[order], short[order])
+        for k, b in enumerate(buckets[lo:hi]):
+            w, p = slice(first[k], first[k + 1]), slice(first_pair[k], first_pair[k + 1])
+            rows.append((b, shard, squeeze(n[w], weight[w], q[p])))
     return rows
 
 

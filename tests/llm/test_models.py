@@ -389,3 +389,42 @@ def test_toxicity_learns_from_all_labels(frame, monkeypatch):
     assert np.array_equal(nets[0].flat(), nets[1].flat()) and nets[0].thresholds == nets[1].thresholds and (nets[0].slope, nets[0].offset) == (nets[1].slope, nets[1].offset)
     scored = {r.doc_id: r for r in toxicity.score(frame(rows, "doc_id long, text string, lang string"), nets[0]).collect()}
     assert all((r.score >= 0.3) == r.flagged == (k % 4 == 0) for k, r in scored.items())
+
+
+def test_elias_fano_reads_what_stands_together_in_one_go(monkeypatch):
+    r = np.random.default_rng(2)
+    for n, top, queries in ((70_000, 2**62, 1 << 15), (3000, 40, 50), (2000, 2**20, 64)):
+        x = np.sort(r.integers(0, top, n).astype(np.uint64))
+        e = eliasfano.EliasFano(eliasfano.encode(x))
+        monkeypatch.setattr(eliasfano, "QUERIES", queries)
+        single = []
+        monkeypatch.setattr(e, "_halved", lambda q, f=e._halved: single.append(len(q)) or f(q))
+        q = np.sort(r.integers(0, top + 2, n).astype(np.uint64))
+        at = e.successor(q)
+        assert (at == np.searchsorted(x, q)).all() and (e.get(np.minimum(at, n - 1)) == x[np.minimum(at, n - 1)]).all()
+        assert sum(single) <= 2 * -(-n // queries)  # only the ends are looked for one by one
+        monkeypatch.setattr(eliasfano, "WINDOW", 7)
+        assert (e.successor(q[::9]) == np.searchsorted(x, q[::9])).all() and (e.get(np.arange(0, n, 11)) == x[::11]).all()
+        monkeypatch.setattr(eliasfano, "WINDOW", 1 << 20)
+
+
+def test_messages_are_answered_together(monkeypatch):
+    r, asked = np.random.default_rng(3), []
+    words = np.unique(r.integers(1, 2**62, 400).astype(np.uint64))
+    context = np.repeat(np.arange(len(words)), 3)
+    short = np.sort(r.integers(0, 2**32, (len(words), 3)), axis=1).ravel()
+    trie = lm.Trie.build(words, np.arange(len(words)) + 1, context, short, np.full(len(context), 2))
+    for k in range(300):  # few words each, some of them unknown
+        own = np.unique(np.concatenate((r.choice(words, 2), r.integers(1, 2**62, 1).astype(np.uint64))))
+        code = [i << 32 | int(x) for i, w in enumerate(own) for x in sorted({int(y) for y in short[context == np.searchsorted(words, w)][:2]} | {7})]
+        asked.append((own, None, np.array(code, np.uint64), None))
+    calls = []
+    monkeypatch.setattr(trie, "find", lambda x, f=trie.find: calls.append(len(x)) or f(x))
+    whole = lm._answers(trie, 5, list(range(300)), asked)
+    assert len(calls) == 1
+    monkeypatch.setattr(lm, "ANSWERED", 1)
+    assert lm._answers(trie, 5, list(range(300)), asked) == whole and len(calls) == 301
+    for (own, _, code, _), (_, _, blob) in zip(asked, whole, strict=True):
+        n, _, q = lm.expand(blob, np.int64, np.uint16, np.uint16)
+        assert n.tolist() == [int(np.searchsorted(words, w)) + 1 if w in words else 0 for w in own]
+        assert [x < lm.LEVELS for x in q.tolist()] == [own[c >> 32] in words and c & 0xFFFFFFFF != 7 for c in code.tolist()]
