@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import re
 import tempfile
 from collections.abc import Callable, Iterator
@@ -41,7 +42,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def freed(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete shuffles and checkpoints that nothing refers to any more; it looks when the driver's JVM collects garbage, which a mostly idle driver does too seldom."""
+    """Lets Spark's cleaner delete shuffles and checkpoints that nothing refers to any more; it looks when the driver's JVM collects garbage, which a mostly idle driver does too seldom. Python's own garbage may refer to them too."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
