@@ -1,8 +1,10 @@
 """Packing, sharding, scoring and classifiers: exact round trips, laws and held-out quality."""
 
+import gc
 import math
 import random
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +16,7 @@ from tokenizers import Tokenizer
 
 from gridweave.llm import eliasfano, lm, packing, secretscan, shards, toxicity
 from gridweave.llm import pretokens
+from gridweave.llm.base import freed
 from gridweave.llm.pretokens import Encoder
 from tests.llm import brute
 
@@ -428,3 +431,18 @@ def test_messages_are_answered_together(monkeypatch):
         n, _, q = lm.expand(blob, np.int64, np.uint16, np.uint16)
         assert n.tolist() == [int(np.searchsorted(words, w)) + 1 if w in words else 0 for w in own]
         assert [x < lm.LEVELS for x in q.tolist()] == [own[c >> 32] in words and c & 0xFFFFFFFF != 7 for c in code.tolist()]
+
+
+def test_freed_collects_python_garbage(spark):
+    class Holder:
+        pass
+
+    one = Holder()
+    one.own, seen = one, weakref.ref(one)
+    gc.disable()
+    try:
+        del one
+        freed(spark)
+        assert seen() is None
+    finally:
+        gc.enable()
