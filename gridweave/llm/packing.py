@@ -38,6 +38,8 @@ K1, B = 1.5, 0.75
 PIECE_CHARS, PIECE_TOKENS = 1 << 20, 1 << 20
 #: Rows of three numbers up to which the table of divided shards is broadcast; a larger one is joined by a shuffle.
 MOST_BROADCAST = 100_000
+#: A term in more than one of so many of an index's documents is a row of its matrix; an index shrinks when fewer than this share of its documents have no place yet.
+DENSE, SHRINK = 8, 0.75
 #: First keys for documents that have no term with a weight.
 SPARE = 64
 
@@ -61,36 +63,85 @@ def idf_of(n: int, df: np.ndarray) -> np.ndarray:
     return np.maximum(0, np.log((n - df + 0.5) / (df + 0.5)))
 
 
+def _key(major: np.ndarray, minor: np.ndarray, minors: int) -> np.ndarray:
+    """major * minors + minor, in as few bits as it needs: they are sorted."""
+    kind = np.uint32 if (int(major.max(initial=0)) + 1) * minors <= 1 << 32 else np.uint64
+    key = major.astype(kind)
+    key *= kind(minors)
+    key += minor.astype(kind)
+    return key
+
+
+def _news(key: np.ndarray) -> np.ndarray:
+    """Where a new value begins among sorted ones."""
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return new
+
+
 class Index:
-    """An inverted index of a shard: postings by term, with BM25 weights, by the corpus's statistics (or else the shard's own)."""
+    """An inverted index of a shard, with BM25 weights, by the corpus's statistics (or else the shard's own).
+
+    Terms in many of its documents are rows of a matrix, the others have postings. Weights are multiples of 2**-24, so that sums are exact in any order and copies of a text have equal scores.
+    """
 
     def __init__(self, terms: np.ndarray, at: np.ndarray, corpus: Statistics | None = None):
         self.n = len(at) - 1
         size = np.diff(at)
-        doc = np.repeat(np.arange(self.n), size)
-        key, tf = np.unique(terms.astype(np.int64) * self.n + doc, return_counts=True)
-        term, doc = np.divmod(key, self.n) if self.n else (key, key)
+        key = _key(terms, np.repeat(np.arange(self.n), size), self.n)
+        key.sort()
+        first = np.flatnonzero(_news(key))
+        tf = np.diff(np.append(first, len(key)))
+        term, doc = (x.astype(np.int64) for x in np.divmod(key[first], key.dtype.type(max(1, self.n))))
         df = np.bincount(term)
         idf = idf_of(self.n, df) if corpus is None else corpus.idf()
         mean = corpus.mean if corpus else size.mean() if self.n else 1.0
         keep = (idf[term] > 0) & (df[term] > 1) if len(df) else np.zeros(0, bool)
-        term, doc, tf = term[keep], doc[keep].astype(np.int32), tf[keep]
-        self.doc = doc
-        self.weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / max(1.0, mean)))).astype(np.float32)
-        begin = np.searchsorted(term, np.arange(len(df) + 1))
-        order = np.argsort(doc, kind="stable")  # by document: its terms' postings
-        self.head, self.count = begin[term[order]], np.diff(begin)[term[order]]
-        self.own = np.searchsorted(doc[order], np.arange(self.n + 1))
+        term, doc, tf = term[keep], doc[keep], tf[keep]
+        weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / max(1.0, mean)))).astype(np.float32)
+        weight = np.rint(weight * np.float64(1 << 24)) / (1 << 24)
+        self.own = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=self.n)))).astype(np.int64)
+        self.terms = term[np.argsort(doc.astype(np.uint16) if self.n <= 1 << 16 else doc, kind="stable")]  # by document
+        self._build(np.arange(self.n), term, doc, weight, len(df))
+
+    def _build(self, docs: np.ndarray, term: np.ndarray, doc: np.ndarray, weight: np.ndarray, terms: int) -> None:
+        """Of postings sorted by term; doc: places in docs."""
+        self.docs, self.term, self.doc, self.weight, self.size = docs, term, doc, weight, terms
+        self.count = np.bincount(term, minlength=terms)
+        self.begin = np.cumsum(self.count) - self.count
+        dense = np.flatnonzero(self.count * DENSE > max(DENSE, len(docs)))
+        self.row = np.full(terms, -1)
+        self.row[dense] = np.arange(len(dense))
+        self.rows = np.zeros((len(dense), len(docs)))
+        own = self.row[term]
+        at = np.flatnonzero(own >= 0)
+        self.rows[own[at], doc[at]] = weight[at]
+
+    def among(self, free: np.ndarray) -> Index:
+        """The index of those of its documents that are free; any document's neighbours can still be asked for."""
+        keep = free[self.docs]
+        at = np.flatnonzero(keep[self.doc])
+        out = object.__new__(Index)
+        out.n, out.own, out.terms = self.n, self.own, self.terms
+        out._build(self.docs[keep], self.term[at], (np.cumsum(keep) - 1)[self.doc[at]], self.weight[at], self.size)
+        return out
 
     def scores(self, seed: int) -> np.ndarray:
-        head, count = self.head[self.own[seed] : self.own[seed + 1]], self.count[self.own[seed] : self.own[seed + 1]]
-        at = np.repeat(head - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        return np.bincount(self.doc[at], self.weight[at], self.n)
+        terms = self.terms[self.own[seed] : self.own[seed + 1]]
+        row = self.row[terms]
+        rare = terms[row < 0]
+        head, count = self.begin[rare], self.count[rare]
+        end = np.cumsum(count)
+        at = np.repeat(head - (end - count), count)
+        at += np.arange(len(at))
+        out = np.zeros(self.n)
+        out[self.docs] = np.bincount(self.doc[at], self.weight[at], len(self.docs)) + self.rows[row[row >= 0]].sum(0)
+        return out
 
 
 def laid_out(sizes: np.ndarray, index: Index, window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of each piece."""
-    free = np.ones(len(sizes), bool)
+    free, left = np.ones(len(sizes), bool), len(sizes)
     out: list[tuple[int, int, int, int, int]] = []
     sequence, used, cursor = 0, 0, 0
     seed, scores = -1, None
@@ -98,6 +149,8 @@ def laid_out(sizes: np.ndarray, index: Index, window: int = WINDOW) -> list[tupl
         doc = -1
         if used and seed >= 0:
             if scores is None:
+                if left < SHRINK * len(index.docs):
+                    index = index.among(free)
                 scores = np.where(free, index.scores(seed), 0)
             best = int(scores.argmax())  # the first of equals
             if scores[best] > 0:
@@ -107,6 +160,7 @@ def laid_out(sizes: np.ndarray, index: Index, window: int = WINDOW) -> list[tupl
                 cursor += 1
             doc = cursor
         free[doc] = False
+        left -= 1
         if scores is not None:
             scores[doc] = 0
         start = 0
@@ -184,8 +238,9 @@ def _frequencies(kind: str, vocabulary: int):
     def work(batches):
         df = np.zeros(vocabulary, np.int64)
         for _, ids, at in _parts(batches, kind):
-            doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-            df += np.bincount(np.unique(ids.astype(np.int64) * len(at) + doc) // len(at), minlength=vocabulary)
+            key = _key(ids, np.repeat(np.arange(len(at) - 1), np.diff(at)), len(at))
+            key.sort()
+            df += np.bincount((key[_news(key)] // key.dtype.type(len(at))).astype(np.int64), minlength=vocabulary)
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], ["term", "n"])
 

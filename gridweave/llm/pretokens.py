@@ -3,7 +3,7 @@
 The pre-tokens are those of the pattern
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 found from the runs of letters, numbers, white space and others in the text's code points. A pre-token's ids don't depend on its
-neighbours, so only the distinct ones are encoded, and a bounded cache keeps what has been seen, by the bytes. Where the file's merges are in the order of their ids, as in byte-level
+neighbours, so only the distinct ones are encoded, and a table of fixed size keeps what has been seen, by the bytes. Where the file's merges are in the order of their ids, as in byte-level
 vocabularies of this kind, single pre-tokens are encoded by rank, which gives the tokenizer's own ids; otherwise by the tokenizer. Texts with characters from
 U+0530 on (whose class may differ between Unicode versions) or with a special token's string go to the tokenizer whole.
 """
@@ -23,7 +23,8 @@ from .words import mix
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 FAST_BELOW = 0x530
 SPECIAL = "<|endoftext|>"
-CACHE = 400_000
+#: Places for pre-tokens that have been seen (a power of two), of at most 16 bytes and so many ids.
+PLACES, MOST_IDS = 1 << 19, 8
 
 
 def _classes(end: int) -> np.ndarray:
@@ -131,14 +132,23 @@ def _edges(data: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.nd
     return words[s + 8] & cut, np.where(e - s > 8, words[e], np.uint64(0))
 
 
+def _key(head: np.ndarray, tail: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    return mix(head ^ mix(tail + (e - s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+
+
 def distinct(data: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One place of each different span, and for each span which it is. Spans are told apart by their bytes, not by a hash."""
     head, tail = _edges(data, s, e)
     size = (e - s).astype(np.uint64)
-    key = mix(head ^ mix(tail + size * np.uint64(0x9E3779B97F4A7C15)))
+    key = _key(head, tail, s, e)
     for k in np.flatnonzero(e - s > 16).tolist():  # few
         key[k] = hash(data[s[k] : e[k]]) & 0xFFFFFFFFFFFFFFFF
-    _, first, which = np.unique(key, return_index=True, return_inverse=True)
+    order = np.argsort(key)  # any one of equals may stand for them, so it needn't be stable
+    ranked = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first, which = order[new], np.empty(len(key), np.int64)
+    which[order] = np.cumsum(new) - 1
     like = first[which]
     same = (head == head[like]) & (tail == tail[like]) & (size == size[like])
     far = np.flatnonzero(e - s > 16)
@@ -153,7 +163,7 @@ def distinct(data: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.
 class Encoder:
     """Encodes texts with a tokenizer file; one for each worker.
 
-    The ids of pre-tokens that it has seen are kept by their bytes, of CACHE pre-tokens at most.
+    The ids of pre-tokens that it has seen are kept with their bytes in one of PLACES places each, where a later one may take their place.
     """
 
     _own: dict[str, Encoder] = {}
@@ -164,8 +174,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.head, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.head = self.tail = self.bytes = self.size = self.ids = None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -198,31 +207,41 @@ class Encoder:
             return [self.piece(t) for t in tokens]
         return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in tokens], add_special_tokens=False)]
 
-    def known(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Where in self.flat the ids of these different pre-tokens begin, and how many they are."""
-        if len(self.place) + len(tokens) > CACHE:
-            self.forget()
-        places = list(map(self.place.get, tokens))
-        if None in places:
-            new = [k for k, x in enumerate(places) if x is None]
-            found = self.pieces([tokens[k] for k in new])
-            for n, k in enumerate(new, len(self.place)):
-                places[k] = self.place[tokens[k]] = n
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            self.head = np.concatenate((self.head, len(self.flat) + np.cumsum(size) - size))
-            self.size = np.concatenate((self.size, size))
-            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))))
-        at = np.array(places, np.int64)
-        return self.head[at], self.size[at]
+    def known(self, data: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of these different pre-tokens, where each one's begin in them, and how many they are."""
+        if self.ids is None:
+            self.head, self.tail, self.bytes, self.size = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.uint8), np.zeros(PLACES, np.uint8)
+            self.ids = np.zeros((PLACES, MOST_IDS), np.uint32)
+        head, tail = _edges(data, s, e)
+        place = (_key(head, tail, s, e) & np.uint64(PLACES - 1)).astype(np.int64)
+        seen = (self.head[place] == head) & (self.tail[place] == tail) & (self.bytes[place] == e - s)  # no pre-token is of 0 bytes; of at most 16, these tell all
+        size = self.size[place].astype(np.int64)
+        flat = self.ids[place[seen]][np.arange(MOST_IDS) < size[seen, None]]
+        new = np.flatnonzero(~seen)
+        if len(new):
+            found = self.pieces([data[a:b] for a, b in zip(s[new].tolist(), e[new].tolist(), strict=True)])
+            size[new] = np.fromiter(map(len, found), np.int64, len(found))
+            more = np.fromiter(chain(chain.from_iterable(found), (0,) * MOST_IDS), np.uint32, int(size[new].sum()) + MOST_IDS)
+            keep = (e[new] - s[new] <= 16) & (size[new] <= MOST_IDS)
+            at, one = np.unique(place[new[keep]], return_index=True)  # one for each place
+            one = np.flatnonzero(keep)[one]
+            kept = new[one]
+            self.head[at], self.tail[at], self.bytes[at], self.size[at] = head[kept], tail[kept], e[kept] - s[kept], size[kept]
+            self.ids[at] = more[(np.cumsum(size[new]) - size[new])[one, None] + np.arange(MOST_IDS)]  # what is beyond a pre-token's own isn't looked at
+            flat = np.concatenate((flat, more))
+        begin = np.empty(len(s), np.int64)
+        order = np.concatenate((np.flatnonzero(seen), new))
+        begin[order] = np.cumsum(size[order]) - size[order]
+        return flat, begin, size
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts, and where each text's begin."""
         slow = {i: self.whole(t) for i, t in enumerate(texts) if not t.isascii() and _BEYOND.search(t) or SPECIAL in t}
         data, s, e, at = split(["" if i in slow else t for i, t in enumerate(texts)])
         first, which = distinct(data, s, e)
-        head, size = self.known([data[a:b] for a, b in zip(s[first].tolist(), e[first].tolist(), strict=True)])
+        flat, head, size = self.known(data, s[first], e[first])
         n = size[which]
-        ids = self.flat[np.repeat(head[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        ids = flat[np.repeat(head[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         id_at = np.concatenate(([0], np.cumsum(n)))[at]
         if slow:  # put the other texts' ids in their places
             pieces = [slow.get(i, ids[id_at[i] : id_at[i + 1]]) for i in range(len(texts))]

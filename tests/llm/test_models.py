@@ -47,6 +47,19 @@ def test_pretokens_are_told_apart_by_their_bytes(tokenizer, monkeypatch):
         assert [ids[at[i] : at[i + 1]].tolist() for i in range(2)] == want
 
 
+def test_pretokens_that_share_a_place(tokenizer, monkeypatch):
+    monkeypatch.setattr(pretokens, "PLACES", 4)
+    r, encoder = random.Random(6), Encoder(PATH)
+    for _ in range(30):
+        texts = [" ".join("".join(r.choice("abcé") * r.choice([1, 1, 9]) for _ in range(r.randint(1, 9))) for _ in range(r.randint(0, 9))) for _ in range(20)]
+        ids, at = encoder.encode(texts)
+        assert [ids[at[i] : at[i + 1]].tolist() for i in range(20)] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    seen = []
+    encoder.piece, own = lambda t: seen.append(t) or own(t), encoder.piece
+    encoder.encode(["a"]), encoder.encode(["a"])
+    assert len(seen) <= 1 and len(encoder.ids) == 4
+
+
 @pytest.mark.parametrize("size", [packing.SHARD_TOKENS, 5_000])
 def test_packing_round_trip(frame, documents, odd, tokenizer, size):
     for rows in (documents, odd, []):
@@ -139,6 +152,25 @@ def test_windows_follow_the_order_of_neighbours():
     assert list(dict.fromkeys(p[0] for p in got)) == order
 
 
+def test_index_of_free_documents():
+    r = random.Random(9)
+    docs = [[min(r.choice(range(400)), r.choice(range(400))) for _ in range(r.randint(1, 200))] for _ in range(100)]
+    docs += docs[:20]  # copies
+    at = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
+    index, free = packing.Index(np.array([t for d in docs for t in d]), at), np.ones(120, bool)
+    assert 0 < len(index.rows) < len(np.unique(index.term))  # both kinds of terms
+    less, last = index, len(index.doc) + 1
+    while free.any():
+        assert len(less.doc) < last and less.rows.shape[1] == free.sum()  # used documents cost nothing any more
+        last = len(less.doc)
+        for q in range(120):
+            s = index.scores(q)
+            assert (s[:20] == s[100:]).all() and (less.scores(q) == np.where(free, s, 0)).all()
+        free[r.sample(np.flatnonzero(free).tolist(), min(30, int(free.sum())))] = False
+        less = less.among(free)
+    assert not less.scores(0).any()
+
+
 def test_statistics_cover_the_corpus(frame, tokenizer):
     rows = [(k, f"common word{k % 5} own{k}") for k in range(40)] + [(90, None), (91, "")]
     kind, size = "<u2", 1 + max(Encoder.ids_of(PATH))
