@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .base import cut, freed, lean, partitions
 
-#: links(payloads) -> index pairs; match(payloads, payload) -> booleans
+#: links(payloads) -> index pairs; links.two(payloads, payloads), if it has that, -> which of the one match those of the other: units of two rows are compared together
 Linker = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
@@ -46,6 +46,8 @@ def breadth_first(n: int, match: Callable[[int, np.ndarray], np.ndarray]) -> tup
 def _linked(units: DataFrame, keys: list[str], linker: Linker) -> DataFrame:
     """Links (a, b) of nodes, found in each unit."""
 
+    two, pairs = getattr(linker, "two", None), []
+
     def of(node: list[bytes], payload: list[bytes]):
         first: dict[bytes, int] = {}
         for k, x in enumerate(node):
@@ -54,10 +56,17 @@ def _linked(units: DataFrame, keys: list[str], linker: Linker) -> DataFrame:
             return []
         if len(first) < len(node):  # a row that came twice
             node, payload = list(first), [payload[k] for k in first.values()]
+        if two and len(node) == 2:
+            pairs.append((*node, *payload))
+            return []
         i, j = linker(payload)
         return [(node[x], node[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)]
 
     def rows(links) -> pa.RecordBatch:
+        if pairs:
+            a, b, left, right = zip(*pairs, strict=True)
+            links = links + [(a[k], b[k]) for k in np.flatnonzero(two(left, right)).tolist()]
+            pairs.clear()
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.binary()), pa.array([y for _, y in links], pa.binary())], ["a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]):
@@ -69,7 +78,7 @@ def _linked(units: DataFrame, keys: list[str], linker: Linker) -> DataFrame:
                     last, node, payload = key, [], []
                 node.append(n)
                 payload.append(p)
-            if links:
+            if links or pairs:
                 yield rows(links)
                 links = []
         yield rows(of(node, payload))
@@ -87,10 +96,12 @@ def spanning(rows: DataFrame, sizes: DataFrame, linker: Linker, limit: int) -> D
     leader = rows.join(large, "key").groupBy("key").agg(F.min_by(F.struct("node", "payload"), "node").alias("leader"))
     pairs = rows.join(leader, "key").select("key", "node", "payload", F.col("leader.node").alias("l"), F.col("leader.payload").alias("lp"))
 
+    two = getattr(linker, "two", None)
+
     def compare(batches):
         for b in batches:
             node, payload, lead = (b.column(k).to_pylist() for k in ("node", "payload", "lp"))
-            hit = [len(linker([x, y])[0]) > 0 for x, y in zip(payload, lead, strict=True)]
+            hit = two(payload, lead) if two and node else [len(linker([x, y])[0]) > 0 for x, y in zip(payload, lead, strict=True)]
             same = [x == y for x, y in zip(node, b.column("l").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("key", "node", "payload", "l")), pa.array(hit, pa.bool_()), pa.array(same, pa.bool_())], ["key", "node", "payload", "l", "hit", "same"])
 

@@ -34,7 +34,7 @@ from pyspark.sql.types import StringType
 from .base import LAST_ID, cut, freed, lean, partitions, picked, ship, unused
 from .components import breadth_first, connected, spanning
 from .minhash import by_sets
-from .words import mix, pieces
+from .words import mix, pieces, utf8
 
 SHINGLE, WHOLE, PERCENT = 6, 20, 80
 BANDS, ROWS, MATCHES = 14, 4, 32
@@ -44,8 +44,7 @@ RANGES, RANGE_BYTES = 4, 128 << 20
 #: What one task walks of a list, in signatures, and of a group, in lines or as many times 64 bytes of text.
 LIST_LIMIT, GROUP_LIMIT = 20_000, 4_000
 
-_A, _B = (mix(np.arange(k, k + BANDS * ROWS, dtype=np.uint64)).astype(np.uint32) for k in (1, 1001))
-_A |= np.uint32(1)
+_A = mix(np.arange(1, 1 + BANDS * ROWS, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 
 
 def normal_lines(text: bytes) -> list[bytes]:
@@ -53,8 +52,22 @@ def normal_lines(text: bytes) -> list[bytes]:
     return [b" ".join(line.split()) for line in text.lower().split(b"\n")]  # bytes.lower() changes A-Z only
 
 
+def lines_of(column) -> list[list[bytes]]:
+    """normal_lines() of each text (null: empty); most texts have only single spaces and need nothing but to be cut."""
+    data, at = utf8(column)
+    line, gap = data == 0x0A, data <= 0x20
+    odd = (data < 0x20) & ~line
+    odd[1:] |= gap[1:] & gap[:-1] & ~(line[1:] & line[:-1])
+    some = np.diff(at) > 0
+    for edge in (at[:-1][some], at[1:][some] - 1):
+        odd[edge] |= data[edge] == 0x20
+    other = np.zeros(len(at) - 1, bool)
+    other[np.searchsorted(at, np.flatnonzero(odd), "right") - 1] = True
+    return [normal_lines(t) if x else t.lower().split(b"\n") for t, x in zip(_texts(column), other.tolist(), strict=True)]
+
+
 def fuzzy(own: bytes) -> bool:
-    return len(own) >= WHOLE and (own.isascii() or len(own.decode()) >= WHOLE)
+    return len(own) >= 4 * WHOLE or len(own) >= WHOLE and (own.isascii() or len(own.decode()) >= WHOLE)
 
 
 def node_of(own: bytes) -> bytes:
@@ -64,18 +77,18 @@ def node_of(own: bytes) -> bytes:
 def _runs(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit value of the SHINGLE characters from each character on; where lines begin (and the last ends)."""
     joined = b"".join(lines)
-    if joined.isascii():
-        code, size = np.frombuffer(joined, np.uint8), [len(x) for x in lines]
-    else:
-        texts = [x.decode() for x in lines]
-        code, size = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), [len(x) for x in texts]
-    n = max(0, len(code) - SHINGLE + 1)
+    code, begin = np.frombuffer(joined, np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in lines]))).astype(np.int64)
+    if not joined.isascii():
+        begin = np.concatenate(([0], np.cumsum(np.add.reduceat((code & 0xC0) != 0x80, begin[:-1], dtype=np.int64))))  # no line is empty
+        code = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
+    half, n = SHINGLE // 2, max(0, len(code) - SHINGLE + 1)
     code = code.astype(np.uint64)
-    value = code[:n].copy()
-    for j in range(1, SHINGLE):
-        value *= np.uint64(0x9E3779B97F4A7C15)
-        value += code[j : j + n]
-    return value, np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+    three = code[: max(0, len(code) - half + 1)].copy()  # a character has 21 bits
+    for j in range(1, half):
+        three |= code[j : j + len(three)] << np.uint64(21 * j)
+    value = three[:n] * np.uint64(0x9E3779B97F4A7C15)
+    value += three[half : half + n]
+    return value, begin
 
 
 def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
@@ -90,18 +103,20 @@ def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
 
 
 def signed(lines: list[bytes]) -> np.ndarray:
-    """A signature for each line (fuzzy ones only): minima of affine hash functions over the hashed shingles; repeated shingles don't change them."""
+    """A signature for each line (fuzzy ones only): minima of multiplicative hash functions over the hashed shingles; repeated shingles don't change them."""
     out = np.empty((len(lines), BANDS * ROWS), np.uint32)
     for lo, hi in pieces(np.concatenate(([0], np.cumsum([len(x) for x in lines]))).astype(np.int64), 1 << 16):
         value, begin = _runs(lines[lo:hi])
-        h = (mix(value) >> np.uint64(32)).astype(np.uint32)
-        x = np.empty(len(h) + 1, np.uint32)
-        x[-1] = 0
-        at = np.stack([begin[:-1], begin[1:] - SHINGLE + 1], 1).ravel()
+        inside = np.ones(len(value), bool)
+        inside[begin[1:-1, None] - np.arange(1, SHINGLE)] = False  # runs over the end of a line
+        h = (mix(value[inside]) >> np.uint64(32)).astype(np.uint32)
+        h |= np.uint32(1)  # no multiple of it is 0
+        at = begin[:-1] - (SHINGLE - 1) * np.arange(hi - lo)
+        x, least = np.empty_like(h), np.empty((BANDS * ROWS, hi - lo), np.uint32)
         for c in range(BANDS * ROWS):
-            np.multiply(h, _A[c], out=x[:-1])
-            x[:-1] += _B[c]
-            out[lo:hi, c] = np.minimum.reduceat(x, at)[::2]
+            np.multiply(h, _A[c], out=x)
+            np.minimum.reduceat(x, at, out=least[c])
+        out[lo:hi] = least.T
     return out
 
 
@@ -131,8 +146,8 @@ def _band_rows(ranges: int):
     def work(batches):
         for b in batches:
             count: Counter[bytes] = Counter()
-            for text in _texts(b.column("text")):
-                count.update(normal_lines(text))
+            for own in lines_of(b.column("text")):
+                count.update(own)
             count.pop(b"", None)
             rows, lines = [], [x for x in count if fuzzy(x)]
             for lo in range(0, len(lines), 4096):
@@ -145,7 +160,7 @@ def _band_rows(ranges: int):
             rows.append(np.stack([(mix(short.view(np.uint64)) | np.uint64(1)).view(np.int64), short], 1))
             rows = np.concatenate(rows)
             part = ((rows[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
+            order = np.argsort(part.astype(np.uint16) if ranges <= 1 << 16 else part, kind="stable")
             part, raw = part[order], rows[order].tobytes()
             begin = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
             ends = np.append(begin[1:], len(part)) if len(part) else begin
@@ -156,6 +171,11 @@ def _band_rows(ranges: int):
 
 def _wanted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows (key, short) whose keys have several shorts, each once; shorts of rows with odd keys that come twice."""
+    order = np.argsort(rows[:, 0])
+    key = rows[order, 0]
+    same = np.zeros(len(rows) + 1, bool)
+    same[1:-1] = key[1:] == key[:-1]
+    rows = rows[order[same[1:] | same[:-1]]]  # most keys come once
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]).any(1)
@@ -219,8 +239,8 @@ def _occurrences(docs: DataFrame, wanted, listed) -> DataFrame:
         for b in batches:
             ids, hashes = b.column("doc_id").fill_null(LAST_ID).to_numpy(), b.column("text_hash").to_numpy()
             lines, count = [], []
-            for text in _texts(b.column("text")):
-                lines += (own := normal_lines(text))
+            for own in lines_of(b.column("text")):
+                lines += own
                 count.append(len(own))
             short = shorts_of(lines)
             at = np.flatnonzero(in_bitmap(wanted.value, short) & np.fromiter(map(bool, lines), bool, len(lines)))
@@ -245,11 +265,17 @@ _SEEN = ["short", "node", "doc_id", "text_hash", "line", "text", "signature"]
 def by_signature(payloads: list[bytes]):
     """Links of lines whose signatures agree in MATCHES places."""
     s = np.frombuffer(b"".join(payloads), np.uint8).reshape(len(payloads), -1)
-    if len(s) == 2:  # most lists
-        return (np.array([0]), np.array([1])) if (s[0] == s[1]).sum() >= MATCHES else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     return breadth_first(len(s), lambda i, others: (s[others] == s[i]).sum(1) >= MATCHES)
 
 
+def _alike(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    s, t = (np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1) for x in (left, right))
+    return (s == t).sum(1) >= MATCHES
+
+
+by_signature.two = _alike  # most lists
+
+
 def by_text(payloads: list[bytes]):
     """Links of lines by their full sets."""
     return by_sets([s.tobytes() for s in shingle_sets(payloads)], PERCENT)
@@ -268,9 +294,11 @@ def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: in
     wanted.destroy(), listed.destroy()
     freed(docs.sparkSession)
     shown = seen.where("text is not null")
-    rows = lists.join(shown.select("short", "node", F.col("signature").alias("payload")).dropDuplicates(["node"]), "short").select("key", "node", "payload")
+    # Distinct rows need no order, unlike first ones of each node, and what they are dealt by serves the join.
+    signatures = shown.select("short", "node", F.col("signature").alias("payload")).repartition("short").distinct()
+    rows = lists.join(signatures, "short").select("key", "node", "payload")
     groups = connected(spanning(rows, lists.groupBy("key").agg(F.count("*").alias("n")), by_signature, list_limit))
-    members = cut(groups.join(shown.select("node", F.col("text").alias("payload")).dropDuplicates(["node"]), "node").select(F.col("component").alias("key"), "node", "payload"))
+    members = cut(shown.select("node", F.col("text").alias("payload")).join(groups, "node").select(F.col("component").alias("key"), "node", "payload").distinct())
     sizes = members.groupBy("key").agg(F.greatest(F.count("*"), F.sum(F.octet_length("payload")) / 64).cast("long").alias("n")).where("n > 1")
     components = connected(spanning(members, sizes, by_text, group_limit))
     at = cut(seen.select("node", F.struct("doc_id", "text_hash", "line").alias("at")).join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "at"))

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridweave.llm import decontaminate, lines, minhash, quality, queries, substrings, words
+from gridweave.llm import components, decontaminate, lines, minhash, quality, queries, substrings, words
 from tests.llm import brute
 
 PASSAGE = " ".join(f"shared{k}" for k in range(60))
@@ -132,6 +132,50 @@ def test_ranges_above_the_limit_pass_whole(monkeypatch):
     assert sorted((x["key"], x["short"]) for x in every) == sorted(map(tuple, rows.tolist()))
 
 
+def test_lines_are_cut_in_their_normal_form(monkeypatch):
+    r, plain = random.Random(4), ["A b\n\nC d", "one line", "", "\n", "Ünd noch eine\nzeile"]
+    odd = [" x", "x ", "a  b", "a\tb", "a \nb", "a\n b", "a\r\nb", "\x0b", " ", "a\x01 b", "a\xa0 b"]
+    odd += ["".join(r.choice("Ab \n\t\u2003é") for _ in range(r.randint(0, 12))) for _ in range(2000)]
+    texts = [x for k in range(len(odd)) for x in (odd[k], plain[k % 5], None)]
+    want = [lines.normal_lines((t or "").encode()) for t in texts]
+    assert lines.lines_of(pa.array(texts)) == want == lines.lines_of(pa.array(["a  b", *texts]))[1:] and lines.lines_of(pa.array([], pa.string())) == []
+    monkeypatch.setattr(lines, "normal_lines", None)  # texts with single spaces only don't need it
+    assert lines.lines_of(pa.array(plain)) == [t.encode().lower().split(b"\n") for t in plain]
+
+
+def test_signatures_are_of_single_lines():
+    r = random.Random(5)
+    own = ["".join(r.choice("abc é日") for _ in range(r.randint(20, 90))).encode() for _ in range(200)] + [bytes(r.choices(b"abcd ", k=r.randint(20, 90))) for _ in range(200)]
+    r.shuffle(own)
+    assert (lines.signed(own) == np.concatenate([lines.signed([x]) for x in own])).all()
+    want = [{x.decode()[p : p + 6] for p in range(len(x.decode()) - 5)} for x in own]
+    found = lines.shingle_sets(own)
+    assert [len(x) for x in found] == [len(x) for x in want]
+    assert all(len(np.intersect1d(found[k], found[k + 1])) == len(want[k] & want[k + 1]) for k in range(399))
+
+
+def test_units_of_two_are_compared_together(spark):
+    r = np.random.default_rng(6)
+    rows = []
+    for key in range(300):
+        s = r.integers(0, 256, 56).astype(np.uint8)
+        for k in range(int(r.integers(1, 5))):
+            t = s.copy()
+            t[: r.integers(0, 48)] += np.uint8(k)
+            rows.append((key, bytearray(b"%d-%d" % (key, k)), bytearray(t.tobytes())))
+    rows += rows[:50]  # repeated ones
+
+    def one(payloads):
+        assert len(payloads) > 2
+        return lines.by_signature(payloads)
+
+    one.two = lines.by_signature.two
+    df, schema = spark.createDataFrame(rows, "key long, node binary, payload binary"), ["key"]
+    got = components._linked(df, schema, one).collect()
+    want = components._linked(df, schema, lambda p: lines.by_signature(p)).collect()
+    assert sorted((bytes(x.a), bytes(x.b)) for x in got) == sorted((bytes(x.a), bytes(x.b)) for x in want) and len(got) > 100
+
+
 def test_lines_of_repeated_rows(frame):
     text = "One line that is long enough to be compared.\nAnother line that is just as long as it has to be."
     got = lines.drop_lines(frame([(1, text), (1, text), (2, text), (None, text)])).collect()
