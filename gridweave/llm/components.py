@@ -44,18 +44,17 @@ def breadth_first(n: int, match: Callable[[int, np.ndarray], np.ndarray]) -> tup
 
 
 def _linked(units: DataFrame, keys: list[str], linker: Linker) -> DataFrame:
-    """Links (a, b) of nodes, found in each unit."""
+    """Links (a, b) of nodes (binary or long), found in each unit."""
+    kind = _kind(units, "node")
+    arrow = pa.int64() if kind == "bigint" else pa.binary()
 
     two, pairs = getattr(linker, "two", None), []
 
-    def of(node: list[bytes], payload: list[bytes]):
-        first: dict[bytes, int] = {}
-        for k, x in enumerate(node):
-            first.setdefault(x, k)
-        if len(first) < 2:
+    def of(node: list, payload: list[bytes]):
+        if len(set(node)) < len(node):  # a row that came twice
+            node, payload = map(list, zip(*dict.fromkeys(zip(node, payload, strict=True)), strict=True))
+        if len(node) < 2:
             return []
-        if len(first) < len(node):  # a row that came twice
-            node, payload = list(first), [payload[k] for k in first.values()]
         if two and len(node) == 2:
             pairs.append((*node, *payload))
             return []
@@ -67,7 +66,7 @@ def _linked(units: DataFrame, keys: list[str], linker: Linker) -> DataFrame:
             a, b, left, right = zip(*pairs, strict=True)
             links = links + [(a[k], b[k]) for k in np.flatnonzero(two(left, right)).tolist()]
             pairs.clear()
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.binary()), pa.array([y for _, y in links], pa.binary())], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], arrow), pa.array([y for _, y in links], arrow)], ["a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]):
         last, node, payload, links = None, [], [], []
@@ -84,7 +83,7 @@ def _linked(units: DataFrame, keys: list[str], linker: Linker) -> DataFrame:
         yield rows(of(node, payload))
 
     n = partitions(units.sparkSession)
-    return units.select(*keys, "node", "payload").repartition(n, *keys).sortWithinPartitions(*keys, "node").mapInArrow(lean(work), "a binary, b binary")
+    return units.select(*keys, "node", "payload").repartition(n, *keys).sortWithinPartitions(*keys, "node").mapInArrow(lean(work), f"a {kind}, b {kind}")
 
 
 def spanning(rows: DataFrame, sizes: DataFrame, linker: Linker, limit: int) -> DataFrame:
@@ -105,7 +104,7 @@ def spanning(rows: DataFrame, sizes: DataFrame, linker: Linker, limit: int) -> D
             same = [x == y for x, y in zip(node, b.column("l").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("key", "node", "payload", "l")), pa.array(hit, pa.bool_()), pa.array(same, pa.bool_())], ["key", "node", "payload", "l", "hit", "same"])
 
-    compared = cut(pairs.mapInArrow(compare, f"key {_kind(rows, 'key')}, node binary, payload binary, l binary, hit boolean, same boolean"))
+    compared = cut(pairs.mapInArrow(compare, f"key {_kind(rows, 'key')}, node {_kind(rows, 'node')}, payload binary, l {_kind(rows, 'node')}, hit boolean, same boolean"))
     stars = compared.where("hit and not same").select(F.col("node").alias("a"), F.col("l").alias("b"))
     rest = compared.groupBy("key").agg(F.count_if(F.expr("not hit and not same")).alias("missed"), F.count("*").alias("n")).where("missed > 0").select("key", F.ceil(F.col("missed") / limit).cast("int").alias("across"), F.ceil(F.col("n") / limit).cast("int").alias("down"))
     blocks = compared.join(rest, "key").withColumn("h", F.xxhash64("node"))

@@ -10,7 +10,7 @@ they are equal. Blank lines stay. Steps:
    noted. Nothing else goes on (a range above RANGE_BYTES does as it is; what it has too much finds no partner later);
 3. a second scan fetches the occurrences of those lines, and the texts and signatures of the ones in lists; bitmaps of fixed size, filled with hashes of their ids, let few others pass,
    and joins drop those;
-4. within lists, signatures that agree in 32 of 56 places link lines into groups; within groups, sets are compared, and lines with
+4. within lists, signatures that agree in 32 of 56 places link lines, by their 64 bits, into groups; within groups, sets are compared, and lines with
    100 * |A & B| >= 80 * |A | B| are linked (components.spanning(): walks, no lists of pairs);
 5. distributed union-find gives components; the occurrence with the smallest (document id, hash of the text, line number) stays, all others go;
 6. only documents that lose a line are moved to meet what they lose, again behind a bitmap; the others pass by.
@@ -295,10 +295,11 @@ def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: in
     freed(docs.sparkSession)
     shown = seen.where("text is not null")
     # Distinct rows need no order, unlike first ones of each node, and what they are dealt by serves the join.
-    signatures = shown.select("short", "node", F.col("signature").alias("payload")).repartition("short").distinct()
-    rows = lists.join(signatures, "short").select("key", "node", "payload")
+    signatures = shown.select("short", F.col("signature").alias("payload")).repartition("short").distinct()
+    rows = lists.join(signatures, "short").select("key", F.col("short").alias("node"), "payload")  # groups are only candidates: 64 bits will do, and are cheaper to link
     groups = connected(spanning(rows, lists.groupBy("key").agg(F.count("*").alias("n")), by_signature, list_limit))
-    members = cut(shown.select("node", F.col("text").alias("payload")).join(groups, "node").select(F.col("component").alias("key"), "node", "payload").distinct())
+    groups = groups.select(F.col("node").alias("short"), F.col("component").alias("key"))
+    members = cut(shown.select("short", "node", F.col("text").alias("payload")).join(groups, "short").select("short", "key", "node", "payload").distinct().drop("short"))
     sizes = members.groupBy("key").agg(F.greatest(F.count("*"), F.sum(F.octet_length("payload")) / 64).cast("long").alias("n")).where("n > 1")
     components = connected(spanning(members, sizes, by_text, group_limit))
     at = cut(seen.select("node", F.struct("doc_id", "text_hash", "line").alias("at")).join(components, "node", "left").select(F.coalesce("component", "node").alias("label"), "at"))

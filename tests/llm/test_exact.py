@@ -174,6 +174,12 @@ def test_units_of_two_are_compared_together(spark):
     got = components._linked(df, schema, one).collect()
     want = components._linked(df, schema, lambda p: lines.by_signature(p)).collect()
     assert sorted((bytes(x.a), bytes(x.b)) for x in got) == sorted((bytes(x.a), bytes(x.b)) for x in want) and len(got) > 100
+    number = {bytes(r[1]): k for k, r in enumerate(rows)}
+    numbered = spark.createDataFrame([(k, number[bytes(n)], p) for k, n, p in rows], "key long, node long, payload binary")
+    for limit in (3, 100):  # nodes may be numbers
+        links = components.spanning(numbered, numbered.groupBy("key").count().toDF("key", "n"), one if limit == 100 else lines.by_signature, limit).collect()
+        same = {r.node: r.component for r in components.connected(spark.createDataFrame(links, "a long, b long")).collect()}
+        assert all(same[number[bytes(x.a)]] == same[number[bytes(x.b)]] for x in got) and len(same) == len({bytes(y) for x in got for y in x})
 
 
 def test_lines_of_repeated_rows(frame):
