@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from . import words
 
 #: Null document ids sort behind all others.
 LAST_ID = (1 << 63) - 1
 
+#: Spark's setting for the bytes of an Arrow batch, and what small_batches() asks for: one slice of sliced().
+BATCH_BYTES, SMALL = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors and the driver see: spark.checkpoint.dir. Where that is unset, a temporary one on a single machine (tests), an error on a cluster."""
@@ -48,7 +52,8 @@ def freed(spark: SparkSession) -> None:
 
 
 def trim() -> None:
-    """Gives memory that this worker no longer uses back to the machine; workers are used again, and what they keep adds up."""
+    """Gives memory that this worker no longer uses back to the machine, tables that are soon made anew among it; workers are used again, and what they keep adds up."""
+    words.forget()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -56,6 +61,12 @@ def trim() -> None:
         pass
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to the workers in batches of SMALL bytes, unless the session has a size of its own. By default a task's texts are one batch, which the executor holds twice while it grows, and the worker until its last slice is done."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, SMALL)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches with a column `text` in slices of about `limit` bytes of text; a longer text comes alone."""
     for b in batches:

@@ -104,7 +104,7 @@ def spanning(rows: DataFrame, sizes: DataFrame, linker: Linker, limit: int) -> D
             same = [x == y for x, y in zip(node, b.column("l").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("key", "node", "payload", "l")), pa.array(hit, pa.bool_()), pa.array(same, pa.bool_())], ["key", "node", "payload", "l", "hit", "same"])
 
-    compared = cut(pairs.mapInArrow(compare, f"key {_kind(rows, 'key')}, node {_kind(rows, 'node')}, payload binary, l {_kind(rows, 'node')}, hit boolean, same boolean"))
+    compared = cut(pairs.mapInArrow(lean(compare), f"key {_kind(rows, 'key')}, node {_kind(rows, 'node')}, payload binary, l {_kind(rows, 'node')}, hit boolean, same boolean"))
     stars = compared.where("hit and not same").select(F.col("node").alias("a"), F.col("l").alias("b"))
     rest = compared.groupBy("key").agg(F.count_if(F.expr("not hit and not same")).alias("missed"), F.count("*").alias("n")).where("missed > 0").select("key", F.ceil(F.col("missed") / limit).cast("int").alias("across"), F.ceil(F.col("n") / limit).cast("int").alias("down"))
     blocks = compared.join(rest, "key").withColumn("h", F.xxhash64("node"))

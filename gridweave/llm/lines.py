@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .base import LAST_ID, cut, freed, lean, partitions, picked, ship, unused
+from .base import LAST_ID, cut, freed, lean, partitions, picked, ship, trim, unused
 from .components import breadth_first, connected, spanning
 from .minhash import by_sets
 from .words import mix, pieces, utf8
@@ -311,19 +312,28 @@ def removed_lines(docs: DataFrame, list_limit: int = LIST_LIMIT, group_limit: in
 
 def _hit(shared):
     @F.arrow_udf("boolean")
-    def hit(hashes: pa.Array) -> pa.Array:
-        return pa.array(in_bitmap(shared.value, hashes.to_numpy(zero_copy_only=False)))
+    def hit(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for hashes in parts:
+                yield pa.array(in_bitmap(shared.value, hashes.to_numpy(zero_copy_only=False)))
+        finally:
+            trim()
 
     return hit
 
 
 @F.arrow_udf(StringType())
-def _without(text: pa.Array, lines: pa.Array) -> pa.Array:
-    out = []
-    for t, numbers in zip(text.to_pylist(), lines.to_pylist(), strict=True):
-        gone = set(numbers or ())
-        out.append(t if t is None or not gone else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone))
-    return pa.array(out, pa.string())
+def _without(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    try:
+        for text, lines in parts:
+            out = []
+            for t, numbers in zip(text.to_pylist(), lines.to_pylist(), strict=True):
+                gone = set(numbers or ())
+                out.append(t if t is None or not gone else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone))
+            yield pa.array(out, pa.string())
+    finally:
+        text = lines = out = None
+        trim()
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lost_col: str = "removed_lines", **limits: int) -> DataFrame:

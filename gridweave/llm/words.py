@@ -50,6 +50,11 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return found
 
 
+def forget() -> None:
+    """Drops the tables of powers; the next text has them made again, in milliseconds."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def delimiters(*ranges: tuple[int, int]) -> np.ndarray:
     """256 booleans: true for bytes that belong to words."""
     is_word = np.ones(256, bool)

@@ -1,10 +1,11 @@
 """The pipeline's stages, each against its own brute force, and all together."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from gridweave.llm import queries, toxicity
+from gridweave.llm import base, queries, toxicity, words
 from tests.llm import brute
 
 
@@ -56,6 +57,33 @@ def test_whole_pipeline(spark, sf):
     assert got and {len(np.frombuffer(bytes(r.ids), "<u4")) == r.length for r in got} == {True}
 
 
+def test_workers_get_texts_in_small_batches(spark, sf, frame):
+    sizes = lambda: [r.n for r in frame([(i, "a word " * 150_000) for i in range(24)], parts=1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20)
+    pipeline.run(spark, sf)
+    assert max(sizes()) > 2 * base.SMALL  # run() takes its setting back
+    for name, stage in pipeline.STAGES:
+        try:
+            stage(spark, docs, sf)
+            assert base.SMALL / 2 < max(sizes()) < 1.5 * base.SMALL, name
+        finally:
+            spark.conf.unset(base.BATCH_BYTES)
+    spark.conf.set(base.BATCH_BYTES, 4 << 20)
+    try:
+        pipeline.pack(spark, docs, sf)
+        assert int(spark.conf.get(base.BATCH_BYTES)) == 4 << 20  # the session's own size stays
+    finally:
+        spark.conf.unset(base.BATCH_BYTES)
+
+
+def test_trimmed_workers_keep_no_tables():
+    text = pa.array(["some words " * 1000])
+    before = [w.hashes for _, _, w in words.scan_column(text, words.SPACED)]
+    base.trim()
+    assert sum(x.nbytes for x in words._powers) < 100
+    assert all((a == w.hashes).all() for a, (_, _, w) in zip(before, words.scan_column(text, words.SPACED), strict=True))
+
+
 def test_queries_return_the_contracts_columns(spark, sf):
     want = {1: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", 2: "doc_id n_words n_removed kept_sha256", 3: "doc_id n_assign n_access n_hex base_sha256 spans", 4: "doc_id start length ids_crc32 doc_tokens sequence_id offset", 5: "doc_id size text_crc32 law shard slot grown_shard", 6: "doc_id n_shingles component_id kept", 7: "doc_id held_out score predicted", 9: "doc_id held_out n_tokens n_known train_tokens base_score score", 10: "doc_id n_words n_hit n_items items_sha256 contaminated"}
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
