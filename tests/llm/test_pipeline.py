@@ -60,6 +60,7 @@ def test_whole_pipeline(spark, sf):
 def test_workers_get_texts_in_small_batches(spark, sf, frame):
     sizes = lambda: [r.n for r in frame([(i, "a word " * 150_000) for i in range(24)], parts=1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()]
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20)
+    spark.conf.unset(base.BATCH_BYTES)  # other tests call stages, which leave it set
     pipeline.run(spark, sf)
     assert max(sizes()) > 2 * base.SMALL  # run() takes its setting back
     for name, stage in pipeline.STAGES:
